@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,55 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sized_slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 1 << 20, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, and so many bytes in a column unless one row alone has more."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        first = held = 0
+        for at, n in enumerate(sizes):
+            if at > first and (held + n > most or at - first >= rows):
+                yield batch.slice(first, at - first)
+                first, held = at, 0
+            held += n
+        if first < batch.num_rows:
+            yield batch.slice(first)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits mixed."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class RollingHash:
+    """64-bit polynomial hashes of any stretches of a buffer of bytes, from running sums."""
+
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self._of_byte = rng.integers(0, 1 << 64, 256, np.uint64)
+        self._base = int(rng.integers(0, 1 << 62)) * 8 + 5
+        self._inverse = pow(self._base, -1, 1 << 64)
+        self._powers = self._inverse_powers = np.ones(1, np.uint64)
+
+    def _grown(self, n: int) -> None:
+        if len(self._powers) >= n:
+            return
+        n = 1 << (n - 1).bit_length()
+        for name, base in (("_powers", self._base), ("_inverse_powers", self._inverse)):
+            steps = np.full(n, base & ((1 << 64) - 1), np.uint64)
+            steps[0] = 1
+            setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+
+    def of(self, data: np.ndarray) -> None:
+        """Take a buffer; stretches() then answers for it."""
+        self._grown(len(data) + 1)
+        self._sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self._of_byte[data] * self._powers[: len(data)], out=self._sums[1:])
+
+    def stretches(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (self._sums[ends] - self._sums[starts]) * self._inverse_powers[starts]
