@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from filmloom.llm.mixing import op10_mixing
 from filmloom.llm.near_duplicates import op5_near_duplicates
 from filmloom.llm.packing import op7_packing
+from filmloom.llm.suffix_dedup import op2_suffix_dedup
 from filmloom.llm.token_codes import op1_token_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": op1_token_codes,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_packing": op7_packing,
     "op10_mixing": op10_mixing,
