@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from filmloom.llm.fingerprints import op3_fingerprints
 from filmloom.llm.mixing import op10_mixing
 from filmloom.llm.near_duplicates import op5_near_duplicates
 from filmloom.llm.packing import op7_packing
@@ -15,6 +16,7 @@ from filmloom.llm.token_codes import op1_token_codes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": op1_token_codes,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_packing": op7_packing,
     "op10_mixing": op10_mixing,
