@@ -13,11 +13,13 @@ from filmloom.llm.near_duplicates import op5_near_duplicates
 from filmloom.llm.packing import op7_packing
 from filmloom.llm.suffix_dedup import op2_suffix_dedup
 from filmloom.llm.token_codes import op1_token_codes
+from filmloom.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": op1_token_codes,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_fingerprints": op3_fingerprints,
+    "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_packing": op7_packing,
     "op9_license_scan": op9_license_scan,
