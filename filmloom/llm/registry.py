@@ -10,6 +10,7 @@ from filmloom.llm.fingerprints import op3_fingerprints
 from filmloom.llm.license_scan import op9_license_scan
 from filmloom.llm.mixing import op10_mixing
 from filmloom.llm.near_duplicates import op5_near_duplicates
+from filmloom.llm.neighbours import op6_neighbours
 from filmloom.llm.packing import op7_packing
 from filmloom.llm.suffix_dedup import op2_suffix_dedup
 from filmloom.llm.token_codes import op1_token_codes
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_neighbours": op6_neighbours,
     "op7_packing": op7_packing,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
