@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from filmloom.llm.fingerprints import op3_fingerprints
+from filmloom.llm.html_text import op8_html_text
 from filmloom.llm.license_scan import op9_license_scan
 from filmloom.llm.mixing import op10_mixing
 from filmloom.llm.near_duplicates import op5_near_duplicates
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_neighbours": op6_neighbours,
     "op7_packing": op7_packing,
+    "op8_html_text": op8_html_text,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
 }
