@@ -347,6 +347,18 @@ def remove_repeats(docs: DataFrame, length: int = 100, *more: str) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def kept_text(result: DataFrame, *more: str) -> DataFrame:
+    """doc_id, the named columns and text: kept as text, without characters of which a byte was removed."""
+    schema = result.select("doc_id", *more, F.lit("").alias("text")).schema
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sized_slices(batches, "kept"):
+            text = pa.array([x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("doc_id", *more)), text], names=["doc_id", *more, "text"])
+
+    return result.select("doc_id", *more, "kept").mapInArrow(run, schema)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["begin"])

@@ -262,11 +262,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
 
 
 def score(docs: DataFrame, model: Model | None, *more: str) -> DataFrame:
-    """doc_id, the named columns, held_out, score, predicted and evidence (neighbours with cosine and label)."""
+    """doc_id, text (null: empty), the named columns, held_out, score, predicted and evidence (neighbours with cosine and label)."""
     rows = texts(docs, *more)
     kind = "array<struct<doc_id: long, cosine: double, toxic: int>>"
-    schema = rows.select("doc_id", *more, F.lit(0.0).alias("score"), F.lit(None).cast(kind).alias("evidence")).schema
-    names = ["doc_id", *more, "score", "evidence"]
+    schema = rows.select("doc_id", "text", *more, F.lit(0.0).alias("score"), F.lit(None).cast(kind).alias("evidence")).schema
+    names = ["doc_id", "text", *more, "score", "evidence"]
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,16 +289,16 @@ def score(docs: DataFrame, model: Model | None, *more: str) -> DataFrame:
                     {"doc_id": int(model.index.doc_ids[p]), "cosine": float(c), "toxic": int(model.index.labels[p])}
                     for p, c in zip(places, cosines, strict=True)
                 ])
-            columns = [batch.column(x) for x in ("doc_id", *more)]
+            columns = [batch.column(x) for x in ("doc_id", "text", *more)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64()), pa.array(shown, evidence)], names=names)
 
     out = rows.mapInArrow(run, schema)
     return out.select(
-        "doc_id", *more, _split(F.col("doc_id")).alias("held_out"), "score",
+        "doc_id", "text", *more, _split(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence",
     )
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, fit(docs, table(spark, sf_dir, "labels"))).drop("evidence")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels"))).drop("text", "evidence")
