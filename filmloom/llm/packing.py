@@ -6,7 +6,8 @@ cuts minimise padding plus penalties. With best(j) the least cost of cutting the
 window - (j - i) + penalty(j) for a window from i to j, best(j) + j is the least best(i) + i within reach plus
 window + penalty(j): a monotone queue holds the least, so each place costs constant time.
 
-The stream is dealt to tasks by ranges of doc_id; each range is packed by itself, so it leaves one short window. A
+The stream is dealt to tasks by ranges of doc_id; each range is packed by itself, and its last stretch is cut to
+sequences of a power of two, which aren't padded, where that costs less. A
 task keeps one chunk of the stream and the window that is still open. Defined cases: a null or empty text is its end
 id alone; documents without doc_id come first; repeated doc_ids stay apart; an empty table gives no piece.
 """
@@ -64,6 +65,18 @@ def best_cuts(places: list[int], penalties: list[float], window: int) -> list[in
     return cuts[::-1]
 
 
+def tail_cuts(length: int, window: int) -> list[int]:
+    """Cuts of a last stretch of at most one window, its end included: a power of two needs no padding but costs a cut."""
+    best = [(0.0, 0)]
+    for n in range(1, length + 1):
+        powers = [1 << k for k in range((n - 1).bit_length())]
+        best.append(min([(float(padding(n, window)), n), *((HARD_PENALTY + best[n - x][0], x) for x in powers)]))
+    cuts = [0]
+    while cuts[-1] < length:
+        cuts.append(cuts[-1] + best[length - cuts[-1]][1])
+    return cuts[1:]
+
+
 def sentence_ends(tokenizer: str) -> np.ndarray:
     """For each id, whether a sentence may end after it."""
     from tokenizers import Tokenizer
@@ -98,8 +111,10 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
             penalty[-1] = 0.0
             spots = np.flatnonzero(penalty[1:] < np.inf) + 1
             cuts = best_cuts(spots.tolist(), penalty[spots].tolist(), window)
-            if not last:
-                cuts.pop()
+            end = cuts.pop()
+            if last:
+                begin = cuts[-1] if cuts else 0
+                cuts += [begin + x for x in tail_cuts(end - begin, window)]
             rows, doc, used, first = [], 0, 0, 0
             base = sequence_base << 32
             for cut in cuts:
