@@ -6,9 +6,12 @@ the pigeonhole principle, a chunk with at most one error, so they share one of i
 out. Every pair within LIMIT therefore meets in a bucket. At J = 0.8 a pair lies beyond LIMIT with a probability of
 about 5 in a million.
 
-Equal sets are one class first. A bucket's members are linked with its least member, which is an aggregate joined
-back; what stands in different components afterwards but within LIMIT in one bucket is then compared as well, so no
-link between different texts is lost and no bucket is ever gathered.
+Equal sets are one class first. Classes that meet in buckets form candidate clusters, by links to each bucket's least
+member, an aggregate joined back. Each member is compared with its cluster's hub, the one that shares most places with
+the others. What isn't linked with a hub is compared with every member of its cluster, in blocks of bounded size, by
+an index of the block's shingles; a block tells only the links that join what was apart. So every pair of different
+components has had one side compared with the other: no link between different texts is lost, and no group is
+gathered.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is alone; a document without doc_id is
 alone, with a null component, and kept; rows that repeat a doc_id are one node, for which its least text speaks;
@@ -30,6 +33,7 @@ from filmloom.llm.components import components
 SYMBOLS = 48
 CHUNK = 4
 LIMIT = 2 * (SYMBOLS // CHUNK) - 1
+BLOCK_SHINGLES = 300_000
 _rng = np.random.default_rng(5)
 _FLIPS = _rng.integers(0, 1 << 64, SYMBOLS, np.uint64)
 _ODD = _rng.integers(0, 1 << 64, SYMBOLS, np.uint64) | np.uint64(1)
@@ -148,54 +152,102 @@ def _confirmed(pairs: DataFrame, whole: DataFrame, width: int, percent: int) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _others(rows: DataFrame, whole: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) of members that aren't linked with their hub to any member of their cluster.
+
+    rows: cluster, rep, n, linked. Members are dealt to blocks, and those to compare to groups, by their shingles'
+    number; each group meets each block once.
+    """
+    free = ~F.col("linked")
+    totals = rows.groupBy("cluster").agg(
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"),
+        F.ceil(F.sum(F.when(free, F.col("n"))) / BLOCK_SHINGLES).alias("groups"),
+        F.count("*").alias("size"),
+    )
+    rows = rows.join(totals.where("groups > 0 and size > 2"), "cluster").join(whole.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = stored(rows.select("cluster", "rep", "linked", "text", "blocks", "groups"), "members")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("group", upto("groups"))
+    asked = rows.where(free).withColumn("group", F.pmod(F.xxhash64("rep"), F.col("groups"))).withColumn("block", upto("blocks"))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(block: pa.Table, group: pa.Table) -> pa.Table:
+        hashes = RollingHash(17)
+        sets = lambda t: [y for x in sized_slices(t.to_batches()) for y in shingle_sets([z.encode() for z in x.column("text").to_pylist()], width, hashes)]
+        if not block.num_rows or not group.num_rows:
+            return out.empty_table()
+        names = block.column("rep").to_pylist()
+        mine = sets(block)
+        every = np.concatenate(mine)
+        sizes = np.array([len(x) for x in mine])
+        owner = np.repeat(np.arange(len(mine)), sizes)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        # those linked with the hub are one already
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent.setdefault(up, up)
+            return x
+
+        hub = next((x for x, y in zip(names, block.column("linked").to_pylist(), strict=True) if y), None)
+        for x, y in zip(names, block.column("linked").to_pylist(), strict=True):
+            if y:
+                parent[find(x)] = find(hub)
+        links = []
+        for name, x in zip(group.column("rep").to_pylist(), sets(group), strict=True):
+            low, high = np.searchsorted(every, x, "left"), np.searchsorted(every, x, "right")
+            n = high - low
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            same = np.bincount(owner[at], minlength=len(mine))
+            for i in np.flatnonzero(100 * same >= percent * (sizes + len(x) - same)).tolist():
+                one, two = find(name), find(names[i])
+                if one != two:
+                    parent[one] = two
+                    links.append((name, names[i]))
+        return pa.table(dict(zip(("a", "b"), zip(*links, strict=True), strict=True)), schema=out) if links else out.empty_table()
+
+    keys = ["cluster", "block", "group"]
+    left = members.select(*keys, "rep", "linked", "text").groupBy(*keys)
+    return left.cogroup(asked.select(*keys, "rep", "text").groupBy(*keys)).applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable over links) and kept, one row per row of docs."""
     found = stored(features(docs, width), "signatures")
     usable = found.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(
-        usable.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"), F.any_value("n_shingles").alias("n")
-        ),
-        "classes",
+    classes = usable.groupBy("set_key").agg(
+        F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"), F.any_value("n_shingles").alias("n")
     )
+    classes = stored(classes, "classes")
     keys = _keys(classes)
     heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("members")).where("members > 1")
-    buckets = stored(keys.join(heads.select(F.col("key").alias("at"), "head"), F.col("key") == F.col("at")).select("key", "rep", "head"), "buckets")
-
-    sizes = classes.select("rep", "n")
-    near = (F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m"))
-    pairs = buckets.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
-    pairs = pairs.join(sizes.withColumnRenamed("rep", "a"), "a").join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("m")), "b")
-    pairs = stored(pairs.where(near).select("a", "b"), "pairs")
-
-    # equal doc_ids may stand for several texts; the least text speaks for a class
-    named = buckets.select("rep").distinct()
-    whole = texts(docs).join(named.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    buckets = keys.join(heads.select(F.col("key").alias("at"), "head", "members"), F.col("key") == F.col("at"))
+    buckets = stored(buckets.groupBy("rep", "head").agg(F.sum("members").alias("shared")), "buckets")
+
+    clusters = components(buckets.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    weight = buckets.groupBy("rep").agg(F.sum("shared").alias("shared"))
+    # equal doc_ids may stand for several sets: the least text speaks for all
+    sizes = classes.groupBy("rep").agg(F.max("n").alias("n"))
+    rows = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(weight, "rep").join(sizes, "rep")
+    rows = stored(rows, "clusters")
+    hubs = rows.groupBy("cluster").agg(F.max_by("rep", F.struct("shared", -F.col("rep"))).alias("hub"), F.max_by("n", F.struct("shared", -F.col("rep"))).alias("m"))
+    near = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
+    pairs = rows.join(hubs, "cluster").where((F.col("rep") != F.col("hub")) & near).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+
+    whole = texts(docs).join(rows.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     whole = stored(whole.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(found) else whole, "texts")
     links = stored(_confirmed(pairs, whole, width, percent), "confirmed")
-    label = stored(components(links), "components")
-
-    mine = buckets.join(label, buckets["rep"] == label["node"], "left")
-    mine = mine.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    open_keys = mine.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    mine = mine.join(open_keys, "key", "left_semi").join(classes, "rep")
-    symbols = F.transform(F.sequence(F.lit(0), F.lit(SYMBOLS - 1)), lambda i: F.substring("signature", i * 2 + 1, F.lit(2)))
-    mine = stored(mine.select("key", "rep", "component", "n", symbols.alias("symbols")), "open")
-    left = mine.select("key", *[F.col(x).alias(f"{x}_a") for x in ("rep", "component", "n", "symbols")])
-    right = mine.select("key", *[F.col(x).alias(f"{x}_b") for x in ("rep", "component", "n", "symbols")])
-    apart = F.aggregate(F.zip_with("symbols_a", "symbols_b", lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
-    close = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
-    others = left.join(
-        right, (left["key"] == right["key"]) & (F.col("component_a") < F.col("component_b")) & close & (apart <= LIMIT)
-    ).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    others = stored(others, "pairs")
-    if others.take(1):
-        more = stored(_confirmed(others, whole, width, percent), "confirmed")
-        label = stored(components(links.union(more)), "components")
+    linked = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).distinct()
+    rows = rows.join(linked.withColumn("linked", F.lit(True)), "rep", "left").join(hubs.select("cluster", "hub"), "cluster")
+    # a hub is compared already, whether or not any member is linked with it
+    rows = rows.withColumn("linked", F.coalesce("linked", F.col("rep") == F.col("hub")))
+    more = _others(rows.select("cluster", "rep", "n", "linked"), whole, width, percent)
+    label = components(stored(links.union(more), "links"))
 
     ids = classes.select(F.col("set_key").alias("of"), "rep").join(label, F.col("rep") == F.col("node"), "left")
     ids = ids.select("of", F.coalesce("component", "rep").alias("by_set"))
-    # rows that repeat a doc_id are one node: their classes meet through it
     out = found.drop("signature").join(ids, F.col("set_key") == F.col("of"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("by_set", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
