@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from filmloom.plans import registry
 
 FLAGSHIP = "j01_parent_child"
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def _gathered():
+    from filmloom.plans import q_extract, q_relational  # noqa: F401  modules register their queries
+
+    return registry
+
+
+def queries() -> dict[str, registry.Query]:
+    return dict(_gathered().QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_gathered().SQL)
