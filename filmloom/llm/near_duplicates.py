@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ids = classes.select(F.col("set_key").alias("of"), "rep").join(label, F.col("rep") == F.col("node"), "left")
     ids = ids.select("of", F.coalesce("component", "rep").alias("by_set"))
     out = found.drop("signature").join(ids, F.col("set_key") == F.col("of"), "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("by_set", "doc_id").alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("by_set", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
