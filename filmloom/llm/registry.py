@@ -13,6 +13,7 @@ from filmloom.llm.mixing import op10_mixing
 from filmloom.llm.near_duplicates import op5_near_duplicates
 from filmloom.llm.neighbours import op6_neighbours
 from filmloom.llm.packing import op7_packing
+from filmloom.llm.sql import OP5, OP10
 from filmloom.llm.suffix_dedup import op2_suffix_dedup
 from filmloom.llm.token_codes import op1_token_codes
 from filmloom.llm.toxicity import op4_toxicity
@@ -30,4 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_near_duplicates": OP5, "op10_mixing": OP10}
