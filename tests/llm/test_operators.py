@@ -397,6 +397,11 @@ def test_main_text():
         "<ul><li>a<li>b</ul><section id='comments'><p>First!</p></section></article><aside>Side</aside><footer>Foot</footer>"
     )
     assert html_text.main_text(page, frozenset(), None) == "Head & tail\n\nOne two three\n\nFour A\n\na\n\nb"
+    page = (
+        "<body class='has-sidebar'><article class='post'><header class='post-header'><h1>H</h1></header><video src=x><p>kept</p><iframe src=y/></article>"
+        "<div class='comment-list'><article><p>no</p></article></div><article class='comment'><p>nor this</p></article></body>"
+    )
+    assert html_text.main_text(page, frozenset(), None) == "H\n\nkept"
     for odd_page in ("", "<", "plain", "<p", "<!-- open", "<script>never closed", "</div></p>text", "<a href='x>y</a>"):
         html_text.main_text(odd_page, frozenset(), None)
 
