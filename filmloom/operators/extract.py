@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmloom.functions.urls import first_match, host, resolve_url
+from filmloom.sources.shared import shared_folder
 
 ANCHOR = r'<a[^>]*href="([^"]*)"[^>]*>([\s\S]*?)</a>'
 STATIC = r"(?i)\.(css|js|png|jpe?g|gif|svg|ico|woff2?|pdf|zip)$"
@@ -126,6 +127,7 @@ def crawl_depth(edges: DataFrame, seeds: DataFrame, most: int = 4) -> DataFrame:
 
     Each step's result is checkpointed to the shared folder, so lineage doesn't grow with the depth.
     """
+    shared_folder(edges.sparkSession)
     seen = seeds.select("url").distinct().withColumn("depth", F.lit(0))
     edge = seen
     for depth in range(1, most + 1):

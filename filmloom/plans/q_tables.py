@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import tempfile
-import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -14,15 +12,10 @@ from filmloom.operators import quality, table, window
 from filmloom.plans.q_relational import BLOCK_LINES, LINES, lines, srt_lines
 from filmloom.plans.registry import query, read
 from filmloom.sources import readers, writers
+from filmloom.sources.shared import new_path as scratch
 from filmloom.streaming import monitor
 
 
-def scratch(spark, name):
-    """A new path in the folder that executors share; a folder of this machine only where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="filmloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # maintenance: customers split into a target and a source that overlap
 
 TARGET = "t as (select c_custkey, c_name, c_acctbal, c_mktsegment from customer where c_custkey % 3 < 2)"
