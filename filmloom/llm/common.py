@@ -17,8 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Whole texts are long: batches of this many rows go between Spark and Python, unless the session says otherwise.
+BATCH_KEY, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "500"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keeps a worker's memory low: where the session has Spark's default for rows in a batch, it gets fewer."""
+    if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text (null: empty) and the named columns; other columns, whatever their names, are left out."""
+    small_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
