@@ -21,7 +21,6 @@ an empty table gives no row.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,13 +29,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filmloom.llm.common import RollingHash, mixed, partitions, sized_slices, slices, stored, table
+from filmloom.llm.common import RollingHash, mixed, partitions, sized_slices, slices, small_batches, stored, table
 
 SEED = 36
 SHALLOW = 4
 HOT = 1024
 #: Bytes worked on at once; places in a block fit the low bits of PLACE.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 PLACE = np.uint64((1 << 22) - 1)
 
 
@@ -232,6 +231,7 @@ def _repeated(spans: DataFrame, length: int) -> DataFrame:
 
 def _numbered(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, copy, text and more columns; copy numbers the rows of a doc_id that repeats."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more
     )
@@ -258,7 +258,8 @@ def _packed(rows: DataFrame) -> DataFrame:
 def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
     """doc_id, copy and runs (first and last window) of what starts earlier, for rows (doc_id, copy, text) that have any."""
     usable = rows.where("doc_id is not null")
-    seeds = _anchor_table(usable, length, ["seed"]).groupBy("seed").count().where("count > 1").select("seed")
+    # stored, so that both sides of the joins below are shuffled anew and a frequent seed's rows can be split
+    seeds = stored(_anchor_table(usable, length, ["seed"]).groupBy("seed").count().where("count > 1").select("seed"), "seeds")
     found = _anchor_table(usable, length, ["seed", "span", "doc_id", "copy", "first", "last"])
     found = stored(found.join(seeds, "seed", "left_semi"), "anchors")
     head = F.min(F.struct("doc_id", "copy", "first", "last")).alias("head")
@@ -267,7 +268,7 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
     copies = found.join(firsts, (F.col("seed") == F.col("s")) & (F.col("span") == F.col("p")))
     copies = copies.where(F.struct("doc_id", "copy", "first", "last") != F.col("head")).select("doc_id", "copy", "first", "last")
 
-    several = spans.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
+    several = stored(spans.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "several")
     heads = spans.join(several, "seed").select("seed", "n", "head.*")
     wanted = heads.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("seed", "n", "first", "last")).alias("wanted"))
     cut = stored(_cut(_packed(usable.select("doc_id", "copy", "text")).join(wanted, ["doc_id", "copy"]), length), "suffixes")
