@@ -164,7 +164,8 @@ def _others(rows: DataFrame, whole: DataFrame, width: int, percent: int) -> Data
         F.ceil(F.sum(F.when(free, F.col("n"))) / BLOCK_SHINGLES).alias("groups"),
         F.count("*").alias("size"),
     )
-    rows = rows.join(totals.where("groups > 0 and size > 2"), "cluster").join(whole.withColumnRenamed("doc_id", "rep"), "rep")
+    totals = stored(totals.where("groups > 0 and size > 2"), "totals")
+    rows = rows.join(totals, "cluster").join(whole.withColumnRenamed("doc_id", "rep"), "rep")
     rows = stored(rows.select("cluster", "rep", "linked", "text", "blocks", "groups"), "members")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     members = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("group", upto("groups"))
@@ -233,6 +234,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(weight, "rep").join(sizes, "rep")
     rows = stored(rows, "clusters")
     hubs = rows.groupBy("cluster").agg(F.max_by("rep", F.struct("shared", -F.col("rep"))).alias("hub"), F.max_by("n", F.struct("shared", -F.col("rep"))).alias("m"))
+    hubs = stored(hubs, "hubs")  # so that a large cluster's rows can be split in the joins
     near = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
     pairs = rows.join(hubs, "cluster").where((F.col("rep") != F.col("hub")) & near).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
 
