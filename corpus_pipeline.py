@@ -50,7 +50,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Whole documents stay as they are; one that a target cuts keeps the words that are taken, a space between two.
     """
-    sizes = mixing.sized(docs)
+    sizes = stored(mixing.sized(docs), "sizes")
     rows = mixing.mix(sizes).groupBy("doc_id", "round", "place", "source", "size").agg(
         F.min("start").alias("start"), F.sum("length").alias("length")
     )

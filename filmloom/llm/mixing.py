@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filmloom.llm.common import table
+from filmloom.llm.common import stored, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -158,5 +158,5 @@ def taken(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = sized(table(spark, sf_dir, "documents"))
-    return taken(sizes)
+    # the texts are read once; all that follows works on sizes
+    return taken(stored(sized(table(spark, sf_dir, "documents")), "sizes"))
