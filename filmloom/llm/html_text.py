@@ -3,6 +3,7 @@
 1. A page is read to tokens: opening tags by role (their path of block elements with classes) and text blocks. Over
    the pages of a host, each token has an occurrence vector: how often it stands on which pages. An aggregate that can
    be combined before the shuffle (xor of hashes of page and count) names the vector, so no page list is gathered.
+   Pages of equal html are one page of their host, so copies are no evidence of a template.
 2. Tokens with equal vectors form an equivalence class. A class is valid when it has CLASS_TOKENS tokens on CLASS_PAGES
    pages and on the share SHARE of the host's; valid classes nest in the one that stands on all pages, and together
    they are the host's template. The text blocks in it are boilerplate, and between its tags lie the slots.
@@ -181,7 +182,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
             rows = []
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 host, (blocks, roles) = host_of(url), read_page(page)
-                mark = xxhash.xxh64_intdigest(f"{url}\0{page}".encode()) >> 1
+                mark = xxhash.xxh64_intdigest(page.encode()) >> 1
                 counts = Counter((text_key(b), b.role.rpartition("/")[0], len(b.text)) for b in blocks)
                 rows += [(host, k, mark, n, role, chars * n) for (k, role, chars), n in counts.items()]
                 rows += [(host, _key("tag", role), mark, n, None, 0) for role, n in roles.items()]
@@ -189,7 +190,8 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
 
     names = [x.split()[0] for x in kinds.split(", ")]
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
-    tokens = pages.mapInArrow(run, kinds)
+    # equal pages of a host count once, however many rows or urls they have
+    tokens = pages.mapInArrow(run, kinds).groupBy("host", "token", "page").agg(*[F.max(x).alias(x) for x in ("n", "role", "chars")])
     vector = F.bit_xor(F.xxhash64("page", "n")).alias("vector")
     tokens = stored(tokens.groupBy("host", "token").agg(vector, F.count("*").alias("pages"), F.sum("n").alias("n"), F.max("role").alias("role"), F.sum("chars").alias("chars")), "tokens")
     classes = tokens.groupBy("host", "vector", "pages", "n").agg(F.count("*").alias("size"))

@@ -419,6 +419,17 @@ def test_templates(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_copies_are_no_template(spark):
+    page = "<div class='a'><h1>One head</h1></div><div class='b'><p>First {0}.</p><p>Second {0}.</p></div>"
+    rows_ = [(i, f"http://h.example/{i}", page.format("copy")) for i in range(6)] + [(6, "http://h.example/6", page.format("other"))]
+    rows_ += [(10 + i, None, page.format("null")) for i in range(6)]
+    df = spark.createDataFrame(rows_, "page_id long, url string, html string").repartition(3)
+    assert html_text.deduce_templates(df).count() == 0
+    got = {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+    for i, _, html in rows_:
+        assert got[i].endswith(f"First {re.search('First (.*?)[.]', html)[1]}.\n\nSecond {re.search('Second (.*?)[.]', html)[1]}.")
+
+
 def test_article_pages(spark):
     import html
 
