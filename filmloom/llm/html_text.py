@@ -8,8 +8,10 @@
    pages and on the share SHARE of the host's; valid classes nest in the one that stands on all pages, and together
    they are the host's template. The text blocks in it are boilerplate, and between its tags lie the slots.
 3. Of each page the slots are kept that lie in its article, or, where a page marks none, in the role that holds most
-   of the host's slot text. Elements that are menus, headers, footers, sidebars, notices, adverts, forms, scripts or
-   comments by name, role or class never count. Text in an article is kept even if it repeats on other pages.
+   of the host's slot text. Text in an article is kept even if it repeats on other pages.
+4. Elements that are menus, headers, footers, sidebars, notices, adverts, scripts or comments by name, role or class don't
+   count, nor do forms. A form or a class doesn't count as such where it is around the page's article or around most of
+   the slot text (of classes, those of comments never are, and those of adverts only around an article).
 
 Templates are joined to the pages; they are broadcast only below BROADCAST bytes, else joined by host.
 Defined cases: a null or empty page has no text; a null url is a host of its own; a host with few pages has no
@@ -22,6 +24,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -51,9 +54,24 @@ NAMES = frozenset(
     " menu navbar nav navigation breadcrumb breadcrumbs pagination pager footer comment comments disqus reply replies respond toolbar"
     " masthead login hidden skip".split()
 )
+#: Words that may stand before or after a name in a class or id word, and words that make it tell of something else.
+HEADS = frozenset(
+    "site page top bottom main left right side primary secondary global post article entry blog user mobile desktop sticky fixed floating"
+    " my the js wp block inner outer google text is mc live section content".split()
+)
+TAILS = frozenset(
+    "list box container wrapper wrap block area section bar links link item items button buttons btn icon icons form inner outer content"
+    " body top bottom left right main primary secondary header title toggle panel group row col column slot unit text message this post"
+    " posts article articles story stories news media videos products trail tab tabs count thread dropdown desktop mobile fixed sticky".split()
+)
+OTHER = frozenset("has no not non with without".split())
+#: Names of what may hold more text than the article, and of what is never put around a page.
+TALK = frozenset("comment comments disqus reply replies respond".split())
+FIRM = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr".split())
 #: What keeps an article element from being one, and names that are page furniture only outside of one.
 NO_ARTICLE = frozenset("ad ads advert advertisement sponsored promo comment comments reply related".split())
 OUTSIDE = frozenset("header masthead".split())
+INSIDE = NAMES - OUTSIDE
 HEADERS = frozenset(("header", "site-header", "page-header", "top-bar"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
@@ -64,43 +82,73 @@ _PART = re.compile(r"[^a-z0-9]+")
 
 class Block(NamedTuple):
     role: str
-    article: bool
+    article: int
     text: str
+    marks: tuple[int, ...] = ()
+    fixed: bool = False
+
+
+class Mark(NamedTuple):
+    """An element that looks like furniture by its class, or is a form: it counts unless it holds the page's own text."""
+
+    kind: str
+    article: int
 
 
 class _Open(NamedTuple):
     tag: str
     role: str
     aside: bool
-    article: bool
+    article: int
+    marks: tuple[int, ...]
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
 
-def _apart(tag: str, given: dict[str, str], article: bool) -> bool:
-    """Whether an element is no part of an article, by its name, role, class or id."""
-    if tag in ASIDE and not (article and tag == "header"):
-        return True
-    if "hidden" in given or given.get("aria-hidden") == "true" or given.get("role", "") in ROLES:
-        return True
+@lru_cache(65536)
+def _named(word: str, names: frozenset[str]) -> str | None:
+    """The name that a class or id word is, by itself or with known words before or after it."""
+    parts = [x for x in _PART.split(word) if x and not x.isdigit()]
+    found = [x for x in parts if x in names]
+    if not found or not OTHER.isdisjoint(parts):
+        return None
+    at = parts.index(found[0])
+    end = len(parts) - parts[::-1].index(found[-1])
+    return found[0] if HEADS.issuperset(parts[:at]) and (names | TAILS).issuperset(parts[at:end] + parts[end:]) else None
+
+
+def _apart(tag: str, given: dict[str, str], article: bool) -> str:
+    """How an element is no part of an article: "aside" by its name, role or state, or as a mark (form, class, firm or talk)."""
+    if tag in ASIDE and tag not in ("form", "fieldset") and not (article and tag == "header"):
+        return "aside"
+    role = given.get("role", "")
+    if "hidden" in given or given.get("aria-hidden") == "true" or role in ROLES and role != "form":
+        return "aside"
     if "display:none" in given.get("style", "").replace(" ", "").lower():
-        return True
+        return "aside"
     words = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
+    kind = "form" if tag in ("form", "fieldset") or role == "form" else ""
     if not article and any(x in HEADERS for x in words):
-        return True
+        return "class"
     if tag in ("html", "body", "main"):
-        return False
-    names = NO_ARTICLE if tag == "article" else NAMES - OUTSIDE if article else NAMES
-    return any(not names.isdisjoint(_PART.split(x)) for x in words)
+        return kind
+    names = NO_ARTICLE if tag == "article" else INSIDE if article else NAMES
+    found = [x for x in (_named(w, names) for w in words if len(w) < 100) if x]
+    if found:
+        return "talk" if not TALK.isdisjoint(found) else "firm" if not FIRM.isdisjoint(found) else "class"
+    return kind
 
 
-def read_page(page: str) -> tuple[list[Block], Counter[str]]:
-    """The text blocks outside of what is no part of an article, and the count of each opening tag's role."""
+def read_page(page: str) -> tuple[list[Block], Counter[str], list[Mark], list[tuple[int, ...]]]:
+    """The text blocks outside of what is no part of an article, the count of each opening tag's role, the marks, and those
+    that each outermost article lies in."""
     blocks: list[Block] = []
     roles: Counter[str] = Counter()
-    stack = [_Open("", "", False, False)]
+    marks: list[Mark] = []
+    articles: list[tuple[int, ...]] = []
+    stack = [_Open("", "", False, 0, ())]
     run: list[str] = []
 
     def flush() -> None:
@@ -108,7 +156,7 @@ def read_page(page: str) -> tuple[list[Block], Counter[str]]:
             top = stack[-1]
             text = " ".join(entities.unescape("".join(run)).split())
             if text and not top.aside:
-                blocks.append(Block(top.role, top.article, text))
+                blocks.append(Block(top.role, top.article, text, top.marks))
             run.clear()
 
     at = 0
@@ -147,18 +195,54 @@ def read_page(page: str) -> tuple[list[Block], Counter[str]]:
             while (stack[-1].tag == "p") or (tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1].tag == tag):
                 stack.pop()
             top = stack[-1]
-        article = top.article or tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"
-        aside = top.aside or _apart(tag, given, top.article)
+        apart = "aside" if top.aside else _apart(tag, given, top.article > 0)
+        aside = apart == "aside"
         if tag in VOID:
             continue
-        if tag in BLOCKS or aside and not top.aside:
+        article = top.article
+        if not article and not (tag == "article" and apart) and (tag in ("article", "main") or given.get("role") == "main" or given.get("itemprop") == "articleBody"):
+            articles.append(top.marks)
+            article = len(articles)
+        if tag in BLOCKS or apart and not top.aside:
             if tag not in BLOCKS:
                 flush()
             role = f"{top.role}/{tag}" + "".join(f".{x}" for x in sorted(given.get("class", "").split())[:2])
             roles[role] += 1
-            stack.append(_Open(tag, role, aside, article))
+            inner = top.marks
+            if apart and not aside:
+                inner += (len(marks),)
+                marks.append(Mark(apart, top.article))
+            stack.append(_Open(tag, role, aside, article, inner))
     flush()
-    return blocks, roles
+    return blocks, roles, marks, articles
+
+
+def unmarked(blocks: list[Block], marks: list[Mark], articles: list[tuple[int, ...]]) -> list[Block]:
+    """The blocks that aren't furniture: a mark is void where it holds the page's article, or most of its slot text."""
+    mass: Counter[int] = Counter()  # by mark; -1 is the page
+    within: dict[int, Counter[int]] = {k: Counter() for k in range(-1, len(marks))}
+    for b in blocks:
+        if not b.fixed and not any(marks[m].kind == "talk" for m in b.marks):
+            for k in (-1, *b.marks):
+                mass[k] += len(b.text)
+                if b.article:
+                    within[k][b.article] += len(b.text)
+    held = Counter(m for x in articles for m in x)
+    void = set()
+    for k, mark in enumerate(marks):
+        if mark.kind == "talk":
+            continue
+        many = 2 * mass[k] > mass[-1]
+        if mark.article:
+            holds = many and mark.kind != "firm"
+        else:
+            other = within[-1].total() - within[k].total()
+            # a lone article, or one with more text than stands outside, is the page's; several small ones are links
+            holds = bool(within[k]) and max(within[k].values()) > other and (other > 0 or held[k] == 1 or many)
+            holds |= many and (mark.kind == "form" or mark.kind == "class" and held[k] == len(articles))
+        if holds:
+            void.add(k)
+    return [b for b in blocks if void.issuperset(b.marks)]
 
 
 def host_of(url: str | None) -> str:
@@ -181,9 +265,9 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
         for batch in sized_slices(batches, "html"):
             rows = []
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                host, (blocks, roles) = host_of(url), read_page(page)
+                host, (blocks, roles, _, _) = host_of(url), read_page(page)
                 mark = xxhash.xxh64_intdigest(page.encode()) >> 1
-                counts = Counter((text_key(b), b.role.rpartition("/")[0], len(b.text)) for b in blocks)
+                counts = Counter((text_key(b), b.role.rpartition("/")[0], 0 if b.marks else len(b.text)) for b in blocks)
                 rows += [(host, k, mark, n, role, chars * n) for (k, role, chars), n in counts.items()]
                 rows += [(host, _key("tag", role), mark, n, None, 0) for role, n in roles.items()]
             yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), types, strict=True)], names=names) if rows else _none(names, types)
@@ -214,15 +298,19 @@ def _none(names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
 
 def main_text(page: str, boilerplate: frozenset[int], main: str | None) -> str:
     """The page's slots in its article, or in the host's main role, or else in its own role with most text."""
-    blocks, _ = read_page(page)
+    blocks, _, marks, articles = read_page(page)
+    if boilerplate:
+        blocks = [b._replace(fixed=text_key(b) in boilerplate) for b in blocks]
+    if marks:
+        blocks = unmarked(blocks, marks, articles)
     if any(b.article for b in blocks):
         return "\n\n".join(b.text for b in blocks if b.article)
-    blocks = [b for b in blocks if text_key(b) not in boilerplate]
+    slots = [b for b in blocks if not b.fixed]
     mass: Counter[str] = Counter()
-    for b in blocks:
+    for b in slots:
         mass[b.role.rpartition("/")[0]] += len(b.text)
-    home = main if main and any(b.role.startswith(main) for b in blocks) else max(mass, key=lambda x: (mass[x], x), default="")
-    return "\n\n".join(b.text for b in blocks if b.role.startswith(home))
+    home = main if main and any(b.role.startswith(main) for b in slots) else max(mass, key=lambda x: (mass[x], x), default="")
+    return "\n\n".join(b.text for b in slots if b.role.startswith(home))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -419,6 +419,21 @@ def test_templates(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_wrappers_are_not_furniture():
+    inner = "<article><h1>Head</h1><p>Some text of the page</p></article>"
+    for name in ("layout has-sidebar", "no-sidebar", "with-related", "page-with-ads", "sidebar-left", "site-header-adjacent", "ad"):
+        assert html_text.main_text(f"<div class='{name}'>{inner}</div>", frozenset(), None) == "Head\n\nSome text of the page"
+        assert html_text.main_text(f"<div id='{name}'>{inner}</div><p>x</p>", frozenset(), None) == "Head\n\nSome text of the page"
+    form = "<form id=aspnetForm><nav>Menu</nav><div class=widget>Side</div>{}<div id=comments><p>First! " + "me too " * 99 + "</p></div></form>"
+    for text in (inner, inner.replace("article", "div"), inner.replace("article", "main")):
+        assert html_text.main_text(form.format(text), frozenset(), None) == "Head\n\nSome text of the page"
+    for name in ("sidebar", "widget-area", "footer-links", "related-posts", "menu_2", "site-navigation", "ad-box", "social share", "comment-list"):
+        assert html_text.main_text(f"{inner}<div class='{name}'><p>Other</p></div>", frozenset(), None) == "Head\n\nSome text of the page"
+    teasers = "<div class='related'><article>one</article><article>two</article></div>"
+    assert html_text.main_text(inner + teasers, frozenset(), None) == html_text.main_text(inner.replace("article", "div") + teasers, frozenset(), None) == "Head\n\nSome text of the page"
+    assert html_text.main_text("<article></article><div class='ad'>Buy</div><div class='related'>More</div>", frozenset(), None) == ""
+
+
 def test_copies_are_no_template(spark):
     page = "<div class='a'><h1>One head</h1></div><div class='b'><p>First {0}.</p><p>Second {0}.</p></div>"
     rows_ = [(i, f"http://h.example/{i}", page.format("copy")) for i in range(6)] + [(6, "http://h.example/6", page.format("other"))]
