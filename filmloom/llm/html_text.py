@@ -7,8 +7,9 @@
 2. Tokens with equal vectors form an equivalence class. A class is valid when it has CLASS_TOKENS tokens on CLASS_PAGES
    pages and on the share SHARE of the host's; valid classes nest in the one that stands on all pages, and together
    they are the host's template. The text blocks in it are boilerplate, and between its tags lie the slots.
-3. Of each page the slots are kept that lie in its article, or, where a page marks none, in the role that holds most
-   of the host's slot text. Text in an article is kept even if it repeats on other pages.
+3. Of each page the slots are kept of the role that holds most of the host's slot text, or those of its article where that
+   holds at least half of the slot text or has that role. An article whose text is template for half or more is a copy,
+   and kept whole.
 4. Elements that are menus, headers, footers, sidebars, notices, adverts, scripts or comments by name, role or class don't
    count, nor do forms. A form or a class doesn't count as such where it is around the page's article or around most of
    the slot text (of classes, those of comments never are, and those of adverts only around an article).
@@ -217,6 +218,10 @@ def read_page(page: str) -> tuple[list[Block], Counter[str], list[Mark], list[tu
     return blocks, roles, marks, articles
 
 
+def _mass(blocks: Iterable[Block]) -> int:
+    return sum(len(b.text) for b in blocks)
+
+
 def unmarked(blocks: list[Block], marks: list[Mark], articles: list[tuple[int, ...]]) -> list[Block]:
     """The blocks that aren't furniture: a mark is void where it holds the page's article, or most of its slot text."""
     mass: Counter[int] = Counter()  # by mark; -1 is the page
@@ -297,15 +302,20 @@ def _none(names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
 
 
 def main_text(page: str, boilerplate: frozenset[int], main: str | None) -> str:
-    """The page's slots in its article, or in the host's main role, or else in its own role with most text."""
+    """The page's slots: those of its article where this holds most of them or has the host's main role, else of one role."""
     blocks, _, marks, articles = read_page(page)
     if boilerplate:
         blocks = [b._replace(fixed=text_key(b) in boilerplate) for b in blocks]
     if marks:
         blocks = unmarked(blocks, marks, articles)
-    if any(b.article for b in blocks):
-        return "\n\n".join(b.text for b in blocks if b.article)
+    article = [b for b in blocks if b.article]
     slots = [b for b in blocks if not b.fixed]
+    inner = [b for b in slots if b.article]
+    if 2 * _mass(inner) <= _mass(article):
+        # most of the article stands on other pages too: a copy rather than a template
+        slots, inner = [b for b in blocks if b.article or not b.fixed], article
+    if inner and (2 * _mass(inner) >= _mass(slots) or any(b.role.rpartition("/")[0] == main for b in inner)):
+        return "\n\n".join(b.text for b in inner)
     mass: Counter[str] = Counter()
     for b in slots:
         mass[b.role.rpartition("/")[0]] += len(b.text)

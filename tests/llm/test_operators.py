@@ -419,6 +419,26 @@ def test_templates(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def extracted(spark, pages, host="http://h.example/"):
+    df = spark.createDataFrame([(i, f"{host}{i}", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+
+
+def test_template_within_articles(spark):
+    page = "<div class='low'>Fixed end</div><article><h1>Head {0}</h1><p>Tell your friends</p><p>{1}</p><div class='x'>Read also this</div></article>"
+    got = extracted(spark, [page.format(i, f"word {i} " * 20) for i in range(8)])
+    for i in range(8):
+        assert got[i] == f"Head {i}\n\n" + (f"word {i} " * 20).strip()
+    # the same article on half of the pages is a copy, and no template
+    got = extracted(spark, [f"<p>{i}</p><article><h1>Copied</h1><p>All of this</p><p>and that.</p></article>" for i in range(8)])
+    assert all(x == "Copied\n\nAll of this\n\nand that." for x in got.values())
+
+
+def test_teaser_is_not_the_page():
+    page = "<div class='text'><h1>Head</h1><p>" + "long text " * 20 + "</p></div><article class='card'><p>Teaser</p></article>"
+    assert html_text.main_text(page, frozenset(), None).startswith("Head\n\nlong text")
+
+
 def test_wrappers_are_not_furniture():
     inner = "<article><h1>Head</h1><p>Some text of the page</p></article>"
     for name in ("layout has-sidebar", "no-sidebar", "with-related", "page-with-ads", "sidebar-left", "site-header-adjacent", "ad"):
