@@ -7,9 +7,8 @@
 2. Tokens with equal vectors form an equivalence class. A class is valid when it has CLASS_TOKENS tokens on CLASS_PAGES
    pages and on the share SHARE of the host's; valid classes nest in the one that stands on all pages, and together
    they are the host's template. The text blocks in it are boilerplate, and between its tags lie the slots.
-3. Of each page the slots are kept of the role that holds most of the host's slot text, or those of its article where that
-   holds at least half of the slot text or has that role. An article whose text is template for half or more is a copy,
-   and kept whole.
+3. Of each page all slots are kept, or those of its article where that holds at least half of the slot text or has the
+   role that holds most of the host's. An article whose text is template for half or more is a copy, and kept whole.
 4. Elements that are menus, headers, footers, sidebars, notices, adverts, scripts or comments by name, role or class don't
    count, nor do forms. A form or a class doesn't count as such where it is around the page's article or around most of
    the slot text (of classes, those of comments never are, and those of adverts only around an article).
@@ -79,6 +78,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _CLOSES = {x: re.compile(f"</{x}", re.I) for x in RAW}
 _PART = re.compile(r"[^a-z0-9]+")
+_DIGITS = re.compile(r"[0-9]+")
 
 
 class Block(NamedTuple):
@@ -207,7 +207,7 @@ def read_page(page: str) -> tuple[list[Block], Counter[str], list[Mark], list[tu
         if tag in BLOCKS or apart and not top.aside:
             if tag not in BLOCKS:
                 flush()
-            role = f"{top.role}/{tag}" + "".join(f".{x}" for x in sorted(given.get("class", "").split())[:2])
+            role = f"{top.role}/{tag}" + "".join(f".{_DIGITS.sub('0', x)}" for x in sorted(given.get("class", "").split())[:2])
             roles[role] += 1
             inner = top.marks
             if apart and not aside:
@@ -302,7 +302,7 @@ def _none(names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
 
 
 def main_text(page: str, boilerplate: frozenset[int], main: str | None) -> str:
-    """The page's slots: those of its article where this holds most of them or has the host's main role, else of one role."""
+    """The page's slots: those of its article where this holds most of them or has the host's main role, else all."""
     blocks, _, marks, articles = read_page(page)
     if boilerplate:
         blocks = [b._replace(fixed=text_key(b) in boilerplate) for b in blocks]
@@ -315,12 +315,8 @@ def main_text(page: str, boilerplate: frozenset[int], main: str | None) -> str:
         # most of the article stands on other pages too: a copy rather than a template
         slots, inner = [b for b in blocks if b.article or not b.fixed], article
     if inner and (2 * _mass(inner) >= _mass(slots) or any(b.role.rpartition("/")[0] == main for b in inner)):
-        return "\n\n".join(b.text for b in inner)
-    mass: Counter[str] = Counter()
-    for b in slots:
-        mass[b.role.rpartition("/")[0]] += len(b.text)
-    home = main if main and any(b.role.startswith(main) for b in slots) else max(mass, key=lambda x: (mass[x], x), default="")
-    return "\n\n".join(b.text for b in slots if b.role.startswith(home))
+        slots = inner
+    return "\n\n".join(b.text for b in slots)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -439,6 +439,19 @@ def test_teaser_is_not_the_page():
     assert html_text.main_text(page, frozenset(), None).startswith("Head\n\nlong text")
 
 
+def test_all_slots_without_article(spark):
+    page = (
+        "<div class='top'>Welcome</div><div class='post-{0}'><h1>Head {0}</h1><div class='intro'><p>Intro {0}</p></div><div class='body'><p>{1}</p></div>"
+        "<div class='more-{0}'><p>Last {0}</p></div></div><div class='low'>All of it</div><div class='lower'>Ours</div>"
+    )
+    got = extracted(spark, [page.format(i, f"word {i} " * 20) for i in range(8)])
+    for i in range(8):
+        assert got[i] == f"Head {i}\n\nIntro {i}\n\n" + (f"word {i} " * 20).strip() + f"\n\nLast {i}"
+    # text that repeats under a class with a number is template too
+    page = "<div class='post-{0}'><h1>Head {0}</h1><p>Share this</p><p>Print this</p><p>Keep this</p></div>"
+    assert extracted(spark, [page.format(i) for i in range(8)]) == {i: f"Head {i}" for i in range(8)}
+
+
 def test_wrappers_are_not_furniture():
     inner = "<article><h1>Head</h1><p>Some text of the page</p></article>"
     for name in ("layout has-sidebar", "no-sidebar", "with-related", "page-with-ads", "sidebar-left", "site-header-adjacent", "ad"):
