@@ -154,3 +154,21 @@ def test_empty_tables(spark):
     assert aggregate.high_water(none, F.lit(True), "t").first().watermark == datetime.datetime(1970, 1, 1)
     assert aggregate.histogram(none, "v", 5).count() == 0
     assert table.upsert(none, none, ["k"], ["t"]).count() == 0
+
+
+def test_streams_take_files_in_any_order(spark, tmp_path):
+    from filmloom import catalog_queries
+
+    # 24 files, so three batches, newest first: rows of 1,000 days, with alerts in the last hour also
+    for k in range(24):
+        rows_ = [(1000 * k + i, f"2024-01-01 {23 - k:02}:{i:02}:00", k, "error" if (k + i) % 7 == 0 else "view", 1.0 + k % 3) for i in range(60)]
+        rows_ += [(1000 * k + 100 + i, f"20{21 + i % 3}-03-0{1 + i % 5} 0{(k + i) % 4}:30:00", 100 + k, "click" if i % 9 == 0 else "view", 1.5) for i in range(60)]
+        df = spark.createDataFrame(rows_, "event_id long, ts string, user_id long, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    events = spark.read.parquet(f"{tmp_path}/events.parquet")
+    columns = monitor.metrics("value", F.col("event_type") == "error", F.col("event_type") == "click")
+    plan = monitor.health_plan(monitor.health_by_window(events, "ts", columns)).where(F.size("actions") > 0)
+    wanted = {(r.window_start, ",".join(r.actions)) for r in plan.collect()}
+    got = [tuple(r) for r in catalog_queries.queries()["t08_alert_stream"](spark, str(tmp_path)).select("window_start", "actions").collect()]
+    assert len(got) == len(set(got)) == len(wanted) > 24 and set(got) == wanted
+    assert {r.user_id for r in catalog_queries.queries()["t04_stream_dedup"](spark, str(tmp_path)).collect()} == {*range(24), *range(100, 124)}
