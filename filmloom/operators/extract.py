@@ -122,14 +122,23 @@ def link_table(pages: DataFrame, visited: DataFrame | None = None) -> DataFrame:
     return rows if visited is None else rows.join(visited.select(F.col("url").alias("dst")), "dst", "left_anti").select("src", "dst")
 
 
-def crawl_depth(edges: DataFrame, seeds: DataFrame, most: int = 4) -> DataFrame:
-    """url, depth: breadth-first from seeds over edges (src, dst), by a bounded number of joins.
+def crawl_depth(edges: DataFrame, seeds: DataFrame, most: int | None = 4) -> DataFrame:
+    """url, depth: breadth-first from seeds over edges (src, dst), by a bounded number of joins, or until no page is new.
 
     Each step's result is checkpointed to the shared folder, so lineage doesn't grow with the depth.
     """
     shared_folder(edges.sparkSession)
     seen = seeds.select("url").distinct().withColumn("depth", F.lit(0))
     edge = seen
+    if most is None:
+        edges, seen = edges.checkpoint(), seen.checkpoint()
+        edge, depth = seen, 0
+        while not edge.isEmpty():
+            depth += 1
+            step = edges.join(edge.select(F.col("url").alias("src")), "src", "left_semi").select(F.col("dst").alias("url")).distinct()
+            edge = step.join(seen, "url", "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
+            seen = seen.union(edge).checkpoint() if depth % 8 == 0 else seen.union(edge)
+        return seen
     for depth in range(1, most + 1):
         step = edges.join(edge.select(F.col("url").alias("src")), "src", "left_semi").select(F.col("dst").alias("url")).distinct()
         edge = step.join(seen, "url", "left_anti").withColumn("depth", F.lit(depth))

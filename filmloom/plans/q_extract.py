@@ -203,7 +203,9 @@ def p16(spark, d):
 @query("p16_crawl_depth")
 def p16_depth(spark, d):
     pages = read(spark, d, "pages")
-    return extract.crawl_depth(extract.link_table(pages), pages.where("page_id % 10 = 0"), 3)
+    edges = extract.link_table(pages)
+    linked = edges.where("src <> dst").select(F.col("dst").alias("url"))
+    return extract.crawl_depth(edges, pages.where("url is not null").join(linked, "url", "left_anti"), None)
 
 
 @query(

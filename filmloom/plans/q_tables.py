@@ -289,7 +289,7 @@ def s05(spark, d):
 def s06(spark, d):
     path = scratch(spark, "exports")
     for name in ("movies_a", "tv_a", "movies_b"):
-        read(spark, d, "region").coalesce(1).write.csv(f"{path}/{name}")
+        read(spark, d, "orders").write.csv(f"{path}/{name}")
     return readers.latest_files(spark, path, r"^(part)-").select("family")
 
 

@@ -62,6 +62,17 @@ def test_crawl_depth(spark):
     assert got == {"a": 0, "b": 1, "c": 2, "d": 3}
 
 
+def test_crawl_depth_is_whole(spark, tmp_path):
+    from filmloom import catalog_queries
+
+    # a chain of 12 pages, of which the first links to itself too, and a page by itself
+    links = {k: [k + 1] for k in range(1, 12)} | {1: [1, 2], 12: [], 20: []}
+    rows_ = [(k, f"http://h.example/{k}", "".join(f"<a href=\"/{x}\">x</a>" for x in to)) for k, to in links.items()]
+    spark.createDataFrame(rows_, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.url: r.depth for r in catalog_queries.queries()["p16_crawl_depth"](spark, str(tmp_path)).collect()}
+    assert got == {f"http://h.example/{k}": 0 if k == 20 else k - 1 for k in links}
+
+
 def test_routes(spark):
     got = column(spark, route.badge, ["s3-e9", "HD"])
     assert [tuple(x) for x in got] == [("tv", 3, 9), ("movie", None, None)]
