@@ -37,6 +37,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def tied(docs: DataFrame) -> DataFrame:
+    """doc_id, text and tie, a hash of the text, by which rows of one doc_id are ordered and dealt to several ranges."""
+    return texts(docs).withColumn("tie", F.xxhash64("text"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,10 +6,14 @@ cuts minimise padding plus penalties. With best(j) the least cost of cutting the
 window - (j - i) + penalty(j) for a window from i to j, best(j) + j is the least best(i) + i within reach plus
 window + penalty(j): a monotone queue holds the least, so each place costs constant time.
 
-The stream is dealt to tasks by ranges of doc_id; each range is packed by itself, and its last stretch is cut to
-sequences of a power of two, which aren't padded, where that costs less. A
-task keeps one chunk of the stream and the window that is still open. Defined cases: a null or empty text is its end
-id alone; documents without doc_id come first; repeated doc_ids stay apart; an empty table gives no piece.
+The stream is dealt to tasks by ranges of doc_id, as many as shuffle partitions; each range is packed by itself, and its
+last stretch is cut to sequences of a power of two, which aren't padded, where that costs less. Within a range the
+program is solved for CHUNK_TOKENS ids or a little more at a time; the window that is then open goes to the next chunk.
+So cuts, though not what they minimise, change with the number of partitions, and by each chunk's end a few ids of
+padding may be lost against one solution for the whole stream.
+
+Defined cases: a null or empty text is its end id alone; documents without doc_id come first; repeated doc_ids stay
+apart, in the order of a hash of their text; an empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -17,14 +21,15 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmloom.llm.common import partitions, slices, table, texts
-from filmloom.llm.tokens import default_path, encoder
+from filmloom.llm.common import partitions, table, tied
+from filmloom.llm.tokens import default_path, encoder, text_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -77,11 +82,10 @@ def tail_cuts(length: int, window: int) -> list[int]:
     return cuts[1:]
 
 
+@lru_cache(4)
 def sentence_ends(tokenizer: str) -> np.ndarray:
     """For each id, whether a sentence may end after it."""
-    from tokenizers import Tokenizer
-
-    vocabulary = Tokenizer.from_file(tokenizer).get_vocab()
+    vocabulary = encoder(tokenizer).vocabulary()
     ends = np.zeros(max([0, *vocabulary.values()]) + 1, bool)
     for token, at in vocabulary.items():
         # fixed values: sentence marks, and how the file writes a line break
@@ -89,75 +93,115 @@ def sentence_ends(tokenizer: str) -> np.ndarray:
     return ends
 
 
+class _Stream:
+    """The ids of a range that aren't placed yet: of each document its name, ids left, ids placed and all ids."""
+
+    def __init__(self) -> None:
+        self.ids = np.zeros(0, "<u4")
+        self.names, self.left, self.placed, self.total = (np.zeros(0, np.int64) for _ in range(4))
+        self.unnamed = np.zeros(0, bool)
+
+    def add(self, names: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
+        self.names = np.concatenate([self.names, names.fill_null(0).to_numpy()])
+        self.unnamed = np.concatenate([self.unnamed, names.is_null().to_numpy(zero_copy_only=False)])
+        self.left, self.total = np.concatenate([self.left, sizes]), np.concatenate([self.total, sizes])
+        self.placed = np.concatenate([self.placed, np.zeros(len(sizes), np.int64)])
+
+    def stops(self) -> np.ndarray:
+        return np.cumsum(self.left)
+
+    def drop(self, upto: int) -> None:
+        """Forget the ids before a place."""
+        stops = self.stops()
+        first = int(np.searchsorted(stops, upto, "right"))
+        used = upto - (int(stops[first - 1]) if first else 0)
+        self.ids, self.names, self.unnamed, self.total = self.ids[upto:], self.names[first:], self.unnamed[first:], self.total[first:]
+        self.left, self.placed = self.left[first:].copy(), self.placed[first:].copy()
+        if len(self.left):
+            self.left[0] -= used
+            self.placed[0] += used
+
+
+def _cuts(stream: _Stream, ends: np.ndarray, window: int, last: bool) -> np.ndarray:
+    """Ends of sequences. Only the last stretch of a range may be shorter than a window needs."""
+    ids = stream.ids
+    penalty = np.full(len(ids) + 1, np.inf)
+    penalty[GRID::GRID] = HARD_PENALTY
+    penalty[1:][ends[np.minimum(ids, len(ends) - 1)] & (ids < len(ends))] = SENTENCE_PENALTY
+    penalty[stream.stops()] = 0.0
+    spots = np.flatnonzero(penalty[1:] < np.inf) + 1
+    cuts = best_cuts(spots.tolist(), penalty[spots].tolist(), window)
+    end = cuts.pop()
+    if last:
+        begin = cuts[-1] if cuts else 0
+        cuts += [begin + x for x in tail_cuts(end - begin, window)]
+    return np.array(cuts, np.int64)
+
+
+def _pieces(stream: _Stream, cuts: np.ndarray, first_sequence: int, window: int) -> pa.RecordBatch:
+    """The pieces of the sequences that end at cuts."""
+    stops = stream.stops()
+    edges = np.unique(np.concatenate([[0], cuts, stops[stops < cuts[-1]]]))
+    begin, end = edges[:-1], edges[1:]
+    document, sequence = np.searchsorted(stops, begin, "right"), np.searchsorted(cuts, begin, "right")
+    opens = np.concatenate([[0], cuts[:-1]])
+    lengths = cuts - opens
+    fills = np.where(lengths & (lengths - 1), window - lengths, 0)
+    raw = memoryview(stream.ids.tobytes())
+    crc = [zlib.crc32(raw[i:j]) for i, j in zip((4 * begin).tolist(), (4 * end).tolist(), strict=True)]
+    start = begin - (stops - stream.left)[document] + stream.placed[document]
+    columns = [start, end - begin, np.array(crc, np.int64), stream.total[document], first_sequence + sequence, begin - opens[sequence]]
+    columns += [lengths[sequence], fills[sequence]]
+    names = pa.array(stream.names[document], mask=stream.unnamed[document])
+    return pa.RecordBatch.from_arrays([names, *map(pa.array, columns)], names=[x.split()[0] for x in PIECES.split(", ")])
+
+
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece of a document in a sequence."""
     n = partitions(docs.sparkSession)
-    names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, ends, end = encoder(tokenizer), sentence_ends(tokenizer), np.array([end_id], "<u4").tobytes()
-        held: list[list] = []  # doc_id, ids not yet placed, ids before them, all ids of the document
-        size, sequence = 0, 0
+        coder, ends = encoder(tokenizer), sentence_ends(tokenizer)
+        stream, sequence = _Stream(), 0
 
         def place(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, size, sequence
-            stream = np.frombuffer(b"".join(x[1] for x in held), "<u4")
-            stops = np.cumsum([len(x[1]) // 4 for x in held])
-            penalty = np.full(len(stream) + 1, np.inf)
-            penalty[GRID::GRID] = HARD_PENALTY
-            known = stream < len(ends)
-            penalty[1:][known & ends[np.where(known, stream, 0)]] = SENTENCE_PENALTY
-            penalty[stops] = 0.0
-            penalty[-1] = 0.0
-            spots = np.flatnonzero(penalty[1:] < np.inf) + 1
-            cuts = best_cuts(spots.tolist(), penalty[spots].tolist(), window)
-            end = cuts.pop()
-            if last:
-                begin = cuts[-1] if cuts else 0
-                cuts += [begin + x for x in tail_cuts(end - begin, window)]
-            rows, doc, used, first = [], 0, 0, 0
-            base = sequence_base << 32
-            for cut in cuts:
-                offset, length = 0, cut - first
-                fill = padding(length, window)
-                while offset < length:
-                    name, ids, begin, total = held[doc]
-                    take = min(len(ids) // 4 - used, length - offset)
-                    crc = zlib.crc32(ids[4 * used : 4 * (used + take)])
-                    rows.append((name, begin + used, take, crc, total, base + sequence, offset, length, fill))
-                    offset, used = offset + take, used + take
-                    if 4 * used == len(ids):
-                        doc, used = doc + 1, 0
-                first, sequence = cut, sequence + 1
-            rest = held[doc:]
-            if rest and used:
-                rest[0] = [rest[0][0], rest[0][1][4 * used :], rest[0][2] + used, rest[0][3]]
-            held, size = rest, len(stream) - first
-            if rows:
-                columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=names)
-
-        sequence_base = 0
-        for batch in slices(batches):
-            sequence_base = batch.column("part")[0].as_py()
-            coded = coder.encode(batch.column("text").to_pylist())
-            for name, x in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
-                ids = x + end
-                held.append([name, ids, 0, len(ids) // 4])
-                size += len(ids) // 4
-                if size >= CHUNK_TOKENS:
+            nonlocal sequence
+            cuts = _cuts(stream, ends, window, last)
+            if len(cuts):
+                yield _pieces(stream, cuts, sequence, window)
+                sequence += len(cuts)
+                stream.drop(int(cuts[-1]))
+
+        for batch in text_batches(batches):
+            # a range has its own numbers
+            sequence = sequence or batch.column("part")[0].as_py() << 32
+            ids, sizes = coder.ended(batch.column("text"), end_id)
+            at = 0
+            for i, j in chunks(sizes):
+                stream.add(batch.column("doc_id").slice(i, j - i), ids[at : (at := at + int(sizes[i:j].sum()))], sizes[i:j])
+                if len(stream.ids) >= CHUNK_TOKENS:
                     yield from place(False)
-        if held:
+        if len(stream.ids):
             yield from place(True)
 
     return (
-        texts(docs)
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        tied(docs)
+        .repartitionByRange(n, "doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie", "text")
         .withColumn("part", F.spark_partition_id())
         .mapInArrow(run, PIECES)
     )
 
 
+def chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of documents with CHUNK_TOKENS ids or a little more each."""
+    i = 0
+    while i < len(sizes):
+        j = i + 1 + int(np.searchsorted(np.cumsum(sizes[i:]), CHUNK_TOKENS, "left"))
+        yield i, min(j, len(sizes))
+        i = j
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_path())

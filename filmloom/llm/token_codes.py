@@ -6,7 +6,7 @@ found by one rank a level, without decoding its neighbours.
 
 A file is Parquet with one row per segment of whole documents; Spark's commit makes a write safe when an executor is
 lost. Segments follow ascending doc_id. Defined cases: a null or empty text holds the end id alone; documents without
-doc_id come first; repeated doc_ids stay apart, ordered by their text; an empty table gives files without segments.
+doc_id come first; repeated doc_ids stay apart, in the order of a hash of their text; an empty table gives files without segments.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filmloom.llm.common import partitions, scratch, slices, table, texts
-from filmloom.llm.tokens import default_path, encoder
+from filmloom.llm.common import partitions, scratch, slices, table, tied
+from filmloom.llm.tokens import default_path, encoder, text_batches
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -81,29 +81,37 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     n = partitions(docs.sparkSession)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        coder = encoder(tokenizer)
         part, segment, start = 0, 0, 0
-        names: list[int | None] = []
-        coded: list[bytes] = []
+        names: list[pa.Array] = []
+        coded: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             nonlocal segment, start
-            lengths = [len(x) // 4 for x in coded]
-            chunks, bitmaps, ranks = encode_codes(np.frombuffer(b"".join(coded), "<u4"))
-            row = (part, segment, start, sum(lengths), list(names), lengths, chunks, bitmaps, ranks)
-            segment, start = segment + 1, start + sum(lengths)
+            lengths, ids = np.concatenate(sizes), np.concatenate(coded)
+            row = (part, segment, start, len(ids), pa.concat_arrays(names).to_pylist(), lengths.tolist(), *encode_codes(ids))
+            segment, start = segment + 1, start + len(ids)
             names.clear()
             coded.clear()
+            sizes.clear()
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
         held = 0
-        for batch in slices(batches):
+        for batch in text_batches(batches):
             part = batch.column("part")[0].as_py()
-            ids = coder.encode(batch.column("text").to_pylist())
-            for name, x in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
-                names.append(name)
-                coded.append(x + end)
-                held += len(x) // 4 + 1
+            ids, n = coder.ended(batch.column("text"), end_id)
+            ends = np.cumsum(n)
+            i = 0
+            while i < len(n):
+                # whole documents until the segment is full
+                before = int(ends[i - 1]) if i else 0
+                j = min(len(n), i + 1 + int(np.searchsorted(ends[i:] - before, SEGMENT_TOKENS - held, "left")))
+                names.append(batch.column("doc_id").slice(i, j - i))
+                coded.append(ids[before : ends[j - 1]])
+                sizes.append(n[i:j])
+                held += int(ends[j - 1]) - before
+                i = j
                 if held >= SEGMENT_TOKENS:
                     yield flush()
                     held = 0
@@ -116,9 +124,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         + [("doc_ids", longs), ("lengths", longs), ("chunks", blobs), ("bitmaps", blobs), ("ranks", blobs)]
     )
     (
-        texts(docs)
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        tied(docs)
+        .repartitionByRange(n, "doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie", "text")
         .withColumn("part", F.spark_partition_id())
         .mapInArrow(encode, SEGMENTS)
         .write.option("compression", "uncompressed")

@@ -6,9 +6,11 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,8 +42,13 @@ def lowered(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
 
 
+@lru_cache
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
 def direct(text, end):
-    return np.array(Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [end], "<u4")
+    return np.array(tokenizer().encode(text or "", add_special_tokens=False).ids + [end], "<u4")
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +67,9 @@ def rows(sample):
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.sampled_from("ab 's\n\t 　é漢.1\x1c<|endoftext|>"), max_size=40))
 def test_pieces_are_the_whole_text(text):
-    assert tokens.encoder(PATH).encode([text])[0] == direct(text, 0)[:-1].tobytes()
+    ids, sizes = tokens.encoder(PATH).encode(pa.array(["one two", text, "", text]))
+    whole = [direct(x, 0)[:-1].tolist() for x in ("one two", text, "", text)]
+    assert sizes.tolist() == [len(x) for x in whole] and ids.tolist() == [i for x in whole for i in x]
 
 
 @settings(max_examples=50, deadline=None)
