@@ -1,22 +1,24 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot i of the schedule belongs to the source in whose share of the cumulative weights the point frac((i + 1) * g)
-falls, g the golden ratio's fraction. The r-th slot of a source takes block r of its shuffled documents, laid end to
-end and cut to blocks of equal size; when the blocks run out they start over. A source's slots end at its target, and
-its last block is cut there, so that what is taken is the whole part of the target.
+A source has as many slots of the schedule as its target has blocks, and the numbers from 0 to all blocks are dealt to
+the sources by cumulative weight. Number v stands in slot van_der_corput(v), its bits reversed: so any stretch of slots
+holds each source in proportion, and a source of one block has exactly one slot. The r-th slot of a source takes block r
+of its shuffled documents, laid end to end and cut to blocks of equal size; when the blocks run out they start over. A
+source's last block is cut at its target, so that what is taken is the whole part of the target.
 
 Documents of a source are shuffled by md5 of doc_id. Their places come from two sums: over the first three digits of
-the md5, and within one such bucket; a source with most of the rows is spread over 4096 buckets. Slots are ranked
-likewise by stretches of 4096. The table of sources has one row per source.
+the md5, and within one such bucket; a source with most of the rows is spread over 4096 buckets. Slots are made of
+each source's numbers, by stretches that are dealt to all tasks, and ranked by stretches likewise. Tables of a row per
+source (weights, targets) are ordered in one task; Spark broadcasts them only where its own size threshold allows.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a source of its own, last in order;
-documents without doc_id count like any other; repeated doc_ids have equal places in the shuffle and are
-kept apart by size; an empty table gives no row, and sources of size 0 get target 0.
+documents without doc_id count like any other; rows that repeat a doc_id are kept apart, by a hash of the text, and by a
+number where that is equal too; an empty table gives no row, and sources of size 0 get target 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filmloom.llm.common import stored, table
@@ -25,17 +27,28 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
 BLOCK = 1024
-#: Fixed value: the fraction of the golden ratio.
-GOLDEN = 0.6180339887498949
-STRETCH = 4096
+STRETCH = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sized(docs: DataFrame, *more: str | Column) -> DataFrame:
-    """doc_id, source, size in words, and `place`, the md5 that shuffles."""
+#: What tells the rows of a table apart.
+ROW = ("doc_id", "source", "tie", "copy")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with `tie`, a hash of the text, and `copy`, the number of a row among those of equal doc_id, source and text."""
+    rows = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "tie": F.xxhash64(F.coalesce("text", F.lit("")))})
+    if not rows.groupBy("doc_id").count().where("count > 1").take(1):
+        return rows.withColumn("copy", F.lit(0))
+    order = Window.partitionBy("doc_id", "source", "tie").orderBy(*[x for x in ("lang", "n_chars") if x in docs.columns] or ["doc_id"])
+    return rows.withColumn("copy", F.row_number().over(order) - 1)
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, tie, copy, size in words, and `place`, the md5 that shuffles."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return docs.select(F.col("doc_id").cast("long"), F.col("source"), size.alias("size"), place.alias("place"), *more)
+    return numbered(docs).select(*ROW, size.alias("size"), place.alias("place"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -63,35 +76,29 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def schedule(per_source: DataFrame, block: int = BLOCK) -> DataFrame:
-    """slot, source and rank (the slot's number among those of its source), for the slots that are used.
-
-    The weights of the points are the targets; slots beyond a source's last block are left out.
-    """
-    spark = per_source.sparkSession
-    blocks = F.ceil(F.floor("target") / F.lit(block)).cast("long")
-    shares = per_source.where("floor(target) > 0").withColumn("blocks", blocks)
+    """slot, source, source_size, goal (words to take) and rank (the slot's number among those of its source)."""
+    goal = F.floor("target").cast("long")
+    shares = per_source.where(goal > 0).select("source", "source_size", goal.alias("goal"), F.ceil(goal / block).cast("long").alias("blocks"))
     order = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    shares = shares.withColumn("high", F.sum("target").over(order))
-    all_of = F.sum("target").over(Window.partitionBy())
-    shares = shares.withColumn("all", all_of).withColumn("low", F.col("high") - F.col("target"))
-    shares = shares.withColumns({"low": F.col("low") / F.col("all"), "high": F.col("high") / F.col("all")})
-    # slots until every source has its blocks: discrepancy is logarithmic in the number of slots
-    need = shares.agg(F.max(F.ceil((F.col("blocks") + 2) * F.col("all") / F.col("target"))).alias("n")).first()["n"]
-    n = int(need or 0)
-    n = n + 16 * n.bit_length() if n else 0
-    slots = spark.range(n).select(F.col("id").alias("slot"), ((F.col("id") + 1) * F.lit(GOLDEN) % 1.0).alias("point"))
-    # a row per source is broadcast: the names of sources, not their documents
-    edges = F.broadcast(shares.select("source", "blocks", "low", "high"))
-    slots = slots.join(edges, (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
-    slots = slots.withColumn("stretch", F.floor(F.col("slot") / STRETCH))
+    shares = shares.withColumn("high", F.sum("blocks").over(order)).withColumn("all", F.sum("blocks").over(Window.partitionBy()))
+    shares = shares.withColumn("low", F.col("high") - F.col("blocks"))
+    bits = F.greatest(F.ceil(F.log2("all")).cast("int"), F.lit(1))
+    # a source's numbers by stretches, which are dealt to all tasks before they are written out
+    upto = lambda a, b: F.explode(F.sequence(a, b))
+    parts = shares.select("source", "source_size", "goal", "low", "high", bits.alias("bits"), upto(F.floor(F.col("low") / STRETCH), F.floor((F.col("high") - 1) / STRETCH)).alias("part"))
+    parts = parts.repartition("part", "source")
+    first, last = F.greatest("low", F.col("part") * STRETCH), F.least(F.col("high"), (F.col("part") + 1) * STRETCH) - 1
+    slots = parts.select("source", "source_size", "goal", "bits", upto(first, last).alias("number"))
+    # van der Corput: the bits of the number, reversed
+    slot = F.conv(F.reverse(F.lpad(F.bin("number"), F.col("bits"), F.lit("0"))), 2, 10).cast("long")
+    slots = slots.select(slot.alias("slot"), "source", "source_size", "goal").withColumn("stretch", F.floor(F.col("slot") / STRETCH))
     counts = slots.groupBy("source", "stretch").agg(F.count("*").alias("n"))
     before = Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("source", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("source", "stretch").orderBy("slot")
     ranked = slots.withColumn("within", F.row_number().over(within) - 1)
     same = ranked["source"].eqNullSafe(counts["source"]) & (ranked["stretch"] == counts["stretch"])
-    ranked = ranked.join(counts, same).select("slot", ranked["source"], "blocks", (F.col("within") + F.col("base")).alias("rank"))
-    return ranked.where("rank < blocks").drop("blocks")
+    return ranked.join(counts, same).select("slot", ranked["source"], "source_size", "goal", (F.col("within") + F.col("base")).alias("rank"))
 
 
 def laid_out(sizes: DataFrame) -> DataFrame:
@@ -102,21 +109,18 @@ def laid_out(sizes: DataFrame) -> DataFrame:
     counts = counts.select(
         F.col("source").alias("of"), F.col("bucket").alias("at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
-    within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size", "tie", "copy").rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
     docs = docs.join(counts, docs["source"].eqNullSafe(counts["of"]) & (docs["bucket"] == counts["at"]))
     return docs.withColumn("begin", F.col("inner") + F.col("base")).drop("of", "at", "bucket", "base", "inner")
 
 
-def mix(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """slot, source, doc_id, place, start and length: the words of each document that each slot of the mix takes.
+def mix(sizes: DataFrame, per_source: DataFrame, block: int = BLOCK) -> DataFrame:
+    """slot, round, the row (doc_id, source, tie, copy), its size, start and length: the words that each slot takes of it.
 
     A slot's block may run over the end of a source into its next round.
     """
-    per = targets(sizes)
-    slots = schedule(per, block)
-    goal = F.broadcast(per.select(F.col("source").alias("of"), "source_size", F.floor("target").alias("goal")))
-    slots = slots.join(goal, slots["source"].eqNullSafe(F.col("of"))).drop("of")
+    slots = schedule(per_source, block)
     begin = F.col("rank") * block
     end = F.least(begin + block, F.col("goal"))
     # rounds that a block touches, and in each its stretch of the source
@@ -128,33 +132,23 @@ def mix(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
         F.greatest(F.col("b") - offset, F.lit(0)).alias("low"), F.least(F.col("e") - offset, "source_size").alias("high"),
     )
     stretch = lambda a, b: F.explode(F.sequence(F.floor(a / block), F.floor((b - 1) / block)))
-    slots = slots.withColumn("cell", stretch(F.col("low"), F.col("high")))
-    docs = laid_out(sizes).where("size > 0").withColumn("cell", stretch(F.col("begin"), F.col("begin") + F.col("size")))
-    docs = docs.withColumnRenamed("source", "of").withColumnRenamed("cell", "at")
-    joined = slots.join(docs, slots["source"].eqNullSafe(docs["of"]) & (slots["cell"] == docs["at"]))
+    slots = slots.withColumn("cell", stretch(F.col("low"), F.col("high"))).withColumnRenamed("source", "of")
+    docs = laid_out(sizes).where("size > 0").withColumn("at", stretch(F.col("begin"), F.col("begin") + F.col("size")))
+    joined = slots.join(docs, F.col("of").eqNullSafe(F.col("source")) & (F.col("cell") == F.col("at")))
     low = F.greatest("low", "begin", F.col("cell") * block)
     high = F.least("high", F.col("begin") + F.col("size"), (F.col("cell") + 1) * block)
-    return joined.where(low < high).select(
-        "slot", "round", "source", "doc_id", "place", "size", (low - F.col("begin")).alias("start"), (high - low).alias("length")
-    )
+    return joined.where(low < high).select("slot", "round", *ROW, "size", (low - F.col("begin")).alias("start"), (high - low).alias("length"))
 
 
 def taken(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
     """Every document with its source's size and target, and the words of it that the mix takes."""
-    per = targets(sizes)
-    got = mix(sizes, block).groupBy("doc_id", "place", "source", "size").agg(F.sum("length").alias("taken"))
-    got = got.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "taken")
-    docs = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies"))
-    same = docs["doc_id"].eqNullSafe(got["d"]) & docs["source"].eqNullSafe(got["s"]) & (docs["size"] == got["z"])
-    docs = docs.join(got, same, "left").drop("d", "s", "z")
-    # rows alike in id, source and size share what they were given; the first ones get the remainder
-    share = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
-    docs = docs.withColumn("taken", F.coalesce("taken", F.lit(0))).select("*", share)
-    extra = (F.col("copy") <= F.col("taken") % F.col("copies")).cast("long")
-    docs = docs.withColumn("taken", F.floor(F.col("taken") / F.col("copies")) + extra)
-    per = F.broadcast(per.select(F.col("source").alias("of"), "source_size", "target"))
-    docs = docs.join(per, docs["source"].eqNullSafe(F.col("of")))
-    return docs.select("doc_id", "source", "size", "source_size", "target", "taken")
+    per = stored(targets(sizes), "targets")
+    got = mix(sizes, per, block).groupBy(*ROW).agg(F.sum("length").alias("taken"))
+    got = got.select(*[F.col(x).alias(f"{x}_") for x in ROW], "taken")
+    same = [F.col(x).eqNullSafe(F.col(f"{x}_")) for x in ROW]
+    docs = sizes.join(got, same[0] & same[1] & same[2] & same[3], "left")
+    docs = docs.join(per.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    return docs.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

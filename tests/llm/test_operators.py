@@ -631,7 +631,7 @@ def test_mix_covers_what_is_taken(documents):
     texts = ["w " * (7 * k % 90) for k in range(60)]
     sizes = mixing.sized(documents(texts, [f"s{k % 4}" for k in range(60)]))
     seen = defaultdict(list)
-    for r in mixing.mix(sizes, 64).collect():
+    for r in mixing.mix(sizes, mixing.targets(sizes), 64).collect():
         seen[r.doc_id, r.round].append((r.start, r.start + r.length))
     total = Counter()
     for (i, _), many in seen.items():
@@ -649,6 +649,18 @@ def test_schedule_is_even(documents):
         assert abs(slots[:n].count("a") - share * n) < 6
 
 
+def test_schedule_with_a_tiny_source(spark):
+    per = spark.createDataFrame([("big", 10**7, 1.4e7), ("tiny", 1, 2.0), ("none", 0, 0.0), (None, 3000, 2048.0)], "source string, source_size long, target double")
+    blocks = {"big": -(-14_000_000 // 1024), "tiny": 1, None: 2}
+    got = mixing.schedule(per).collect()
+    assert Counter(r.source for r in got) == blocks and len({r.slot for r in got}) == len(got) <= max(r.slot for r in got) + 1 < 2 * len(got)
+    for name, n in blocks.items():
+        mine = sorted((r.slot, r.rank) for r in got if r.source == name)
+        assert [x[1] for x in mine] == list(range(n))
+
+
 def test_rows_alike(documents):
     got = mixing.taken(mixing.sized(documents([(1, "a b c"), (1, "a b c"), (None, "d"), (None, None)]))).collect()
     assert len(got) == 4 and all(r.taken <= 2 * r.size for r in got)
+    got = mixing.taken(mixing.sized(documents([(7, "a b c d e")] * 4 + [(8, "x")]))).collect()
+    assert sum(r.taken for r in got) == 31 and all(r.size <= r.taken <= 2 * r.size for r in got)

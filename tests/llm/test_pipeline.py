@@ -1,6 +1,7 @@
 """The pipeline's stages against what brute force decides on their own inputs."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +62,17 @@ def test_mix_follows_targets(steps):
         assert r.text == before[r.doc_id] or " ".join(mine) in " ".join(words)
 
 
+def test_mix_of_rows_alike(spark, documents):
+    rows = [(7, "a b c d e")] * 4 + [(8, "a  b c"), (8, "a  b c"), (8, "x y z"), (None, "n"), (None, "n"), (9, None)]
+    docs = documents(rows)
+    wanted = sum(r.taken for r in mixing.taken(mixing.sized(docs)).collect())
+    got = corpus_pipeline.mixed(spark, docs, SF).collect()
+    assert sum(len(re.findall(mixing.WORD, r.text)) for r in got) == wanted == 1.5 * 31 // 1
+    assert all(r.text in {7: "a b c d e", 8: "a  b c x y z", None: "n"}[r.doc_id] or r.text in ("a", "a b") for r in got)
+    # no row is taken more than twice
+    assert max(Counter(r.doc_id for r in got).values()) <= 8
+
+
 def test_packed(steps):
     rows = steps[5].collect()
     assert sum(r.length for r in rows) > 0
