@@ -49,15 +49,15 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the schedule takes of each document, a row per round of its source.
 
     Whole documents stay as they are; one that a target cuts keeps the words that are taken, a space between two.
+    Rows that repeat a doc_id, or are equal, take their parts each; documents without words are never taken.
     """
+    docs = mixing.numbered(docs.select(*COLUMNS))
     sizes = stored(mixing.sized(docs), "sizes")
-    rows = mixing.mix(sizes).groupBy("doc_id", "round", "place", "source", "size").agg(
-        F.min("start").alias("start"), F.sum("length").alias("length")
-    )
-    rows = rows.select(F.col("doc_id").alias("of"), "size", "start", "length", F.col("source").alias("from"))
-    whole = docs.select(*COLUMNS, F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long").alias("words"))
-    same = whole["doc_id"].eqNullSafe(rows["of"]) & whole["source"].eqNullSafe(rows["from"]) & (whole["words"] == rows["size"])
-    joined = whole.join(rows, same)
+    per = stored(mixing.targets(sizes), "targets")
+    rows = mixing.mix(sizes, per).groupBy(*mixing.ROW, "round", "size").agg(F.min("start").alias("start"), F.sum("length").alias("length"))
+    rows = rows.withColumnsRenamed({x: f"{x}_" for x in mixing.ROW})
+    same = [F.col(x).eqNullSafe(F.col(f"{x}_")) for x in mixing.ROW]
+    joined = docs.join(rows, same[0] & same[1] & same[2] & same[3])
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
     part = F.array_join(F.slice(words, (F.col("start") + 1).cast("int"), F.col("length").cast("int")), " ")
     text = F.when(F.col("length") == F.col("size"), F.col("text")).otherwise(part)
