@@ -11,11 +11,12 @@ from filmloom.llm.common import stored
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links (v, m): large ones hang every larger neighbour on the least of a node's neighbours, small ones the others.
 
-    The least neighbour is an aggregate that is joined back, so a node with most of the links is not gathered.
+    The least neighbour is an aggregate that is stored and joined back, so a node with most of the links is not
+    gathered, and its rows can be split in the join.
     """
     both = links.select("a", "b")
     both = both.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else both
-    least = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("of"), F.least("a", "least").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("of"), F.least("a", "least").alias("m")), "least")
     joined = both.join(least, both["a"] == least["of"])
     if large:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

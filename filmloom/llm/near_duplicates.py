@@ -4,14 +4,21 @@ A signature has SYMBOLS symbols of 16 bits; two sets of Jaccard likeness J diffe
 Signatures are split into chunks of CHUNK symbols. Two that differ in at most LIMIT = 2 * chunks - 1 places have, by
 the pigeonhole principle, a chunk with at most one error, so they share one of its CHUNK keys that leave one symbol
 out. Every pair within LIMIT therefore meets in a bucket. At J = 0.8 a pair lies beyond LIMIT with a probability of
-about 5 in a million.
-
-Equal sets are one class first. Classes that meet in buckets form candidate clusters, by links to each bucket's least
-member, an aggregate joined back. Each member is compared with its cluster's hub, the one that shares most places with
-the others. What isn't linked with a hub is compared with every member of its cluster, in blocks of bounded size, by
-an index of the block's shingles; a block tells only the links that join what was apart. So every pair of different
-components has had one side compared with the other: no link between different texts is lost, and no group is
-gathered.
+about 5 in a million; such a link is found only if a chain of others holds its ends together.
+
+1. Equal sets are one class first.
+2. In each bucket, members are compared by signature with the bucket's head. Those beyond LIMIT are compared with all
+   members of their bucket, in blocks of bounded size, so that every pair within LIMIT is joined, by itself or by a
+   chain of such pairs. The components of these pairs are the candidate clusters; documents that only meet in a bucket
+   by chance, or share a small part, are in different ones.
+3. Each member is compared with its cluster's hub, the one that shares most places with others, on full sets. What
+   isn't linked with a hub is compared with every member of its cluster, in blocks of bounded size, by an index of the
+   block's shingles; a block tells only the links that join what was apart. So of every two different components of a
+   cluster one side has been compared with the other: no link within it is lost, and no group is gathered. Work on
+   members that aren't linked with their hub grows with their number times the cluster's size.
+
+Shingles are compared as 64-bit hashes of all words' hashes; long words are hashed by xxHash, since the running sums
+that hash short ones can be made to collide on long words.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is alone; a document without doc_id is
 alone, with a null component, and kept; rows that repeat a doc_id are one node, for which its least text speaks;
@@ -24,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +42,10 @@ SYMBOLS = 48
 CHUNK = 4
 LIMIT = 2 * (SYMBOLS // CHUNK) - 1
 BLOCK_SHINGLES = 300_000
+#: Members of a bucket that are compared with as many others at once.
+BLOCK_SIGNATURES = 2048
+#: Bytes of a word from which on it is hashed by itself.
+LONG_WORD = 32
 _rng = np.random.default_rng(5)
 _FLIPS = _rng.integers(0, 1 << 64, SYMBOLS, np.uint64)
 _ODD = _rng.integers(0, 1 << 64, SYMBOLS, np.uint64) | np.uint64(1)
@@ -50,6 +62,8 @@ def shingle_sets(whole: list[bytes], width: int, hashes: RollingHash) -> list[np
     starts, ends = edge[::2], edge[1::2]
     hashes.of(data)
     words = mixed(hashes.stretches(starts, ends) + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        words[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
     firsts = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in whole)]))
     out = []
     odd = [np.uint64(0x9E3779B97F4A7C15 + 2 * k) for k in range(width)]
@@ -93,8 +107,8 @@ def bucket_keys(signatures: np.ndarray) -> np.ndarray:
     return np.concatenate(keys, axis=1).view(np.int64)
 
 
-def features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (equal for equal sets) and signature (null for empty sets)."""
+def features(rows: DataFrame, width: int) -> DataFrame:
+    """Of rows (doc_id, text): doc_id, n_shingles, set_key (equal for equal sets) and signature (null for empty sets)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = RollingHash(17)
@@ -110,7 +124,7 @@ def features(docs: DataFrame, width: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "set_key", "signature"],
             )
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
 def _keys(classes: DataFrame) -> DataFrame:
@@ -126,30 +140,120 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "signature").mapInArrow(run, "key long, rep long")
 
 
+def far(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether signatures, row by row, differ in more than LIMIT places."""
+    return (one != two).sum(axis=-1) > LIMIT
+
+
+def _signatures(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SYMBOLS)
+
+
+def _near_pairs(keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) that join whatever is within LIMIT of each other in a bucket; keys has key and rep."""
+
+    def apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                mark = far(_signatures(batch.column("sig_a")), _signatures(batch.column("sig_b")))
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("head"), pa.array(mark)], names=["rep", "head", "far"])
+
+    heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("members")).where("members > 1")
+    heads = stored(heads.withColumnRenamed("key", "at"), "heads")
+    buckets = stored(keys.join(heads, F.col("key") == F.col("at")).select("key", "rep", "head", "members"), "buckets")
+    signs = classes.select("rep", "signature")
+    pairs = buckets.where("rep <> head").select("rep", "head").distinct()
+    both = pairs.join(signs.withColumnRenamed("signature", "sig_a"), "rep")
+    both = both.join(signs.select(F.col("rep").alias("head"), F.col("signature").alias("sig_b")), "head")
+    judged = stored(both.select("rep", "head", "sig_a", "sig_b").mapInArrow(apart, "rep long, head long, far boolean"), "judged")
+    close = judged.where(~F.col("far")).select(F.col("rep").alias("a"), F.col("head").alias("b"))
+
+    # those far from their head meet all members of their bucket but the head
+    beyond = judged.where("far").select(F.col("rep").alias("r"), F.col("head").alias("h"))
+    beyond = buckets.where("members > 2").join(beyond, (F.col("rep") == F.col("r")) & (F.col("head") == F.col("h")), "left")
+    beyond = beyond.where("rep <> head").select("key", "rep", "members", F.col("r").isNotNull().alias("far"))
+    totals = beyond.groupBy("key").agg(F.sum(F.col("far").cast("long")).alias("n"), F.first("members").alias("m")).where("n > 0")
+    size = F.lit(BLOCK_SIGNATURES)
+    totals = stored(totals.select(F.col("key").alias("at"), F.ceil(F.col("n") / size).alias("groups"), F.ceil(F.col("m") / size).alias("blocks")), "totals")
+    rows = stored(beyond.join(totals, F.col("key") == F.col("at")).join(signs, "rep").select("key", "rep", "far", "signature", "groups", "blocks"), "beyond")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("group", upto("groups"))
+    asked = rows.where("far").withColumn("group", F.pmod(F.xxhash64("rep"), F.col("groups"))).withColumn("block", upto("blocks"))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(block: pa.Table, group: pa.Table) -> pa.Table:
+        if not block.num_rows or not group.num_rows:
+            return out.empty_table()
+        one, two = block.column("rep").to_numpy(), group.column("rep").to_numpy()
+        mine, other = _signatures(block.column("signature")), _signatures(group.column("signature"))
+        joined = Joined()
+        links = []
+        # those close to the head are one already
+        near = one[~block.column("far").to_numpy()].tolist()
+        for x in near[1:]:
+            joined.join(x, near[0])
+        for i in range(len(two)):
+            for k in np.flatnonzero(~far(mine, other[i])).tolist():
+                if joined.join(int(two[i]), int(one[k])):
+                    links.append((int(two[i]), int(one[k])))
+        return pa.table(dict(zip(("a", "b"), zip(*links, strict=True), strict=True)), schema=out) if links else out.empty_table()
+
+    by = ["key", "block", "group"]
+    left = members.select(*by, "rep", "far", "signature").groupBy(*by)
+    more = left.cogroup(asked.select(*by, "rep", "signature").groupBy(*by)).applyInArrow(compare, "a long, b long")
+    return close.union(more)
+
+
+class Joined:
+    """Sets of nodes that were joined."""
+
+    def __init__(self) -> None:
+        self._parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (up := self._parent.setdefault(x, x)) != x:
+            self._parent[x] = x = self._parent.setdefault(up, up)
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """Join two; whether they were apart."""
+        one, two = self.find(a), self.find(b)
+        self._parent[one] = two
+        return one != two
+
+
+def _sets(rows: pa.Table, width: int, hashes: RollingHash) -> list[np.ndarray]:
+    return [y for x in sized_slices(rows.to_batches()) for y in shingle_sets([z.encode() for z in x.column("text").to_pylist()], width, hashes)]
+
+
 def _confirmed(pairs: DataFrame, whole: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike enough; whole has doc_id and text."""
+    """Links (a, b) of members to their hubs, on full sets; pairs has rep, hub and n, whole has doc_id and text.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A hub's members are dealt to blocks by their shingles' number, and its text goes once to each block.
+    """
+    totals = stored(pairs.groupBy("hub").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks")), "totals")
+    rows = pairs.join(totals, "hub").join(whole.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = rows.select("hub", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"), "rep", "text")
+    heads = totals.join(whole.withColumnRenamed("doc_id", "hub"), "hub")
+    heads = heads.select(F.col("hub").alias("hub"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("text").alias("text"))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(block: pa.Table, head: pa.Table) -> pa.Table:
+        if not block.num_rows or not head.num_rows:
+            return out.empty_table()
         hashes = RollingHash(17)
-        for batch in sized_slices(batches, "text_a"):
-            many = [*batch.column("text_a").to_pylist(), *batch.column("text_b").to_pylist()]
-            distinct = {x: i for i, x in enumerate(dict.fromkeys(many))}
-            sets = shingle_sets([x.encode() for x in distinct], width, hashes)
-            n = batch.num_rows
-            keep = []
-            for i in range(n):
-                x, y = sets[distinct[many[i]]], sets[distinct[many[n + i]]]
-                small, large = sorted((len(x), len(y)))
-                if 100 * small < percent * large or not small:
-                    keep.append(False)
-                    continue
+        x = _sets(head, width, hashes)[0]
+        found = []
+        for name, y in zip(block.column("rep").to_pylist(), _sets(block, width, hashes), strict=True):
+            small, large = sorted((len(x), len(y)))
+            if small and 100 * small >= percent * large:
                 same = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * same >= percent * (small + large - same))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+                if 100 * same >= percent * (small + large - same):
+                    found.append(name)
+        return pa.table({"a": found, "b": [head.column("hub")[0].as_py()] * len(found)}, schema=out)
 
-    first = pairs.join(whole.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(whole.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    by = ["hub", "block"]
+    return rows.groupBy(*by).cogroup(heads.groupBy(*by)).applyInArrow(compare, "a long, b long")
 
 
 def _others(rows: DataFrame, whole: DataFrame, width: int, percent: int) -> DataFrame:
@@ -174,38 +278,28 @@ def _others(rows: DataFrame, whole: DataFrame, width: int, percent: int) -> Data
 
     def compare(block: pa.Table, group: pa.Table) -> pa.Table:
         hashes = RollingHash(17)
-        sets = lambda t: [y for x in sized_slices(t.to_batches()) for y in shingle_sets([z.encode() for z in x.column("text").to_pylist()], width, hashes)]
         if not block.num_rows or not group.num_rows:
             return out.empty_table()
         names = block.column("rep").to_pylist()
-        mine = sets(block)
+        mine = _sets(block, width, hashes)
         every = np.concatenate(mine)
         sizes = np.array([len(x) for x in mine])
         owner = np.repeat(np.arange(len(mine)), sizes)
         order = np.argsort(every, kind="stable")
         every, owner = every[order], owner[order]
+        joined = Joined()
         # those linked with the hub are one already
-        parent: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while (up := parent.setdefault(x, x)) != x:
-                parent[x] = x = parent.setdefault(up, up)
-            return x
-
-        hub = next((x for x, y in zip(names, block.column("linked").to_pylist(), strict=True) if y), None)
-        for x, y in zip(names, block.column("linked").to_pylist(), strict=True):
-            if y:
-                parent[find(x)] = find(hub)
+        known = [x for x, y in zip(names, block.column("linked").to_pylist(), strict=True) if y]
+        for x in known[1:]:
+            joined.join(x, known[0])
         links = []
-        for name, x in zip(group.column("rep").to_pylist(), sets(group), strict=True):
+        for name, x in zip(group.column("rep").to_pylist(), _sets(group, width, hashes), strict=True):
             low, high = np.searchsorted(every, x, "left"), np.searchsorted(every, x, "right")
             n = high - low
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
             same = np.bincount(owner[at], minlength=len(mine))
             for i in np.flatnonzero(100 * same >= percent * (sizes + len(x) - same)).tolist():
-                one, two = find(name), find(names[i])
-                if one != two:
-                    parent[one] = two
+                if joined.join(name, names[i]):
                     links.append((name, names[i]))
         return pa.table(dict(zip(("a", "b"), zip(*links, strict=True), strict=True)), schema=out) if links else out.empty_table()
 
@@ -216,42 +310,47 @@ def _others(rows: DataFrame, whole: DataFrame, width: int, percent: int) -> Data
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable over links) and kept, one row per row of docs."""
-    found = stored(features(docs, width), "signatures")
-    usable = found.where("n_shingles > 0 and doc_id is not null")
+    rows = texts(docs)
+    found = stored(features(rows, width), "signatures")
+    nodes, whole = found, rows
+    if _repeats(found):
+        whole = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
+        nodes = stored(features(whole, width), "nodes")
+    usable = nodes.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"), F.any_value("n_shingles").alias("n")
     )
     classes = stored(classes, "classes")
-    keys = _keys(classes)
-    heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("members")).where("members > 1")
-    buckets = keys.join(heads.select(F.col("key").alias("at"), "head", "members"), F.col("key") == F.col("at"))
-    buckets = stored(buckets.groupBy("rep", "head").agg(F.sum("members").alias("shared")), "buckets")
-
-    clusters = components(buckets.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    weight = buckets.groupBy("rep").agg(F.sum("shared").alias("shared"))
-    # equal doc_ids may stand for several sets: the least text speaks for all
-    sizes = classes.groupBy("rep").agg(F.max("n").alias("n"))
-    rows = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(weight, "rep").join(sizes, "rep")
-    rows = stored(rows, "clusters")
-    hubs = rows.groupBy("cluster").agg(F.max_by("rep", F.struct("shared", -F.col("rep"))).alias("hub"), F.max_by("n", F.struct("shared", -F.col("rep"))).alias("m"))
+    near = stored(_near_pairs(_keys(classes), classes), "near")
+
+    clusters = components(near)
+    weight = near.select(F.col("a").alias("rep")).union(near.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("shared"))
+    members = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(weight, "rep").join(classes.select("rep", "n"), "rep")
+    members = stored(members, "clusters")
+    first = F.struct("shared", -F.col("rep"))
+    hubs = members.groupBy("cluster").agg(F.max_by("rep", first).alias("hub"), F.max_by("n", first).alias("m"))
     hubs = stored(hubs, "hubs")  # so that a large cluster's rows can be split in the joins
-    near = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
-    pairs = rows.join(hubs, "cluster").where((F.col("rep") != F.col("hub")) & near).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    alike = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
+    pairs = members.join(hubs, "cluster").where((F.col("rep") != F.col("hub")) & alike).select("rep", "hub", "n")
+    pairs = stored(pairs, "pairs")
 
-    whole = texts(docs).join(rows.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    whole = stored(whole.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(found) else whole, "texts")
+    whole = stored(whole.join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "texts")
     links = stored(_confirmed(pairs, whole, width, percent), "confirmed")
     linked = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).distinct()
-    rows = rows.join(linked.withColumn("linked", F.lit(True)), "rep", "left").join(hubs.select("cluster", "hub"), "cluster")
+    members = members.join(linked.withColumn("linked", F.lit(True)), "rep", "left").join(hubs.select("cluster", "hub"), "cluster")
     # a hub is compared already, whether or not any member is linked with it
-    rows = rows.withColumn("linked", F.coalesce("linked", F.col("rep") == F.col("hub")))
-    more = _others(rows.select("cluster", "rep", "n", "linked"), whole, width, percent)
+    members = members.withColumn("linked", F.coalesce("linked", F.col("rep") == F.col("hub")))
+    more = _others(members.select("cluster", "rep", "n", "linked"), whole, width, percent)
     label = components(stored(links.union(more), "links"))
 
-    ids = classes.select(F.col("set_key").alias("of"), "rep").join(label, F.col("rep") == F.col("node"), "left")
-    ids = ids.select("of", F.coalesce("component", "rep").alias("by_set"))
-    out = found.drop("signature").join(ids, F.col("set_key") == F.col("of"), "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("by_set", "doc_id")).alias("component_id"))
+    by_set = classes.select(F.col("set_key").alias("of"), "rep").join(label, F.col("rep") == F.col("node"), "left")
+    by_set = by_set.select("of", F.coalesce("component", "rep").alias("component"))
+    ids = usable.select("doc_id", "set_key").join(by_set, F.col("set_key") == F.col("of")).select(F.col("doc_id").alias("id"), "component")
+    if nodes is found:
+        out = found.join(by_set, F.when(F.col("doc_id").isNotNull(), F.col("set_key")) == F.col("of"), "left")
+    else:
+        out = found.join(ids, F.col("doc_id") == F.col("id"), "left")
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -261,6 +261,25 @@ def test_near_duplicates_by_blocks(documents, monkeypatch):
     assert got == brute_components(dict(enumerate(texts)), 4, 80)
 
 
+def test_near_duplicates_by_blocks_of_signatures(documents, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK_SIGNATURES", 4)
+    rng = random.Random(5)
+    # two groups that share a part, so that they meet in buckets but are far apart
+    shared = [f"s{rng.randrange(10**6)}" for _ in range(60)]
+    bases = [[*shared, *(f"w{rng.randrange(10**6)}" for _ in range(60))] for _ in range(4)]
+    texts = [edited(rng, bases[k % 4], rng.randint(0, 4)) for k in range(60)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(documents(texts), 4).collect()}
+    assert got == brute_components(dict(enumerate(texts)), 4, 80)
+
+
+def test_long_words_stay_apart(documents):
+    # running sums modulo a power of two can't tell this word from its complement
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    got = near_duplicates.near_duplicates(documents([word, other, f"{word} x", f"{other} x", word.upper()])).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == [0, 1, 2, 3, 0]
+
+
 def test_documents_without_id(documents):
     got = near_duplicates.near_duplicates(documents([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")])).collect()
     assert sorted((str(r.component_id), r.kept) for r in got) == [("1", True), ("1", True), ("None", True)]
