@@ -73,19 +73,33 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
 
 
 def exact_percentile(df: DataFrame, c: str, percent: int) -> DataFrame:
-    """The value at place int(n * p / 100) of the sorted list, without a global sort.
+    """The value at place int(n * p / 100) of the sorted list, without a global sort."""
+    wanted = F.least(F.floor(F.col("all") * percent / 100), F.col("all") - 1)
+    ranked = _ranked_values(df, c)
+    return ranked.where((F.col("upto") > wanted) & (F.col("upto") - F.col("k") <= wanted)).select(F.col(c).alias(f"p{percent}"))
+
+
+def exact_median(df: DataFrame, c: str) -> DataFrame:
+    """The middle value, or the mean of the two in the middle, without a global sort."""
+    low, high = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)
+    at = lambda place: F.max(F.when((F.col("upto") > place) & (F.col("upto") - F.col("k") <= place), F.col(c)))
+    return _ranked_values(df, c).agg(((at(low) + at(high)) / 2).alias("median"))
 
-    Values are counted first; ranks are then running sums of counts, ranged by buckets of values.
+
+def _ranked_values(df: DataFrame, c: str) -> DataFrame:
+    """Each value with its number k, the number of values up to it, and of all.
+
+    Values are counted first; ranks are then running sums of counts, by 4096 equal buckets from the least to the largest.
     """
     counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("k"))
-    buckets = counts.withColumn("b", F.floor(c))
+    edges = counts.agg(F.min(c).cast("double").alias("_low"), F.max(c).cast("double").alias("_high"))
+    width = F.greatest(F.col("_high") - F.col("_low"), F.lit(1e-300))
+    buckets = counts.join(F.broadcast(edges)).withColumn("b", F.floor((F.col(c) - F.col("_low")) / width * 4095))
     per = buckets.groupBy("b").agg(F.sum("k").alias("kb"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("base", F.coalesce(F.sum("kb").over(before), F.lit(0))).withColumn("all", F.sum("kb").over(Window.partitionBy()))
     inner = Window.partitionBy("b").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = buckets.join(per, "b").withColumn("upto", F.col("base") + F.sum("k").over(inner))
-    wanted = F.least(F.floor(F.col("all") * percent / 100), F.col("all") - 1)
-    return ranked.where((F.col("upto") > wanted) & (F.col("upto") - F.col("k") <= wanted)).select(F.col(c).alias(f"p{percent}"))
+    return buckets.join(per, "b").withColumn("upto", F.col("base") + F.sum("k").over(inner))
 
 
 def high_water(ledger: DataFrame, condition: Column, at: str) -> DataFrame:

@@ -71,9 +71,11 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(x)) for c, x in defaults.items()})
 
 
-def merge_detail(items: DataFrame, details: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """A list record overlaid by its detail record, whose columns win where they are present."""
-    d = details.select(key, *[F.col(c).alias(f"_{c}") for c in columns if c in details.columns])
+def merge_detail(items: DataFrame, details: DataFrame, key: str, columns: list[str], *order: str) -> DataFrame:
+    """A list record overlaid by its detail record, whose columns win where they are present; the last of several counts."""
+    have = [c for c in columns if c in details.columns]
+    last = [(F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))) if order else F.max(c)).alias(f"_{c}") for c in have]
+    d = details.groupBy(key).agg(*last)
     joined = items.join(d, key, "left")
     have = set(items.columns)
     made = {c: F.coalesce(f"_{c}", c) if c in have else F.col(f"_{c}") for c in columns}
@@ -128,10 +130,11 @@ def crawl_depth(edges: DataFrame, seeds: DataFrame, most: int | None = 4) -> Dat
     Each step's result is checkpointed to the shared folder, so lineage doesn't grow with the depth.
     """
     shared_folder(edges.sparkSession)
+    edges = edges.checkpoint()  # links are read from the pages once
     seen = seeds.select("url").distinct().withColumn("depth", F.lit(0))
     edge = seen
     if most is None:
-        edges, seen = edges.checkpoint(), seen.checkpoint()
+        seen = seen.checkpoint()
         edge, depth = seen, 0
         while not edge.isEmpty():
             depth += 1

@@ -32,8 +32,11 @@ def known_in(rows: DataFrame, key: str, *tables: tuple[DataFrame, str]) -> DataF
 
 
 def refresh_plan(rows: DataFrame, complete: DataFrame, key: str, flag: str) -> DataFrame:
-    """action: skip what is known and complete, refetch what is known and incomplete, fetch the rest."""
-    joined = rows.join(complete.select(key, flag), key, "left")
+    """action: skip what is known and complete, refetch what is known and incomplete, fetch the rest.
+
+    A key is complete if any of its rows is.
+    """
+    joined = rows.join(complete.groupBy(key).agg(F.max(flag).alias(flag)), key, "left")
     action = F.when(F.col(flag), "skip").when(F.col(flag).isNotNull(), "refetch").otherwise("new")
     return joined.withColumn("action", action).drop(flag)
 
@@ -42,7 +45,8 @@ def remaining(tasks: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return tasks.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def replace_lines(lines: DataFrame, fixes: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """Lines with the text that a dictionary has for their place."""
-    f = fixes.select(*keys, F.col(text).alias("_new"))
+def replace_lines(lines: DataFrame, fixes: DataFrame, keys: list[str], text: str = "text", *order: str) -> DataFrame:
+    """Lines with the text that a dictionary has for their place, the last of several."""
+    last = F.max_by(text, F.struct(*order, text)) if order else F.max(text)
+    f = fixes.groupBy(*keys).agg(last.alias("_new"))
     return lines.join(f, keys, "left").withColumn(text, F.coalesce("_new", text)).drop("_new")

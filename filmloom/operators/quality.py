@@ -54,10 +54,12 @@ def validate_items(df: DataFrame, required: list[str], key: str, content: Column
     Only rows that pass a test enter the next one.
     """
     missing = F.coalesce(F.lit(None).cast("string"), *[F.when(empty(F.col(c)) | (F.col(c).cast("string") == "0"), F.lit(f"missing {c}")) for c in required])
-    rows = df.withColumn("_missing", missing).withColumn("_content", content)
-    by_id = Window.partitionBy("_ok", key).orderBy(*order)
+    rows = df.withColumn("_missing", missing).withColumn("_content", F.md5(content.cast("string")))
+    # rows that failed are in windows of their own, so that they don't meet
+    alone = F.xxhash64(*df.columns)
+    by_id = Window.partitionBy(F.when(F.col("_ok"), F.col(key)), F.when(~F.col("_ok"), alone)).orderBy(*order)
     rows = rows.withColumn("_ok", F.col("_missing").isNull()).withColumn("_id", F.col("_ok") & (F.row_number().over(by_id) > 1))
-    by_content = Window.partitionBy("_fresh", "_content").orderBy(*order)
+    by_content = Window.partitionBy(F.when(F.col("_fresh"), F.col("_content")), F.when(~F.col("_fresh"), alone)).orderBy(*order)
     rows = rows.withColumn("_fresh", F.col("_ok") & ~F.col("_id")).withColumn("_same", F.col("_fresh") & (F.row_number().over(by_content) > 1))
     reason = F.coalesce(
         F.col("_missing"), F.when(F.col("_id"), "duplicate id"), F.when(F.col("_same"), "duplicate content"), *[F.when(c, r) for c, r in rules]

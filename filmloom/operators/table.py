@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmloom.operators.window import first_per_key, last_per_key
+from filmloom.operators.window import first_per_key, last_per_key, last_values
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -37,11 +37,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[st
     return joined.select(*made).select(*target.columns)
 
 
-def upsert_two_keys(target: DataFrame, source: DataFrame, first: str, second: list[str]) -> DataFrame:
+def upsert_two_keys(target: DataFrame, source: DataFrame, first: str, second: list[str], *order: str) -> DataFrame:
     """Rows that match by the first key, else by the second one, are replaced; the rest of the source is added.
 
-    Two equi-joins: never a join with OR. A source row that matches two target rows replaces both.
+    Two equi-joins: never a join with OR. A source row that matches two target rows replaces both. Of source rows with
+    an equal first key, then of those with an equal second one, the last by `order` counts; null keys equal nothing.
     """
+    for keys in ([first], second):
+        named = F.lit(True)
+        for k in keys:
+            named = named & F.col(k).isNotNull()
+        by = [x for x in order if x not in keys] or [x for x in target.columns if x not in keys]
+        rows = source.select(*dict.fromkeys([*target.columns, *order]))
+        source = last_per_key(rows.where(named), keys, *by).unionByName(rows.where(~named))
     kept = target.join(source.select(first).distinct(), first, "left_anti")
     kept = kept.join(source.select(*second).distinct(), second, "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
@@ -54,9 +62,10 @@ def replace_children(children: DataFrame, new_parents: DataFrame, new_children:
     return rest.unionByName(fresh)
 
 
-def fill_missing(target: DataFrame, details: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Columns that came non-empty are set, for every row of a key; `changed` tells where."""
-    d = details.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in columns])
+def fill_missing(target: DataFrame, details: DataFrame, key: str, columns: list[str], *order: str) -> DataFrame:
+    """Columns that came non-empty are set, for every row of a key; `changed` tells where. Of several details of a key the
+    last value that isn't empty counts."""
+    d = last_values(details, [key], columns, *order).select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in columns])
     joined = target.join(d, F.col(key) == F.col("_k"), "left")
     value = {c: F.coalesce(F.nullif(F.col(f"_{c}"), F.lit("")), F.col(c)) for c in columns}
     changed = None
@@ -85,6 +94,8 @@ def migrate_rows(source: DataFrame, target: DataFrame, moves: Column, reshape: C
     return delete_where(source, moves), upsert(target, reshape(source.where(moves)), keys, order)
 
 
-def replace_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Whole rows replaced; nothing of an old one is kept."""
-    return delete_keys(target, source, keys).unionByName(source.select(*target.columns))
+def replace_rows(target: DataFrame, source: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """Whole rows replaced; nothing of an old one is kept. Of several source rows of a key the last by `order` counts."""
+    by = order or [x for x in target.columns if x not in keys]
+    last = last_per_key(source.select(*dict.fromkeys([*target.columns, *order])), keys, *by)
+    return delete_keys(target, source, keys).unionByName(last.select(*target.columns))

@@ -18,6 +18,15 @@ def last_per_key(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, "_v.*")
 
 
+def last_values(df: DataFrame, keys: list[str], columns: list[str], *order: str) -> DataFrame:
+    """Of each column the last value of a key that is neither null nor empty (the greatest, where no order is given)."""
+    made = []
+    for c in columns:
+        value = F.when(F.col(c).cast("string") != "", F.col(c))
+        made.append((F.max_by(value, F.when(value.isNotNull(), F.struct(*order, c))) if order else F.max(value)).alias(c))
+    return df.groupBy(*keys).agg(*made)
+
+
 def flag_repeats(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("is_repeat", F.row_number().over(w) > 1)
@@ -42,15 +51,42 @@ def until_stop(rows: DataFrame, stops: DataFrame, category: list[str], page: str
 
 
 def stop_after_known_items(items: DataFrame, category: list[str], page: str, pos: str, known: Column, k: int) -> DataFrame:
-    """stop_page: the first page at whose end at least k items in a row were known."""
-    w = Window.partitionBy(*category).orderBy(page, pos)
-    rows = items.withColumn("_known", known).withColumn("_run", F.sum(F.when(F.col("_known"), 0).otherwise(1)).over(w))
-    inner = Window.partitionBy(*category, "_run").orderBy(page, pos)
-    rows = rows.withColumn("_n", F.sum(F.when(F.col("_known"), 1).otherwise(0)).over(inner))
-    ends = rows.groupBy(*category, page).agg(F.max_by("_n", pos).alias("_n"))
+    """stop_page: the first page at whose end at least k items in a row were known.
+
+    Each page is reduced to its number of items and how many of them end it known; the run at a page's end is that
+    number, and where all of a page is known, the run before it as well. Only a row per page enters the windows.
+    """
+    rows = items.withColumn("_known", F.coalesce(known, F.lit(False)))
+    missed = F.max(F.when(~F.col("_known"), F.col(pos)))
+    last = rows.groupBy(*category, page).agg(missed.alias("_missed"))
+    per = rows.join(last.withColumnsRenamed({c: f"_{c}" for c in (*category, page)}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*category, page)])
+    per = per.groupBy(*category, page).agg(F.count_if(F.col("_missed").isNull() | (F.col(pos) > F.col("_missed"))).alias("_tail"), F.first("_missed").isNull().alias("_whole"))
+    # runs of pages: a page with a miss starts a new one with its tail, whole pages add to it
+    w = Window.partitionBy(*category).orderBy(page)
+    per = per.withColumn("_run", F.sum(F.when(F.col("_whole"), 0).otherwise(1)).over(w))
+    ends = per.withColumn("_n", F.sum("_tail").over(Window.partitionBy(*category, "_run").orderBy(page)))
     return ends.where(F.col("_n") >= k).groupBy(*category).agg(F.min(page).alias("stop_page"))
 
 
+def trailing_count(df: DataFrame, group: str, time: str, tie: str, most: int) -> DataFrame:
+    """df with n, the rows of its group up to each row in order of time and tie, at most so many.
+
+    Rows are ranked within hours of their group and by the hours before, so a group with most of the rows is spread.
+    """
+    rows = df.withColumn("_h", F.floor(F.unix_timestamp(time) / 3600))
+    per = rows.groupBy(group, "_h").agg(F.count("*").alias("_k"))
+    before = Window.partitionBy(group).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col(group).alias("_g"), F.col("_h").alias("_at"), F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_h").orderBy(time, tie)))
+    rows = rows.join(per, F.col(group).eqNullSafe(F.col("_g")) & F.col("_h").eqNullSafe(F.col("_at")))
+    return rows.select(*df.columns, F.least(F.col("_base") + F.col("_r"), F.lit(most)).alias("n"))
+
+
+def last_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The n rows that come first in an order: a top-n, of which each task keeps n."""
+    return df.orderBy(*order).limit(n)
+
+
 def take_until_quota(df: DataFrame, kind: str, quotas: dict[str, int], *order: str) -> DataFrame:
     w = Window.partitionBy(kind).orderBy(*order)
     most = F.create_map(*[x for k, n in quotas.items() for x in (F.lit(k), F.lit(n))])

@@ -68,7 +68,7 @@ def j07(spark, d):
 )
 def j08(spark, d):
     done = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg((F.max("l_linestatus") == "O").alias("is_complete"))
-    return join.refresh_plan(read(spark, d, "orders").select("o_orderkey"), done, "o_orderkey", "is_complete")
+    return join.refresh_plan(read(spark, d, "orders").select("o_orderkey"), done.union(done), "o_orderkey", "is_complete")
 
 
 @query("j09_remaining_work", "select o_orderkey from orders where o_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F') and o_orderkey not in (select l_orderkey from lineitem where l_tax = 0.0)")
@@ -90,7 +90,7 @@ LINES = """x as (select doc_id, string_split(text, chr(10)) as l from documents)
 @query("j10_replace_lines", f"with {LINES} select doc_id, line_no, case when line_no = 2 and doc_id in (select doc_id from labels) then 'fixed' else text end as text from lines")
 def j10(spark, d):
     fixes = read(spark, d, "labels").select("doc_id", F.lit(2).alias("line_no"), F.lit("fixed").alias("text"))
-    return join.replace_lines(lines(spark, d), fixes, ["doc_id", "line_no"])
+    return join.replace_lines(lines(spark, d), fixes.union(fixes), ["doc_id", "line_no"])
 
 
 @query("j11_surrogate_lookup", "select o_orderkey, show_id from orders join (select c_custkey, row_number() over (order by c_name, c_custkey) as show_id from customer) on o_custkey = c_custkey")
@@ -223,8 +223,8 @@ def a18(spark, d):
 )
 def a19(spark, d):
     rows = read(spark, d, "events")
-    totals = rows.agg(F.round(F.avg("value"), 6).alias("mean"), F.median("value").alias("median"), (F.count_if(F.col("event_type") == "error") / F.count("*")).alias("error_rate"))
-    return totals.join(F.broadcast(aggregate.exact_percentile(rows, "value", 95)))
+    totals = rows.agg(F.round(F.avg("value"), 6).alias("mean"), (F.count_if(F.col("event_type") == "error") / F.count("*")).alias("error_rate"))
+    return totals.join(F.broadcast(aggregate.exact_percentile(rows, "value", 95))).join(F.broadcast(aggregate.exact_median(rows, "value")))
 
 
 @query("a20_high_water", "select coalesce(max(case when event_type = 'purchase' and value > 10 then ts end), timestamp '1970-01-01 00:00:00') as watermark from events")
@@ -348,7 +348,7 @@ def w08(spark, d):
 
 @query("w09_last_n_points", "select count(*) as n, round(avg(value), 6) as mean from (select value from events order by ts desc, event_id desc limit 1000)")
 def w09(spark, d):
-    last = read(spark, d, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(1000)
+    last = window.last_rows(read(spark, d, "events"), 1000, F.desc("ts"), F.desc("event_id"))
     return last.agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
@@ -432,6 +432,6 @@ def u03(spark, d):
 @query("u04_column_difference", "select column_name from (values ('c_custkey'), ('c_name'), ('c_phone')) t(column_name) where column_name not in (select unnest(map_keys(to_json(customer)::json::map(varchar, json))) from customer) and (select count(*) from customer) > 0")
 def u04(spark, d):
     df = read(spark, d, "customer")
-    expected = F.array(*[F.lit(x) for x in ("c_custkey", "c_name", "c_phone")])
-    have = F.map_keys(F.from_json(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}), "map<string,string>"))
-    return df.select(F.explode(F.array_except(expected, have)).alias("column_name")).distinct()
+    # names are metadata; the table only decides whether there is anything to report
+    absent = F.array(*[F.lit(x) for x in ("c_custkey", "c_name", "c_phone") if x not in df.columns]).cast("array<string>")
+    return df.agg(F.count("*").alias("n")).where("n > 0").select(F.explode(absent).alias("column_name"))

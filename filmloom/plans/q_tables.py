@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from filmloom.functions import values
@@ -60,7 +59,7 @@ def m04(spark, d):
     t = read(spark, d, "lineitem").where("l_orderkey % 7 < 4").select(F.col("l_orderkey").alias("series"), F.col("l_suppkey").alias("season"), F.col("l_linenumber").alias("episode"), url.alias("url"), F.lit(0).alias("views")).distinct()
     new = F.when(F.col("series") % 2 == 0, F.col("url")).otherwise(F.concat("url", F.lit("-new")))
     s = t.where("episode <= 3").select("series", "season", "episode", new.alias("url"), F.lit(200).alias("views"))
-    return table.upsert_two_keys(t, s, "url", ["series", "season", "episode"])
+    return table.upsert_two_keys(t, s.withColumn("views", F.lit(100)).union(s), "url", ["series", "season", "episode"], "views")
 
 
 @query("m05_upsert_composite", "select l_orderkey, l_partkey, l_suppkey, arg_max(l_quantity, (l_shipdate, l_linenumber, l_quantity)) as l_quantity from lineitem group by 1, 2, 3")
@@ -93,7 +92,7 @@ def m06(spark, d):
 def m07(spark, d):
     details = read(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_custkey") % 2 == 0, "").otherwise(F.col("c_mktsegment")).alias("o_orderpriority"))
     rows = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return table.fill_missing(rows, details, "o_custkey", ["o_orderpriority"]).drop("o_custkey")
+    return table.fill_missing(rows, details.union(details), "o_custkey", ["o_orderpriority"]).drop("o_custkey")
 
 
 @query("m08_delete", "select p_partkey, p_name from part where not (p_name like '%ring%') and p_partkey not in (select l_partkey from lineitem where l_quantity = 50)")
@@ -130,7 +129,8 @@ def m12(spark, d):
 
 @query("m13_replace_row", f"with {TARGET}, {SOURCE} select * from t where c_custkey not in (select c_custkey from s) union all select * from s")
 def m13(spark, d):
-    return table.replace_rows(*split(spark, d), ["c_custkey"])
+    t, s = split(spark, d)
+    return table.replace_rows(t, s.withColumn("c_name", F.lit("")).union(s), ["c_custkey"], "c_name")
 
 
 # quality
@@ -285,12 +285,12 @@ def s05(spark, d):
     return readers.split_lines(rows, "doc_id", "text")
 
 
-@query("s06_latest_file")
+@query("s06_latest_file", "select family, export from (values ('movies', 'movies_b'), ('tv', 'tv_a')) t(family, export) where (select count(*) from orders) > 0")
 def s06(spark, d):
     path = scratch(spark, "exports")
     for name in ("movies_a", "tv_a", "movies_b"):
         read(spark, d, "orders").write.csv(f"{path}/{name}")
-    return readers.latest_files(spark, path, r"^(part)-").select("family")
+    return readers.latest_files(spark, path, r"/(movies|tv)_[a-z]/").select("family", F.regexp_extract("path", "/([a-z]+_[a-z])/", 1).alias("export"))
 
 
 @query("s07_write_csv_full", "select * from customer")
@@ -352,11 +352,10 @@ def s15(spark, d):
     return writers.printable(read(spark, d, "documents").select("doc_id", "text"))
 
 
-@query("s16_write_lines", f"with {LINES} select doc_id, text as value from lines where doc_id % 10 = doc_id")
+@query("s16_write_lines", f"with {LINES} select doc_id, text as value from lines")
 def s16(spark, d):
-    rows = lines(spark, d).where("doc_id % 10 = doc_id")
-    writers.write_lines(rows, path := scratch(spark, "lines"), "doc_id", "line_no", "text")
-    return spark.read.text(path).select(F.col("doc_id").cast("long").alias("doc_id"), "value")
+    writers.write_lines(lines(spark, d), path := scratch(spark, "lines"), "doc_id", "line_no", "text")
+    return readers.read_lines(spark, path).select(F.col("file").cast("long").alias("doc_id"), F.col("text").alias("value"))
 
 
 # monitoring
@@ -426,7 +425,7 @@ def t04(spark, d):
     base = scratch(spark, "stream")
     rows = monitor.dedup_within(streamed(spark, d), "user_id", "ts", table_span(spark, d)).select("user_id")
     monitor.export_stream(rows, f"{base}/out", f"{base}/mark").awaitTermination()
-    return spark.read.parquet(f"{base}/out").distinct()
+    return spark.read.parquet(f"{base}/out")
 
 
 @query("t05_stream_upsert", "select user_id, max(event_id) as event_id, count(distinct event_type = 'view') as kinds from events group by 1")
@@ -476,8 +475,8 @@ def t08(spark, d):
 )
 def t09(spark, d):
     base = scratch(spark, "stream")
-    rows = streamed(spark, d).select("user_id", "ts", (F.col("event_type") == "error").alias("failed"))
-    out = monitor.consecutive_failures(rows, "user_id", "ts", "failed", 2)
+    rows = streamed(spark, d).select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("failed"))
+    out = monitor.consecutive_failures(rows, "user_id", "ts", "event_id", "failed", 2)
 
     def apply(batch, batch_id):
         batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/out/{batch_id}")
@@ -495,5 +494,4 @@ def x02(spark, d):
 
 @query("w09_last_points_of_type", "select event_id, count(*) over (partition by event_type order by ts, event_id rows between 999 preceding and current row) as n from events")
 def w09_of_type(spark, d):
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id").rowsBetween(-999, 0)
-    return read(spark, d, "events").select("event_id", F.count("*").over(w).alias("n"))
+    return window.trailing_count(read(spark, d, "events"), "event_type", "ts", "event_id", 1000).select("event_id", "n")

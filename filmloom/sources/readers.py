@@ -53,9 +53,14 @@ def read_srt(spark: SparkSession, path: str) -> DataFrame:
     return split_lines(whole, "file", "value")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file and text of lines as write_lines leaves them."""
+    rows = spark.read.text(path, lineSep="\n")
+    return rows.select(F.substring_index("value", "\t", 1).alias("file"), F.expr("substr(value, instr(value, '\t') + 1)").alias("text"))
+
+
 def latest_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """family and path of the newest file of each family; a family is the pattern's first group of the file's name."""
+    """family and path of the newest file of each family; a family is the pattern's first group in a file's path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "modificationTime")
-    name = F.element_at(F.split("path", "/"), -1)
-    rows = files.select(F.regexp_extract(name, pattern, 1).alias("family"), "path", "modificationTime").where("family <> ''")
+    rows = files.select(F.regexp_extract("path", pattern, 1).alias("family"), "path", "modificationTime").where("family <> ''")
     return rows.groupBy("family").agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))

@@ -53,8 +53,9 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_lines(lines: DataFrame, path: str, file: str, line_no: str, text: str) -> None:
-    """Text lines in order, a folder per file."""
-    lines.repartition(file).sortWithinPartitions(file, line_no).select(file, F.col(text).alias("value")).write.partitionBy(file).text(path)
+    """Text lines, those of a file in order and together, each after the file's name and a tab; as many files as tasks."""
+    rows = lines.repartition(file).sortWithinPartitions(file, line_no)
+    rows.select(F.concat(F.col(file).cast("string"), F.lit("\t"), F.coalesce(text, F.lit(""))).alias("value")).write.text(path, lineSep="\n")
 
 
 def append_ledger(ledger_path: str, df: DataFrame, table: str, kind: str, path: str, at: datetime.datetime) -> None:

@@ -63,17 +63,25 @@ def export_stream(events: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def consecutive_failures(events: DataFrame, key: str, time: str, failed: str, k: int) -> DataFrame:
-    """key, failures and stop: the failures in a row at the end of each key's events so far."""
+def consecutive_failures(events: DataFrame, key: str, time: str, tie: str, failed: str, k: int) -> DataFrame:
+    """key, failures and stop: the failures in a row at the end of each key's events so far, in order of time and a number
+    that breaks ties, whatever the order in which they arrive. The state holds the failures since the last success."""
 
     def step(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (n,) = state.get if state.exists else (0,)
+        # the last success, and the failures that may come after it
+        last, after = (state.get[0], list(state.get[1])) if state.exists else (None, [])
         for frame in frames:
-            flags = frame.sort_values(time)[failed].to_numpy(bool)
-            ok = (~flags).nonzero()[0]
-            n = len(flags) - 1 - int(ok[-1]) if len(ok) else n + len(flags)
-        state.update((n,))
-        yield pd.DataFrame({key: [name[0]], "failures": [n], "stop": [n >= k]})
-
-    kind = dict(events.dtypes)[key]
-    return events.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, failures long, stop boolean", "n long", "update", GroupStateTimeout.NoTimeout)
+            at = [(t.value, o) for t, o in zip(frame[time], frame[tie], strict=True)]
+            for place, bad in sorted(zip(at, frame[failed], strict=True)):
+                if bad:
+                    after.append(place)
+                else:
+                    last = place if last is None else max(tuple(last), place)
+            after = [x for x in after if last is None or tuple(x) > tuple(last)]
+        state.update((last, after))
+        yield pd.DataFrame({key: [name[0]], "failures": [len(after)], "stop": [len(after) >= k]})
+
+    kind, place = dict(events.dtypes)[key], "struct<at: long, tie: long>"
+    return events.groupBy(key).applyInPandasWithState(
+        step, f"{key} {kind}, failures long, stop boolean", f"last {place}, after array<{place}>", "update", GroupStateTimeout.NoTimeout
+    )
