@@ -66,10 +66,10 @@ def rules() -> list[Rule]:
     }
     for short, long in elements.items():
         label = f"cc-{short.replace(' ', '-')}"
-        add(label, "cc", f"cc {short}", 60 + len(short), 0.8)
+        add(label, " cc by", f"cc {short}", 60 + len(short), 0.8)
         add(label, "creative commons", f"creative commons {long}(?: international| unported| generic)?(?: (?:public )?{licence})?", 60 + len(short), 0.9)
         for suffix, number in _versions("1.0", "2.0", "2.5", "3.0", "4.0"):
-            add(label + suffix, "cc", f"cc {short} {version}{number}", 70 + len(short), 0.95)
+            add(label + suffix, " cc by", f"cc {short} {version}{number}", 70 + len(short), 0.95)
             add(label + suffix, "creative commons", f"creative commons {long} {version}{number}(?: (?:international|unported|generic))?(?: (?:public )?{licence})?", 70 + len(short), 0.97)
     add("cc0", "cc0", "cc0(?: 1 0)?(?: universal)?", 70, 0.95)
     add("cc0", "creative commons zero", f"creative commons zero(?: {licence})?", 70, 0.95)
@@ -100,9 +100,9 @@ def rules() -> list[Rule]:
         "osl": ("open software", "open software", ("1.0", "2.0", "2.1", "3.0")),
         "afl": ("academic free", "academic free", ("1.1", "1.2", "2.0", "2.1", "3.0")),
         "artistic": ("artistic", "(?:perl )?artistic", ("1.0", "2.0")),
-        "ofl": ("open font", "(?:sil )?open font", ("1.0", "1.1")),
+        "ofl": ("open font licen", "(?:sil )?open font", ("1.0", "1.1")),
         "lppl": ("latex", "latex project public", ("1.0", "1.1", "1.2", "1.3")),
-        "php": (" php lic", "php", ("3.0", "3.01")),
+        "php": (" php licen", "php", ("3.0", "3.01")),
         "psf": ("python", "python(?: software foundation)?", ("2.0",)),
         "bsl": ("boost", "boost software", ("1.0",)),
         "busl": ("business source", "business source", ("1.0", "1.1")),
@@ -114,17 +114,17 @@ def rules() -> list[Rule]:
         "cpl": ("common public", "common public", ("1.0",)),
         "zpl": ("zope", "zope public", ("1.1", "2.0", "2.1")),
         "qpl": (" q public", "q public", ("1.0",)),
-        "isc": (" isc lic", "isc", ()),
-        "mit": (" mit lic", "(?:the )?mit", ()),
-        "expat": (" expat lic", "(?:the )?expat", ()),
-        "x11": (" x11 lic", "(?:the )?x11", ()),
+        "isc": (" isc licen", "isc", ()),
+        "mit": (" mit licen", "(?:the )?mit", ()),
+        "expat": (" expat licen", "(?:the )?expat", ()),
+        "x11": (" x11 licen", "(?:the )?x11", ()),
         "zlib": ("zlib", "zlib(?: libpng)?", ()),
-        "wtfpl": ("what the fuck you want", "do what the fuck you want to public", ("1.0", "2.0")),
+        "wtfpl": ("fuck you want", "do what the fuck you want to public", ("1.0", "2.0")),
         "odbl": ("database", "open (?:data commons open )?database", ("1.0",)),
         "odc-by": ("open data commons", "open data commons attribution", ("1.0",)),
         "pddl": ("dedication and", "public domain dedication and", ("1.0",)),
         "ogl": ("open government", "open government", ("1.0", "2.0", "3.0")),
-        "bsd": (" bsd lic", "(?:modified |new |simplified |revised )?bsd", ()),
+        "bsd": (" bsd licen", "(?:modified |new |simplified |revised )?bsd", ()),
         "ncsa": ("ncsa", "(?:university of illinois )?ncsa(?: open source)?", ()),
         "upl": ("universal permissive", "universal permissive", ("1.0",)),
         "ecl": ("educational community", "educational community", ("1.0", "2.0")),
@@ -159,10 +159,11 @@ def rules() -> list[Rule]:
     add("zlib", "without any express or implied", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", 80, 0.95)
     add("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 80, 0.99)
     add("unlicense", "unlicense org", "(?:refer to )?(?:http )?unlicense org", 60, 0.9)
-    add("wtfpl", "what the fuck you want", "you just do what the fuck you want to", 80, 0.97)
+    add("wtfpl", "fuck you want", "you just do what the fuck you want to", 80, 0.97)
     add("ofl", "font software", "this font software is licensed under the sil open font license", 80, 0.98)
     add("openssl", "openssl", "this product includes software developed by the openssl project", 80, 0.97)
-    add("beerware", "beer", "(?:beer ?ware license|you can buy me a beer in return)", 75, 0.9)
+    add("beerware", "ware license", "beer ?ware license", 75, 0.9)
+    add("beerware", "beer in return", "you can buy me a beer in return", 75, 0.9)
     add("cc0", "person who associated a work", "the person who associated a work with this deed has dedicated the work to the public domain", 80, 0.98)
     add("cc-by", "creativecommons org", "creativecommons org licenses by(?: [0-9] [0-9])?", 78, 0.95)
     add("cc-by-sa", "creativecommons org", "creativecommons org licenses by sa(?: [0-9] [0-9])?", 79, 0.96)
@@ -187,11 +188,11 @@ def rules() -> list[Rule]:
     add("proprietary", "proprietary", "(?:proprietary and confidential|confidential and proprietary|proprietary licen[cs]e)", 60, 0.85)
     add("proprietary", "trade secret", "(?:contains|constitutes) (?:proprietary|confidential) (?:information and )?trade secrets?", 60, 0.85)
     add("non-commercial", "commercial use", "(?:for )?(?:personal and )?non ?commercial use only", 45, 0.7)
-    add("commercial", "commercial lic", f"commercial {licence}(?: agreement)?", 50, 0.7)
-    add("commercial", "end user", f"end user {licence}(?: agreement)?", 50, 0.8)
-    add("commercial", "enterprise lic", f"enterprise {licence}(?: agreement)?", 50, 0.7)
+    add("commercial", "commercial licen", f"commercial {licence}(?: agreement)?", 50, 0.7)
+    add("commercial", "end user licen", f"end user {licence}(?: agreement)?", 50, 0.8)
+    add("commercial", "enterprise licen", f"enterprise {licence}(?: agreement)?", 50, 0.7)
     # what no rule above names; the least priority of all
-    add("licensed", "under", f"(?:licensed|released|distributed|published) under (?:the|an?) (?:\\S+ ){{0,4}}{licence}", 20, 0.5)
+    add("licensed", "licen", f"(?:licensed|released|distributed|published) under (?:the|an?) (?:\\S+ ){{0,4}}{licence}", 20, 0.5)
     return out
 
 
@@ -278,11 +279,12 @@ def scan(docs: DataFrame, known: list[Rule] | None = None) -> DataFrame:
     known = rules() if known is None else known
     # lower() lower-cases more than A-Z, so the gate may only let more texts through; it is much faster than translate()
     rows = texts(docs).select("doc_id", "text", F.lower("text").alias("low"))
-    # a text with none of these words holds neither a base phrase nor a keyword
+    # a text with none of these words holds neither a base phrase nor a keyword; short ones must begin a word
     needles = {max(x.split(), key=len) for x in (*BASE, *(r.keyword for r in known))}
-    gate = F.lit(False)
-    for x in sorted(needles):
-        if not any(y != x and y in x for y in needles):
+    short = sorted(x for x in needles if len(x) < 4)
+    gate = F.regexp_like("low", F.lit(f"(?<![a-z0-9])(?:{'|'.join(short)})")) if short else F.lit(False)
+    for x in sorted(needles - {*short}):
+        if not any(y != x and y in x for y in needles - {*short}):
             gate = gate | F.contains("low", F.lit(x))
     # without a gate, the text of the words is empty and costs nothing further
     words = F.when(gate, F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.col("text")), BETWEEN, " ")), F.lit(" "))).otherwise(F.lit(""))
