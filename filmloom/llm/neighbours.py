@@ -3,14 +3,19 @@
 1. Centroids come from k-means on at most SAMPLE vectors in md5 order of vec_id (the only sample); every vector is put
    in the list of its nearest centroid. A list is dealt to blocks of about BLOCK vectors, and its queries to groups of
    about QUERIES, so one list with most of the vectors or queries is many tasks' work.
-2. A block is rotated by a random orthogonal matrix and held by columns. For each query, partial squared distances grow
-   by COLUMNS dimensions at a time. After d of D dimensions a vector is abandoned when its partial distance rejects, by
-   the test partial > best * d / D * (1 + EPSILON / sqrt(d))**2, that it is nearer than the K-th best so far.
+2. A block is rotated by a random orthogonal matrix and held by columns. For each query, ROWS vectors at a time, partial
+   squared distances grow by COLUMNS dimensions at a time. After d of D dimensions a vector is abandoned when its partial
+   distance rejects, by the test partial > best * d / D * (1 + EPSILON / sqrt(d))**2, that it is nearer than the K-th
+   best so far. A query scans its nearest list first; the K-th best distance found there bounds the other lists' scan.
 3. What is left gets its exact distance in double precision from the original vectors; a query's best K of all its
    blocks are its result, ties to the smaller vec_id.
 
 A query probes as many lists as find the share WANTED of the sample's own neighbours, and further ones until they hold
-ENOUGH vectors; vectors without clusters need many. Recall is measured in tests/llm. Defined cases: vectors that are null, zero, or hold nulls or non-finite numbers take no part, nor do rows
+ENOUGH vectors; vectors without clusters need many. Each block of a list is copied once for every QUERIES queries that ask
+it: where the queries grow with the table, as when every hundredth vector is one, so do these copies, and a search of
+all of them against all remains a product of both. Recall is measured in tests/llm.
+
+Defined cases: vectors that are null, zero, or hold nulls or non-finite numbers take no part, nor do rows
 without vec_id or of another length than most; a query leaves out all rows with its own vec_id; rows that repeat a
 vec_id are candidates each, and as queries the same; fewer than K candidates are all returned; an empty table gives no
 row.
@@ -33,6 +38,7 @@ ENOUGH = 512
 BLOCK = 4096
 QUERIES = 1024
 COLUMNS = 16
+ROWS = 1024
 EPSILON = 2.1
 _OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -84,29 +90,41 @@ def nearest_centres(points: np.ndarray, centres: np.ndarray, n: int) -> np.ndarr
     return np.argsort(apart, axis=1, kind="stable")[:, :n]
 
 
-def scan_block(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = K) -> list[tuple[int, int, float]]:
-    """The k nearest of a block to each query, by the adaptive scan and exact distances."""
+def scan_block(
+    ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray | None = None, k: int = K
+) -> list[tuple[int, int, float]]:
+    """The k nearest of a block to each query, by the adaptive scan and exact distances.
+
+    bounds: for each query a distance beyond which nothing is wanted, as known from other lists.
+    """
     width = points.shape[1]
     turn = np.linalg.qr(np.random.default_rng(1).normal(size=(width, width)))[0]
     columns = np.ascontiguousarray((points @ turn).T)
     turned = queries @ turn
+    bounds = np.full(len(queries), np.inf) if bounds is None else bounds
     out = []
-    for name, query, original in zip(query_ids.tolist(), turned, queries, strict=True):
-        mine = np.flatnonzero(ids != name)
-        # the first rows give a first bound
-        first = ((points[mine[: 4 * k]] - original) ** 2).sum(axis=1)
-        best = np.partition(first, k - 1)[k - 1] if len(first) > k else np.inf
-        partial = np.zeros(len(mine))
-        for d in range(0, width, COLUMNS):
-            stop = min(d + COLUMNS, width)
-            part = columns[d:stop] if len(mine) == len(ids) else columns[d:stop, mine]
-            partial = partial + ((part - query[d:stop, None]) ** 2).sum(axis=0)
-            limit = best * (1 + 1e-9) if stop == width else best * stop / width * (1 + EPSILON / stop**0.5) ** 2
-            keep = partial <= limit + 1e-12
-            mine, partial = mine[keep], partial[keep]
-        exact = np.sqrt(((points[mine] - original) ** 2).sum(axis=1))
-        for i in np.lexsort((ids[mine], exact))[:k].tolist():
-            out.append((name, int(ids[mine[i]]), float(exact[i])))
+    for name, query, original, bound in zip(query_ids.tolist(), turned, queries, bounds.tolist(), strict=True):
+        found, apart = np.zeros(0, np.int64), np.zeros(0)
+        best = bound * bound * (1 + 1e-9)
+        for at in range(0, len(ids), ROWS):
+            mine = at + np.flatnonzero(ids[at : at + ROWS] != name)
+            partial = np.zeros(len(mine))
+            for d in range(0, width, COLUMNS):
+                if not len(mine):
+                    break
+                stop = min(d + COLUMNS, width)
+                partial = partial + ((columns[d:stop, mine] - query[d:stop, None]) ** 2).sum(axis=0)
+                limit = best * (1 + 1e-9) if stop == width else best * stop / width * (1 + EPSILON / stop**0.5) ** 2
+                keep = partial <= limit + 1e-12
+                mine, partial = mine[keep], partial[keep]
+            if len(mine):
+                found = np.concatenate([found, mine])
+                apart = np.concatenate([apart, ((points[mine] - original) ** 2).sum(axis=1)])
+                first = np.lexsort((ids[found], apart))[:k]
+                found, apart = found[first], apart[first]
+                # the k-th best so far bounds the rows that follow
+                best = min(best, float(apart[-1])) if len(found) == k else best
+        out += [(name, x, d) for x, d in zip(ids[found].tolist(), np.sqrt(apart).tolist(), strict=True)]
     return out
 
 
@@ -132,12 +150,29 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             order = nearest_centres(vectors, centres, len(centres))
             before = np.cumsum(held[order], axis=1) - held[order]
             wanted = (np.arange(len(centres)) < probes) | (before < ENOUGH)
-            row, at = np.nonzero(wanted & (held[order] > 0))
+            wanted &= held[order] > 0
+            row, at = np.nonzero(wanted)
             taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(order[row, at]), *taken.columns], names=["list", "query_id", "vector"])
+            first = pa.array(at == wanted.argmax(axis=1)[row])
+            yield pa.RecordBatch.from_arrays([pa.array(order[row, at]), *taken.columns, first], names=["list", "query_id", "vector", "first"])
 
-    asked = queries.select("vec_id", "vector").distinct().mapInArrow(probe, "list long, query_id long, vector array<double>")
+    asked = queries.select("vec_id", "vector").distinct().mapInArrow(probe, "list long, query_id long, vector array<double>, first boolean")
     asked = stored(asked, "probes")
+    # the nearest list first: its k-th best distance bounds the scan of the others
+    near = stored(_scanned(lists, asked.where("first").withColumn("bound", F.lit(float("inf"))), k), "near")
+    bounds = _ranked(near, k).groupBy("query_id").agg(F.when(F.count("*") == k, F.max("score")).alias("most"))
+    others = asked.where(~F.col("first")).join(bounds, "query_id", "left").withColumn("bound", F.coalesce("most", F.lit(float("inf"))))
+    return _ranked(near.union(_scanned(lists, others, k)), k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _scanned(lists: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k nearest of each block of the lists that are asked; asked has list, query_id, vector, bound."""
+    asked = asked.select("list", "query_id", "vector", "bound")
     groups = asked.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).alias("groups"))
     blocks = lists.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = F.broadcast(groups.join(blocks, "list"))  # at most LISTS_MOST rows
@@ -150,18 +185,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             return _OUT.empty_table()
         found = scan_block(
             points.column("vec_id").to_numpy(), np.array(points.column("vector").to_pylist(), float),
-            questions.column("query_id").to_numpy(), np.array(questions.column("vector").to_pylist(), float), k,
+            questions.column("query_id").to_numpy(), np.array(questions.column("vector").to_pylist(), float), questions.column("bound").to_numpy(), k,
         )
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found, strict=True), _OUT, strict=True)], schema=_OUT) if found else _OUT.empty_table()
 
     keys = ["list", "block", "group"]
-    near = (
+    return (
         left.select(*keys, "vec_id", "vector").groupBy(*keys)
-        .cogroup(right.select(*keys, "query_id", "vector").groupBy(*keys))
+        .cogroup(right.select(*keys, "query_id", "vector", "bound").groupBy(*keys))
         .applyInArrow(scan, "query_id long, vec_id long, score double")
     )
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -405,6 +405,36 @@ def test_neighbours_recall(spark):
     assert found >= 0.9 * 600
 
 
+def test_recall_on_embeddings(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows_ = neighbours.usable(df)
+    whole = rows_.collect()
+    ids, points = np.array([r.vec_id for r in whole]), np.array([r.vector for r in whole])
+    found = asked = 0
+    got = defaultdict(set)
+    for r in neighbours.search(rows_, rows_.where("vec_id % 100 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    for q in ids[ids % 100 == 0].tolist():
+        apart = np.sqrt(((points - points[ids == q][0]) ** 2).sum(axis=1))
+        apart[ids == q] = np.inf
+        wanted = set(ids[np.lexsort((ids, apart))[:10]].tolist())
+        asked, found = asked + len(wanted), found + len(wanted & got[q])
+    assert found >= 0.9 * asked
+
+
+def test_bound_tightens():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(5000, 32))
+    got = neighbours.scan_block(np.arange(5000), points, np.array([7]), points[7:8])
+    apart = np.sqrt(((points - points[7]) ** 2).sum(axis=1))
+    apart[7] = np.inf
+    wanted = np.argsort(apart)[:10]
+    assert len({x[1] for x in got} & set(wanted.tolist())) >= 9
+    # with a bound from elsewhere only what is nearer is returned
+    near = neighbours.scan_block(np.arange(5000), points, np.array([7]), points[7:8], np.array([apart[wanted[3]]]))
+    assert {x[1] for x in near} <= set(wanted[:4].tolist()) and len(near) >= 3
+
+
 def test_neighbours_odd_rows(spark):
     rows_ = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (None, [1.0, 1.0]), (6, [2.0, 0.0]), (7, [1.0])]
     df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>")
