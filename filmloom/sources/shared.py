@@ -1,4 +1,4 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, and what the library leaves there."""
 
 from __future__ import annotations
 
@@ -7,16 +7,37 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_written: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the cluster names it; a folder of this machine only where none is set, as in tests."""
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """spark.checkpoint.dir as the cluster names it, else the context's checkpoint folder.
+
+    Where neither is set, a local master gets a temporary folder; a cluster must name one.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="filmloom-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return spark.conf.get("spark.checkpoint.dir", None) or found
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(found)
+    return found
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this driver wrote; call it when no result that reads them is needed any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = hadoop(_written.pop())
+        n += path.getFileSystem(conf).delete(path, True)
+    return n
