@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,19 +10,24 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmloom.sources.shared import new_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Whole texts are long: batches of this many rows go between Spark and Python, unless the session says otherwise.
-BATCH_KEY, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "500"
+#: Whole texts are long: batches of these bytes go between Spark and Python, unless the session says otherwise.
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keeps a worker's memory low: where the session has Spark's default for rows in a batch, it gets fewer."""
+    """Keeps a worker's memory low: where the session has Spark's default for a batch's bytes, it gets fewer.
+
+    The setting is read when a result is computed, so it stays; a session that sets its own keeps that.
+    """
     if spark.conf.get(BATCH_KEY, BATCH_DEFAULT) == BATCH_DEFAULT:
-        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
@@ -46,24 +49,10 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of this machine only where none is set, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="filmloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """df, written as Parquet to the shared folder and read back: it cuts the lineage and outlives executors."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = new_path(spark, name)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

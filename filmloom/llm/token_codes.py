@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filmloom.llm.common import partitions, scratch, slices, table, tied
+from filmloom.llm.common import new_path, partitions, slices, table, tied
 from filmloom.llm.tokens import default_path, encoder, text_batches
 
 CHUNK_BITS = 8
@@ -166,6 +166,6 @@ def document_digests(segments: DataFrame) -> DataFrame:
 
 
 def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "token-codes")
+    path = new_path(spark, "token-codes")
     write_token_files(table(spark, sf_dir, "documents"), path, default_path())
     return document_digests(read_token_files(spark, path))

@@ -31,7 +31,7 @@ from filmloom.llm import (
     tokens,
     toxicity,
 )
-from filmloom.llm.common import scratch
+from filmloom.llm.common import new_path
 from tests.llm.conftest import ODD
 
 PATH = tokens.default_path()
@@ -82,7 +82,7 @@ def test_codes_round_trip(ids):
 
 
 def test_token_files(spark, odd):
-    path = scratch(spark, "codes")
+    path = new_path(spark, "codes")
     token_codes.write_token_files(odd, path, PATH)
     got = token_codes.document_digests(token_codes.read_token_files(spark, path)).orderBy("doc_id").collect()
     start = 0
@@ -94,7 +94,7 @@ def test_token_files(spark, odd):
 
 
 def test_token_files_of_nothing(spark, odd):
-    path = scratch(spark, "codes")
+    path = new_path(spark, "codes")
     token_codes.write_token_files(odd.limit(0), path, PATH)
     assert token_codes.document_digests(token_codes.read_token_files(spark, path)).count() == 0
 
