@@ -2,16 +2,18 @@
 
 1. A bounded sample of labelled rows, at most SAMPLE of each class in md5 order of doc_id, gives the examples. Only
    labels whose crc32(doc_id) mod 3 is not 1 are read. The bound is a parameter; all else covers all documents.
-2. Terms are words, their first three to six letters (stems), and either again where a document has it twice, three
-   times or five times, since a word may be harmless once. Those that stand in label 1 far more often than in label 0
-   (log-likelihood ratio and lift) are the features, at most FEATURES. Their document frequencies come from all
-   documents.
+2. Terms are words, their first three to six letters (stems, as words are inflected), and either again where a document
+   has it twice, three times or five times, since a word may be harmless once. All terms of the examples that stand in
+   label 1 more often than in label 0 by more than chance (log-likelihood ratio and lift) are the features of the fitted
+   space, without a limit to their number; in the space of all terms, the few words that make a text toxic drown in its
+   topic. Their document frequencies come from all documents.
 3. The index is an inverted index over the examples, in blocks with the highest weight of each feature. A document's
    blocks are visited by falling bound until no bound reaches the K-th best cosine, so the neighbours are exact.
 4. Votes of the neighbours are weighted by their similarity. Votes of the examples themselves, each without itself,
    give a monotone calibration, weighted to the classes' shares among the labelled rows.
 
-Features, examples and calibration are bounded by the parameters, so they are broadcast in the tasks' code.
+Features, examples and calibration are bounded by the sample, so they are broadcast in the tasks' code. Texts without
+any feature have no neighbour: they get one score, the calibrated rate of label 1 among such examples.
 Defined cases: a null or empty text and one without features get the calibrated score of "no evidence"; without
 any labels of both classes all scores are 0; rows that repeat a doc_id are scored each; documents without doc_id are
 scored and not held out; null labels are ignored and of repeated ones the larger counts; an empty table gives no row.
@@ -32,7 +34,6 @@ from pyspark.sql import functions as F
 from filmloom.llm.common import sized_slices, stored, table, texts
 
 SAMPLE = 6000
-FEATURES = 4096
 K = 10
 BLOCK = 64
 LEAST_RATIO, LEAST_LIFT = 14.0, 8.0
@@ -218,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     )
     lift = (F.col("a") / n1) / ((F.col("b") + 0.5) / n0)
     picked = by_term.withColumn("ratio", ratio).where((F.col("ratio") >= LEAST_RATIO) & (lift >= LEAST_LIFT))
-    features = {x["term"]: i for i, x in enumerate(picked.orderBy(F.desc("ratio"), "term").limit(FEATURES).collect())}
+    features = {x["term"]: i for i, x in enumerate(picked.orderBy(F.desc("ratio"), "term").collect())}  # bounded by the sample's terms
     stems = stems_of(features)
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

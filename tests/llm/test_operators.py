@@ -367,6 +367,42 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_whole_scores_against_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    marked = {}
+    for r in labels.collect():
+        if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.doc_id in texts:
+            marked[r.doc_id] = max(r.toxic, marked.get(r.doc_id, 0))
+
+    def vector(text):
+        # counts of the model's terms, by going through all terms of the text
+        words = Counter(re.findall(r"[a-z\x80-\U0010ffff]+", text.lower()))
+        counts = Counter(words)
+        for w, n in words.items():
+            counts.update({w[:size] + "-": n for size in toxicity.STEMS if len(w) > size})
+        every = {x: n for x, n in counts.items()} | {f"{x}{level}": n for x, n in counts.items() for level in toxicity.LEVELS if n >= level}
+        out = {i: (1 + math.log(every[x])) * model.index.idf[i] for x, i in model.features.items() if x in every}
+        norm = math.sqrt(sum(x * x for x in out.values()))
+        return {i: x / norm for i, x in out.items()} if norm else {}
+
+    examples = {i: v for i in marked if (v := vector(texts[i]))}
+    got = toxicity.score(docs, model).collect()
+    assert {r.score for r in got if not vector(texts[r.doc_id])} == {model.alone}
+    for r in got:
+        mine = vector(texts[r.doc_id])
+        cosine = {i: sum(x * v.get(k, 0.0) for k, x in mine.items()) for i, v in examples.items()}
+        best = sorted((x for x in cosine.values() if x > 1e-12), reverse=True)[: toxicity.K]
+        assert [round(x.cosine, 8) for x in r.evidence] == [round(x, 8) for x in best]
+        assert all(math.isclose(cosine[x.doc_id], x.cosine, abs_tol=1e-9) and x.toxic == marked[x.doc_id] for x in r.evidence)
+        if best:
+            weights = [(x.cosine**2, x.toxic) for x in r.evidence]
+            share = sum(w * y for w, y in weights) / sum(w for w, _ in weights)
+            assert math.isclose(r.score, float(np.interp(share, model.votes, model.scores)), abs_tol=1e-9)
+        assert r.predicted == (r.score >= 0.7)
+
+
 def test_toxicity_without_labels(odd, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int, text string")
     got = toxicity.score(odd, toxicity.fit(odd, none)).collect()
@@ -460,6 +496,8 @@ def test_main_text():
         "<div class='comment-list'><article><p>no</p></article></div><article class='comment'><p>nor this</p></article></body>"
     )
     assert html_text.main_text(page, frozenset(), None) == "H\n\nkept"
+    page = "<div><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p><object><p>In place of it</p></object><p class='a b c share-price'>9.5</p></div>"
+    assert html_text.main_text(page, frozenset(), None) == "Let x=2 be\n\nIn place of it\n\n9.5"
     for odd_page in ("", "<", "plain", "<p", "<!-- open", "<script>never closed", "</div></p>text", "<a href='x>y</a>"):
         html_text.main_text(odd_page, frozenset(), None)
 
