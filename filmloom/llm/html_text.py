@@ -43,7 +43,7 @@ BLOCKS = frozenset(
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table"
     " tbody td tfoot th thead tr ul".split()
 )
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes canvas audio video".split())
 #: Of these, those that reach to the page's end where their end tag is missing.
 UNCLOSED = frozenset("script style textarea title".split())
 ASIDE = frozenset("nav header footer aside form button select menu dialog search head fieldset".split())
@@ -207,7 +207,7 @@ def read_page(page: str) -> tuple[list[Block], Counter[str], list[Mark], list[tu
         if tag in BLOCKS or apart and not top.aside:
             if tag not in BLOCKS:
                 flush()
-            role = f"{top.role}/{tag}" + "".join(f".{_DIGITS.sub('0', x)}" for x in sorted(given.get("class", "").split())[:2])
+            role = f"{top.role}/{tag}" + "".join(f".{_DIGITS.sub('0', x)}" for x in sorted(given.get("class", "").split()))
             roles[role] += 1
             inner = top.marks
             if apart and not aside:
