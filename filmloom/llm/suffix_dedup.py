@@ -318,15 +318,18 @@ def merged(runs: list[dict], length: int) -> list[tuple[int, int]]:
     return [(i, j) for i, j in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, *more: str) -> DataFrame:
-    """doc_id, the named columns, n_bytes, removed (stretches of bytes) and kept (the other bytes), a row per row."""
+def remove_repeats(docs: DataFrame, length: int = 100, *more: str, as_text: bool = False) -> DataFrame:
+    """doc_id, the named columns, n_bytes, removed (stretches of bytes) and kept (the other bytes), a row per row.
+
+    as_text: kept as text, without characters of which a byte was removed.
+    """
     rows = _numbered(docs, *more)
     runs = repeated_windows(rows, length).withColumnsRenamed({"doc_id": "of", "copy": "number"})
     joined = _packed(rows).join(runs, (F.col("doc_id") == F.col("of")) & (F.col("copy") == F.col("number")), "left")
     joined = joined.select("doc_id", *more, "data", "runs")
     stretches = "array<struct<begin: long, end: long>>"
     schema = joined.select(
-        "doc_id", *more, F.lit(0).cast("long").alias("n_bytes"), F.lit(None).cast(stretches).alias("removed"), F.col("data").alias("kept")
+        "doc_id", *more, F.lit(0).cast("long").alias("n_bytes"), F.lit(None).cast(stretches).alias("removed"), F.col("data").cast("string" if as_text else "binary").alias("kept")
     ).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,24 +345,13 @@ def remove_repeats(docs: DataFrame, length: int = 100, *more: str) -> DataFrame:
                 removed.append([{"begin": i, "end": j} for i, j in out])
                 kept.append(b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)))
             columns = [batch.column(x) for x in ("doc_id", *more)]
-            columns += [pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())]
+            left = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            columns += [pa.array(sizes, pa.int64()), pa.array(removed, kind), left]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *more, "n_bytes", "removed", "kept"])
 
     return joined.mapInArrow(run, schema)
 
 
-def kept_text(result: DataFrame, *more: str) -> DataFrame:
-    """doc_id, the named columns and text: kept as text, without characters of which a byte was removed."""
-    schema = result.select("doc_id", *more, F.lit("").alias("text")).schema
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_slices(batches, "kept"):
-            text = pa.array([x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("doc_id", *more)), text], names=["doc_id", *more, "text"])
-
-    return result.select("doc_id", *more, "kept").mapInArrow(run, schema)
-
-
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["begin"])

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from filmloom.llm.common import sized_slices
 
-PIECES_KEPT = 600_000
+PIECES_KEPT = 400_000
 JOINED = 256
 #: Bytes and rows of texts that are encoded at once.
 BATCH_BYTES, BATCH_TEXTS = 2 << 20, 1024
