@@ -40,8 +40,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of 100 bytes that start earlier in the corpus; n_chars follows the text."""
-    result = suffix_dedup.remove_repeats(_with_absent(docs), 100, "lang", "source", "absent")
-    rows = suffix_dedup.kept_text(result, "lang", "source", "absent")
+    rows = suffix_dedup.remove_repeats(_with_absent(docs), 100, "lang", "source", "absent", as_text=True).withColumnRenamed("kept", "text")
     return _documents(rows.withColumn("n_chars", F.length("text").cast("long")))
 
 
