@@ -8,7 +8,7 @@ FLAGSHIP = "j01_parent_child"
 
 
 def _gathered():
-    from filmloom.plans import q_extract, q_relational, q_tables  # noqa: F401  modules register their queries
+    from filmloom.plans import q_composed, q_extract, q_relational, q_tables  # noqa: F401  modules register their queries
 
     return registry
 

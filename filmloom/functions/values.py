@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -133,6 +135,44 @@ def content_hash(columns: list[str], exclude: tuple[str, ...] = ()) -> Column:
     return F.md5(F.concat_ws("|", *[F.concat(F.lit(f"{x}="), F.coalesce(F.col(x).cast("string"), F.lit(""))) for x in names]))
 
 
+def is_one_of(c: Column, known: list[str]) -> Column:
+    """A per-value predicate as a column: the trimmed value is one of a list, in any case."""
+    return F.upper(F.trim(c)).isin([x.upper() for x in known])
+
+
+def count_matches(text: Column, pattern: str) -> Column:
+    """How often a pattern occurs, such as the images of lit stars."""
+    return F.size(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+
+def join_values(items: Column, separator: str = ", ") -> Column:
+    return F.array_join(F.sort_array(items), separator)
+
+
+def split_values(text: Column, separator: str = ", ") -> Column:
+    return F.split(text, separator)
+
+
+def ms_to_s(ms: Column) -> Column:
+    return ms / 1000.0
+
+
+def json_pack(children: Column) -> Column:
+    """An array of structs as JSON text, in order."""
+    return F.to_json(F.sort_array(children))
+
+
+def reshape_children(children: Column, fields: dict[str, Callable[[Column], Column]]) -> Column:
+    """An array of structs as an array of other structs, each field made of the old element."""
+    return F.transform(children, lambda x: F.struct(*[f(x).alias(name) for name, f in fields.items()]))
+
+
+def last_page(url: Column) -> Column:
+    """The largest page number in a URL, 1 without any."""
+    numbers = F.transform(F.regexp_extract_all(url, F.lit(r"[?&]page=([0-9]+)"), F.lit(1)), lambda x: x.try_cast("int"))
+    return F.coalesce(F.array_max(numbers), F.lit(1))
+
+
 def has_cjk(text: Column) -> Column:
     return text.rlike("[一-鿿]")
 

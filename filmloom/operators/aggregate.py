@@ -102,6 +102,16 @@ def _ranked_values(df: DataFrame, c: str) -> DataFrame:
     return buckets.join(per, "b").withColumn("upto", F.col("base") + F.sum("k").over(inner))
 
 
+def range_profile(df: DataFrame, number: Column, low: int, high: int, top: str) -> DataFrame:
+    """The least and largest number, how many lie outside of a range, and the largest value of a column."""
+    return df.agg(F.min(number).alias("first"), F.max(number).alias("last"), F.count_if(~number.between(low, high)).alias("outside"), F.max(top).alias("top"))
+
+
+def outcome_counts(df: DataFrame, key: str, passed: Column, value: str, order: str) -> DataFrame:
+    """By key, how many passed and failed, and the last value."""
+    return df.groupBy(key).agg(F.count_if(passed).alias("passed"), F.count_if(~passed).alias("failed"), F.max_by(value, order).alias("last_total"))
+
+
 def high_water(ledger: DataFrame, condition: Column, at: str) -> DataFrame:
     """The last export that counts, 1970 if there is none: one row."""
     return ledger.agg(F.coalesce(F.max(F.when(condition, F.col(at))), F.to_timestamp(F.lit("1970-01-01 00:00:00"))).alias("watermark"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,16 @@ def refresh_plan(rows: DataFrame, complete: DataFrame, key: str, flag: str) -> D
     return joined.withColumn("action", action).drop(flag)
 
 
+def surrogate_ids(rows: DataFrame, key: str, natural: str, name: str, prefix: int = 16) -> DataFrame:
+    """key and dense ids from 1 in order of the natural key: ranks within its beginnings and the rows of those before."""
+    named = rows.select(key, natural).withColumn("_b", F.substring(natural, 1, prefix))
+    per = named.groupBy("_b").agg(F.count("*").alias("_k"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_b", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(natural, key))
+    return named.join(per, "_b").select(key, (F.col("_base") + rank).alias(name))
+
+
 def remaining(tasks: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return tasks.join(done.select(*keys).distinct(), keys, "left_anti")
 

@@ -122,6 +122,16 @@ def orphans(children: DataFrame, child_key: str, parents: DataFrame, parent_key:
     return lost.union(p.join(c, "key", "left_anti").withColumn("side", F.lit("parent")))
 
 
+def misplaced(df: DataFrame, **signs: Column) -> DataFrame:
+    """How many rows show each sign of belonging to another table."""
+    return df.agg(*[F.count_if(c).alias(name) for name, c in signs.items()])
+
+
+def present(df: DataFrame, column: str, wanted: bool = True) -> DataFrame:
+    """Rows with, or without, a value in a column."""
+    return df.where(~empty(F.col(column)) if wanted else empty(F.col(column)))
+
+
 def missing_data(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [empty(F.col(c)) for c in columns]))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filmloom.functions.urls import first_match
+
 EPISODE_URL = r"(?i)-s\d+e\d+|-\d+x\d+|season-\d+|episode-\d+"
 BADGE = r"^s(\d+)-e(\d+)"
 
@@ -87,8 +89,9 @@ def off_pages(df: DataFrame, page: list[str], value: str, wanted: str, most: flo
     return df.join(share.select(*page), page, "left_semi")
 
 
-def off_share(df: DataFrame, page: list[str], value: str, wanted: str, slack: int = 2) -> DataFrame:
-    return df.withColumn("off_share", F.avg(F.when(F.abs(F.col(value) - F.col(wanted)) > slack, 1.0).otherwise(0.0)).over(Window.partitionBy(*page)))
+def page_echo(html: Column, shown: str, wanted: Column, card: str) -> Column:
+    """Whether a page shows the number that was asked for, and has any card."""
+    return (first_match(html, shown).try_cast("bigint") == wanted) & html.rlike(card)
 
 
 def redirected(final_url: Column, base: Column, segment: Column) -> Column:

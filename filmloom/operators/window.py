@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -82,6 +82,11 @@ def trailing_count(df: DataFrame, group: str, time: str, tie: str, most: int) ->
     return rows.select(*df.columns, F.least(F.col("_base") + F.col("_r"), F.lit(most)).alias("n"))
 
 
+def trailing_rows(group: str, time: str, seconds: int) -> WindowSpec:
+    """The rows of a group in the seconds up to each row."""
+    return Window.partitionBy(group).orderBy(F.unix_timestamp(time)).rangeBetween(-seconds, 0)
+
+
 def last_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """The n rows that come first in an order: a top-n, of which each task keeps n."""
     return df.orderBy(*order).limit(n)

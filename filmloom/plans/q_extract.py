@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmloom.functions import urls, values
-from filmloom.operators import extract, route
+from filmloom.operators import extract, quality, route
 from filmloom.plans.registry import query, read
 
 TITLE = extract.Rule("title", (r"<title>([^<]*)</title>",))
@@ -312,8 +312,7 @@ def r10(spark, d):
 
 @query("r11_page_echo_check", "select page_id, (try_cast(nullif(regexp_extract(html, 'track\\(([0-9]+)\\)', 1), '') as bigint) = page_id and regexp_matches(html, '<li>')) as valid from pages")
 def r11(spark, d):
-    shown = values.first_match(F.col("html"), r"track\(([0-9]+)\)").try_cast("bigint")
-    return read(spark, d, "pages").select("page_id", ((shown == F.col("page_id")) & F.col("html").rlike("<li>")).alias("valid"))
+    return read(spark, d, "pages").select("page_id", route.page_echo(F.col("html"), r"track\(([0-9]+)\)", F.col("page_id"), "<li>").alias("valid"))
 
 
 PAGED = "select o_orderkey, o_custkey % 50 as page, cast(year(o_orderdate) as integer) as y from orders"
@@ -337,7 +336,7 @@ def r14(spark, d):
 
 @query("r15_quality_present", "select p_partkey, p_name from part where p_brand <> '' order by p_partkey limit 10")
 def r15(spark, d):
-    return read(spark, d, "part").where("p_brand <> ''").orderBy("p_partkey").select("p_partkey", "p_name").limit(10)
+    return quality.present(read(spark, d, "part"), "p_brand").orderBy("p_partkey").select("p_partkey", "p_name").limit(10)
 
 
 @query("r16_classify_page", "select page_id, case when regexp_matches(html, '\\$\\$\\$') then 'list' when regexp_matches(html, '<footer>&copy; m\\.') then 'movie' when regexp_matches(html, 'lang=\"de\"') then 'series' else 'other' end as kind from pages")
@@ -443,7 +442,7 @@ def f11(spark, d):
 
 @query("f12_count_stars", "select page_id, cast(len(regexp_extract_all(html, '<br>')) as integer) as stars from pages")
 def f12(spark, d):
-    return read(spark, d, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<br>"), F.lit(0))).alias("stars"))
+    return read(spark, d, "pages").select("page_id", values.count_matches(F.col("html"), "<br>").alias("stars"))
 
 
 @query(
@@ -488,8 +487,8 @@ def f17(spark, d):
 
 @query("f18_join_values", "select user_id, array_to_string(list_sort(list(distinct event_type)), ', ') as types, cast(count(distinct event_type) as integer) as n from events group by user_id")
 def f18(spark, d):
-    joined = F.array_join(F.sort_array(F.collect_set("event_type")), ", ").alias("types")
-    return read(spark, d, "events").groupBy("user_id").agg(joined).select("user_id", "types", F.size(F.split("types", ", ")).alias("n"))
+    joined = values.join_values(F.collect_set("event_type")).alias("types")
+    return read(spark, d, "events").groupBy("user_id").agg(joined).select("user_id", "types", F.size(values.split_values(F.col("types"))).alias("n"))
 
 
 @query("f19_prefer", "select event_id, coalesce(nullif(case when event_id % 3 = 0 then '' else event_type end, ''), props) as text from events")
@@ -510,7 +509,7 @@ def f21(spark, d):
 
 @query("f22_ms_and_hour", "select event_id, value / 1000.0 as seconds, cast(hour(ts) as integer) as hour from events")
 def f22(spark, d):
-    return read(spark, d, "events").select("event_id", (F.col("value") / 1000.0).alias("seconds"), F.hour("ts").alias("hour"))
+    return read(spark, d, "events").select("event_id", values.ms_to_s(F.col("value")).alias("seconds"), F.hour("ts").alias("hour"))
 
 
 TURNS = T.ArrayType(T.StructType([T.StructField("turn", T.LongType()), T.StructField("role", T.StringType())]))
@@ -518,7 +517,7 @@ TURNS = T.ArrayType(T.StructType([T.StructField("turn", T.LongType()), T.StructF
 
 @query("f23_json_round_trip", "select conv_id, turn, role from conversations")
 def f23(spark, d):
-    packed = F.to_json(F.sort_array(F.collect_list(F.struct("turn", "role")))).alias("episodes")
+    packed = values.json_pack(F.collect_list(F.struct("turn", "role"))).alias("episodes")
     rows = read(spark, d, "conversations").groupBy("conv_id").agg(packed)
     return rows.select("conv_id", F.explode(F.from_json("episodes", TURNS)).alias("e")).select("conv_id", "e.*")
 
@@ -526,7 +525,8 @@ def f23(spark, d):
 @query("f24_reshape_children", "select conv_id, turn + 1 as episode, coalesce(nullif(role, 'system'), 'unknown') as line from conversations")
 def f24(spark, d):
     rows = read(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role")).alias("t"))
-    shaped = F.transform("t", lambda x: F.struct((x["turn"] + 1).alias("episode"), F.coalesce(F.nullif(x["role"], F.lit("system")), F.lit("unknown")).alias("line")))
+    line = lambda x: F.coalesce(F.nullif(x["role"], F.lit("system")), F.lit("unknown"))
+    shaped = values.reshape_children(F.col("t"), {"episode": lambda x: x["turn"] + 1, "line": line})
     return rows.select("conv_id", F.explode(shaped).alias("e")).select("conv_id", "e.*")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filmloom.functions import values
 from filmloom.operators import aggregate, join, window
 from filmloom.plans.registry import query, read
 
@@ -95,13 +96,7 @@ def j10(spark, d):
 
 @query("j11_surrogate_lookup", "select o_orderkey, show_id from orders join (select c_custkey, row_number() over (order by c_name, c_custkey) as show_id from customer) on o_custkey = c_custkey")
 def j11(spark, d):
-    from pyspark.sql import Window
-
-    # dense ids: rank inside buckets of the natural key plus the rows of the buckets before
-    named = read(spark, d, "customer").select("c_custkey", "c_name").withColumn("b", F.substring("c_name", 1, 16))
-    per = named.groupBy("b").agg(F.count("*").alias("k"))
-    per = per.withColumn("base", F.coalesce(F.sum("k").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ids = named.join(per, "b").withColumn("show_id", F.col("base") + F.row_number().over(Window.partitionBy("b").orderBy("c_name", "c_custkey")))
+    ids = join.surrogate_ids(read(spark, d, "customer"), "c_custkey", "c_name", "show_id")
     return read(spark, d, "orders").join(ids, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "show_id")
 
 
@@ -252,8 +247,7 @@ def a23(spark, d):
 
 @query("a24_last_page", "select page_id, coalesce(list_max(list_transform(regexp_extract_all(url, '[?&]page=([0-9]+)', 1), lambda x: cast(x as integer))), 1) as last_page from pages")
 def a24(spark, d):
-    numbers = F.transform(F.regexp_extract_all("url", F.lit(r"[?&]page=([0-9]+)"), F.lit(1)), lambda x: x.try_cast("int"))
-    return read(spark, d, "pages").select("page_id", F.coalesce(F.array_max(numbers), F.lit(1)).alias("last_page"))
+    return read(spark, d, "pages").select("page_id", values.last_page(F.col("url")).alias("last_page"))
 
 
 @query("a25_verification", "select source, count(*) as total, count(*) filter (quality = 1) as valid, count(*) - count(*) filter (quality = 1) as invalid, round(100.0 * (count(*) filter (quality = 1) / count(*)), 2) as percent, count(*) filter (quality = 1) / count(*) >= 0.5 as passed from documents join labels using (doc_id) group by rollup (source)")
@@ -264,14 +258,14 @@ def a25(spark, d):
 
 @query("a26_range_profile", "select cast(min(year(o_orderdate)) as integer) as first_year, cast(max(year(o_orderdate)) as integer) as last_year, count(*) filter (year(o_orderdate) not between 1996 and 2000) as odd_years, max(o_totalprice) as top from orders")
 def a26(spark, d):
-    y = F.year("o_orderdate")
-    return read(spark, d, "orders").agg(F.min(y).alias("first_year"), F.max(y).alias("last_year"), F.count_if(~y.between(1996, 2000)).alias("odd_years"), F.max("o_totalprice").alias("top"))
+    profile = aggregate.range_profile(read(spark, d, "orders"), F.year("o_orderdate"), 1996, 2000, "o_totalprice")
+    return profile.withColumnsRenamed({"first": "first_year", "last": "last_year", "outside": "odd_years"})
 
 
 @query("a27_validation_events", "select user_id, count(*) filter (value >= 20) as passed, count(*) filter (value < 20) as failed, arg_max(value, event_id) as last_total from events where event_type = 'signup' group by 1")
 def a27(spark, d):
-    rows = read(spark, d, "events").where("event_type = 'signup'").groupBy("user_id")
-    return rows.agg(F.count_if(F.col("value") >= 20).alias("passed"), F.count_if(F.col("value") < 20).alias("failed"), F.max_by("value", "event_id").alias("last_total"))
+    rows = read(spark, d, "events").where("event_type = 'signup'")
+    return aggregate.outcome_counts(rows, "user_id", F.col("value") >= 20, "value", "event_id")
 
 
 # windows
@@ -354,9 +348,7 @@ def w09(spark, d):
 
 @query("w10_last_hour", "select event_id, count(*) over (partition by user_id order by epoch(ts)::bigint range between 3600 preceding and current row) as n from (select event_id, user_id, ts from (select event_id, user_id, date_trunc('second', ts) as ts from events))")
 def w10(spark, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy(F.unix_timestamp("ts")).rangeBetween(-3600, 0)
+    w = window.trailing_rows("user_id", "ts", 3600)
     return read(spark, d, "events").select("event_id", F.count("*").over(w).alias("n"))
 
 

@@ -213,7 +213,7 @@ def q10(spark, d):
 
 @query("q11_misplaced_rows", "select count(*) filter (contains(p_name, 'ring')) as in_title, count(*) filter (p_type = 'PROMO') as in_category from part")
 def q11(spark, d):
-    return read(spark, d, "part").agg(F.count_if(F.contains("p_name", F.lit("ring"))).alias("in_title"), F.count_if(F.col("p_type") == "PROMO").alias("in_category"))
+    return quality.misplaced(read(spark, d, "part"), in_title=F.contains("p_name", F.lit("ring")), in_category=F.col("p_type") == "PROMO")
 
 
 @query(

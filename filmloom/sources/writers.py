@@ -25,8 +25,17 @@ def printable(df: DataFrame) -> DataFrame:
     return df.withColumns({f.name: strip_unprintable(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)})
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A full export; quotes are doubled and line breaks kept, so that it reads back as it was."""
+def export_path(folder: str, table: str, kind: str, at: datetime.datetime) -> str:
+    """A folder per run, named by table, kind and time."""
+    return f"{folder.rstrip('/')}/{table}_{kind}_{at:%Y%m%d_%H%M%S}"
+
+
+def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+    """A full export; quotes are doubled and line breaks kept, so that it reads back as it was.
+
+    mark: each file begins with a byte-order mark, before the first column's name.
+    """
+    df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0]) if mark else df
     df.write.csv(path, header=True, escape='"', encoding="UTF-8")
 
 

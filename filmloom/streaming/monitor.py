@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Limits of the mean response time in seconds, the error rate and the duplicate rate.
@@ -53,6 +53,25 @@ def follow_log(spark: SparkSession, path: str, schema: object, files_per_trigger
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+class ProgressCallback(StreamingQueryListener):
+    """Calls on_progress(batch id, rows) after each batch of any stream of the session; add it with spark.streams.addListener."""
+
+    def __init__(self, on_progress: Callable[[int, int], None]):
+        self._on_progress = on_progress
+
+    def onQueryStarted(self, event: object) -> None:
+        pass
+
+    def onQueryProgress(self, event: object) -> None:
+        self._on_progress(event.progress.batchId, event.progress.numInputRows)
+
+    def onQueryIdle(self, event: object) -> None:
+        pass
+
+    def onQueryTerminated(self, event: object) -> None:
+        pass
+
+
 def upsert_stream(events: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Each micro-batch is merged into keyed tables by `apply(batch, batch_id)`, once per batch id."""
     return events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
