@@ -1,13 +1,14 @@
 """Small golden cases of the catalog functions and operators."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from filmloom.functions import urls, values
-from filmloom.operators import aggregate, extract, quality, route, table, window
-from filmloom.sources import readers
+from filmloom.operators import aggregate, extract, join, markup, quality, route, table, window
+from filmloom.sources import readers, shared, writers
 from filmloom.streaming import monitor
 
 
@@ -183,3 +184,75 @@ def test_streams_take_files_in_any_order(spark, tmp_path):
     got = [tuple(r) for r in catalog_queries.queries()["t08_alert_stream"](spark, str(tmp_path)).select("window_start", "actions").collect()]
     assert len(got) == len(set(got)) == len(wanted) > 24 and set(got) == wanted
     assert {r.user_id for r in catalog_queries.queries()["t04_stream_dedup"](spark, str(tmp_path)).collect()} == {*range(24), *range(100, 124)}
+
+
+def test_repeated_keys_do_not_fan_out(spark):
+    target = spark.createDataFrame([("k", ""), ("k", "old"), ("m", "x")], "k string, v string")
+    details = spark.createDataFrame([("k", "a", 1), ("k", "", 3), ("k", "b", 2), ("n", "z", 1)], "k string, v string, at int")
+    assert sorted(tuple(r) for r in table.fill_missing(target, details, "k", ["v"], "at").collect()) == [("k", "b", True), ("k", "b", True), ("m", "x", False)]
+    assert sorted(tuple(r) for r in extract.merge_detail(target, details, "k", ["v"], "at").collect()) == [("k", ""), ("k", ""), ("m", "x")]
+    flags = spark.createDataFrame([("k", False), ("k", True), ("m", False), ("m", False)], "k string, done boolean")
+    assert sorted(tuple(r) for r in join.refresh_plan(target.select("k").distinct(), flags, "k", "done").collect()) == [("k", "skip"), ("m", "refetch")]
+    lines = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "f int, n int, text string")
+    fixes = spark.createDataFrame([(1, 2, "x", 1), (1, 2, "y", 2), (1, 2, "a", 0)], "f int, n int, text string, at int")
+    assert sorted(tuple(r) for r in join.replace_lines(lines, fixes, ["f", "n"], "text", "at").collect()) == [(1, 1, "a"), (1, 2, "y")]
+    rows = details.select("k", "v", "at")
+    assert sorted(tuple(r) for r in table.replace_rows(rows.limit(0), rows, ["k"], "at").collect()) == [("k", "", 3), ("n", "z", 1)]
+    keyed = spark.createDataFrame([("u", 1, 10), ("u", 2, 20), ("w", 2, 30), (None, 5, 1), (None, 6, 2)], "url string, n int, views int")
+    got = table.upsert_two_keys(keyed.limit(0), keyed, "url", ["n"], "views").collect()
+    assert sorted((r.url or "", r.n, r.views) for r in got) == [("", 5, 1), ("", 6, 2), ("w", 2, 30)]
+
+
+def test_known_items_over_pages(spark):
+    # page 1 ends with 2 known, page 2 is known as a whole, page 3 breaks the run and ends with 1
+    known = {1: [False, True, True], 2: [True, True], 3: [True, False, True]}
+    rows = [("c", p, i, k) for p, flags in known.items() for i, k in enumerate(flags)]
+    df = spark.createDataFrame(rows, "category string, page int, pos int, known boolean")
+    stop = lambda k: [r.stop_page for r in window.stop_after_known_items(df, ["category"], "page", "pos", F.col("known"), k).collect()]
+    assert (stop(2), stop(3), stop(4), stop(5)) == ([1], [2], [2], [])
+
+
+def test_nested_markup(spark):
+    page = "<body><ul><li><a href=1>a<li><ul><li><a href=2>b</a><a href=2>c</a></ul><a href=3>d</a></ul><p>x<p>y<br>z</div><ul></ul>"
+    df = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "no tags <"), (5, "</p></ul>")], "k long, html string")
+    nodes = markup.elements(df, "k")
+    assert {r.text for r in nodes.where("tag = 'p'").collect()} == {"x", "yz"} and nodes.where("k > 1").count() == 0
+    assert [tuple(r) for r in markup.nested_lists(nodes, "k", "ul").orderBy("block").collect()] == [(1, 1, 2, "1,3"), (1, 2, 1, "2"), (1, 3, 0, "")]
+    assert markup.elements(df.limit(0), "k").count() == 0
+
+
+def test_files_read_back(spark, tmp_path):
+    srt = "﻿1\r\n00:01\r\nHello\r\n\r\n2\r\n00:02\r\nHi\r\n"
+    (tmp_path / "a.srt").write_bytes(srt.encode())
+    got = readers.read_srt(spark, str(tmp_path / "a.srt")).orderBy("line_no").collect()
+    assert [r.text for r in got] == ["1", "00:01", "Hello", "", "2", "00:02", "Hi", ""] and got[0].file.endswith("a.srt")
+    path = writers.export_path(str(tmp_path), "movies", "full", datetime.datetime(2024, 1, 2, 3, 4, 5))
+    assert path.endswith("/movies_full_20240102_030405")
+    df = spark.createDataFrame([(1, 'a "b"\nc'), (2, None)], "id long, title string")
+    writers.write_csv(df.coalesce(1), path, mark=True)
+    assert next(iter(__import__("pathlib").Path(path).glob("part-*"))).read_bytes().startswith(b"\xef\xbb\xbfid,title")
+    assert sorted(tuple(r) for r in readers.read_csv(spark, path, "id long, title string").collect()) == [(1, 'a "b"\nc'), (2, None)]
+    lines = spark.createDataFrame([("f", 2, "b\tc"), ("f", 1, "a"), ("g", 1, "")], "f string, n int, text string")
+    writers.write_lines(lines, str(tmp_path / "lines"), "f", "n", "text")
+    assert [tuple(r) for r in readers.read_lines(spark, str(tmp_path / "lines")).where("file = 'f'").collect()] == [("f", "a"), ("f", "b\tc")]
+
+
+def test_progress_callback(spark, tmp_path):
+    seen = []
+    listener = monitor.ProgressCallback(lambda batch, rows: seen.append(rows))
+    spark.streams.addListener(listener)
+    spark.range(50).write.parquet(f"{tmp_path}/in")
+    rows = monitor.follow_log(spark, f"{tmp_path}/in", "id long")
+    monitor.upsert_stream(rows, lambda batch, batch_id: batch.count(), f"{tmp_path}/mark").awaitTermination()
+    for _ in range(50):
+        if sum(seen) >= 50:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(listener)
+    assert sum(seen) >= 50
+
+
+def test_release_deletes_what_was_written(spark):
+    path = shared.new_path(spark, "kept-for-a-while")
+    spark.range(3).write.parquet(path)
+    assert shared.release(spark) >= 1 and shared.release(spark) == 0
