@@ -200,7 +200,11 @@ def p16(spark, d):
     return extract.link_table(pages, pages)
 
 
-@query("p16_crawl_depth")
+@query(
+    "p16_crawl_depth",
+    EDGES.replace("with ", "with recursive ", 1) + """, seeds as (select distinct url from pages where url is not null and url not in (select dst from edges where src <> dst)),
+       reach(url, depth) as (select url, 0 from seeds union select dst, depth + 1 from reach join edges on src = url where depth < 64) select url, min(depth) as depth from reach group by url""",
+)
 def p16_depth(spark, d):
     pages = read(spark, d, "pages")
     edges = extract.link_table(pages)

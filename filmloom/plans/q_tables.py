@@ -136,7 +136,12 @@ def m13(spark, d):
 # quality
 
 
-@query("q01_schema_match")
+@query(
+    "q01_schema_match",
+    """with e(column_name, kind) as (values ('p_partkey', 'bigint'), ('p_name', 'string'), ('p_size', 'bigint'), ('p_year', 'int')),
+       h as (select column_name, case column_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string' else lower(column_type) end as kind from (describe part))
+       select column_name, case when h.kind is null then 'missing' when e.kind is null then 'extra' else h.kind || ' instead of ' || e.kind end as problem from e full join h using (column_name) where e.kind is distinct from h.kind""",
+)
 def q01(spark, d):
     return quality.schema_differences(read(spark, d, "part"), {"p_partkey": "bigint", "p_name": "string", "p_size": "bigint", "p_year": "int"})
 
@@ -199,7 +204,7 @@ def q08(spark, d):
     return quality.summary(validated(spark, d))
 
 
-@query("q09_bloom_membership")
+@query("q09_bloom_membership", "select c_custkey, c_custkey % 2 = 0 as maybe_seen from customer")
 def q09(spark, d):
     c = read(spark, d, "customer")
     bits = quality.bloom_bits(c.where("c_custkey % 2 = 0"), "c_custkey", 1_000_000, 7)
@@ -452,7 +457,11 @@ def t06(spark, d):
     return spark.read.parquet(f"{base}/out")
 
 
-@query("t08_alert_stream")
+@query(
+    "t08_alert_stream",
+    """select date_trunc('hour', ts) as window_start, array_to_string(list_filter([case when avg(value) > 2.0 then 'reduce' end, case when avg(case when event_type = 'error' then 1.0 else 0.0 end) > 0.1 then 'retry' end,
+       case when avg(case when event_type = 'click' then 1.0 else 0.0 end) > 0.05 then 'bloom' end], lambda x: x is not null), ',') as actions from events group by 1 having actions <> ''""",
+)
 def t08(spark, d):
     base = scratch(spark, "stream")
     columns = monitor.metrics("value", F.col("event_type") == "error", F.col("event_type") == "click")
