@@ -14,11 +14,12 @@ repeated doc_ids stand by their text, descending; an empty table gives no row.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filmloom.llm.common import RollingHash, mixed, partitions, sized_slices, table, texts
@@ -95,6 +96,15 @@ def likeness(one: np.ndarray, two: np.ndarray) -> float:
     return int((np.intersect1d(one, two, assume_unique=True) & size).sum()) / whole
 
 
+def _part(edges: list[int]) -> Column:
+    """How many of the falling edges doc_id lies below (all, if it is null): first by every step-th edge, then within a step."""
+    step = max(1, math.isqrt(len(edges)))
+    array = lambda x: F.array(*[F.lit(y) for y in x]).cast("array<bigint>")
+    below = lambda x: F.size(F.filter(x, lambda y: F.coalesce(F.col("doc_id") < y, F.lit(True))))
+    first = (below(array(edges[::step])) - 1) * step
+    return F.when(first < 0, 0).otherwise(first + below(F.slice(array(edges), F.greatest(first, F.lit(0)) + 1, step)))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """part, doc_id, text and guest, in rising parts and descending doc_id within each.
 
@@ -106,9 +116,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     n = partitions(spark)
     # as many numbers as partitions
     bounds = rows.where("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 1 / (10 * n)) if n > 1 else []
-    edges = F.array(*[F.lit(int(x)) for x in sorted(set(bounds or []), reverse=True)]).cast("array<bigint>")
-    part = F.size(F.filter(edges, lambda x: F.coalesce(F.col("doc_id") < x, F.lit(True))))
-    rows = rows.withColumn("part", part)
+    rows = rows.withColumn("part", _part(sorted({int(x) for x in bounds or []}, reverse=True)))
     # of each part the first row's key: a row per part
     keys = rows.groupBy("part").agg(F.max(F.struct("doc_id", "text")).alias("first")).withColumn("at", F.col("part"))
     order, whole = Window.orderBy("part"), Window.partitionBy()

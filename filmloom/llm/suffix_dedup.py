@@ -237,7 +237,8 @@ def _numbered(docs: DataFrame, *more: str) -> DataFrame:
     )
     if not rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1):
         return rows.withColumn("copy", F.lit(0))
-    order = Window.partitionBy("doc_id").orderBy("text")
+    # rows without an id aren't numbered, so they needn't meet
+    order = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text")
     return rows.withColumn("copy", F.when(F.col("doc_id").isNull(), 0).otherwise(F.row_number().over(order) - 1))
 
 

@@ -84,6 +84,15 @@ def test_fingerprints_of_repeated_ids(documents):
     assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == wanted
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 16, 50])
+def test_parts_by_two_steps(spark, n):
+    edges = sorted(random.Random(n).sample(range(1000), n), reverse=True)
+    ids = [None, *range(-1, 1001, 7), *edges]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    got = {r.doc_id: r.part for r in df.withColumn("part", fingerprints._part(edges)).collect()}
+    assert got == {i: n if i is None else sum(i < x for x in edges) for i in ids}
+
+
 def test_licences_of_repeated_ids(documents):
     got = license_scan.scan(documents(ROWS)).collect()
     assert Counter((r.doc_id, r.n_words) for r in got) == Counter((i, len((t or "").split())) for i, t in ROWS)
