@@ -9,8 +9,9 @@
    topic. Their document frequencies come from all documents.
 3. The index is an inverted index over the examples, in blocks with the highest weight of each feature. A document's
    blocks are visited by falling bound until no bound reaches the K-th best cosine, so the neighbours are exact.
-4. Votes of the neighbours are weighted by their similarity. Votes of the examples themselves, each without itself,
-   give a monotone calibration, weighted to the classes' shares among the labelled rows.
+4. Votes of the neighbours are weighted by the square of their cosine, beside one vote of DOUBT for label 0. Votes of the
+   examples themselves, each without itself, give a monotone calibration, weighted to the classes' shares among the
+   labelled rows.
 
 Features, examples and calibration are bounded by the sample, so they are broadcast in the tasks' code. Texts without
 any feature have no neighbour: they get one score, the calibrated rate of label 1 among such examples.
@@ -38,6 +39,7 @@ K = 10
 BLOCK = 64
 LEAST_RATIO, LEAST_LIFT = 14.0, 8.0
 THRESHOLD = 0.7
+DOUBT = 1.0
 BINS = 20
 STEMS = (3, 4, 5, 6)
 LEVELS = (2, 3, 5)
@@ -151,9 +153,10 @@ def nearest(index: Index, counts: dict[int, int], k: int = K, but: int | None =
 
 
 def vote(index: Index, places: np.ndarray, cosines: np.ndarray) -> float:
-    """The share of label 1 among the neighbours, each with the square of its cosine."""
+    """The share of label 1 among the neighbours, each with the square of its cosine, and one vote of label 0 for doubt:
+    neighbours that share little with the text, as by a single chance term, have little to say."""
     w = cosines * cosines
-    return float((w * index.labels[places]).sum() / w.sum())
+    return float((w * index.labels[places]).sum() / (w.sum() + DOUBT))
 
 
 def calibration(counts: dict[tuple[int, int], float]) -> tuple[list[float], list[float], float]:
