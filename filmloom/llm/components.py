@@ -16,7 +16,9 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     """
     both = links.select("a", "b")
     both = both.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else both
-    least = stored(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("of"), F.least("a", "least").alias("m")), "least")
+    least = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("of"), F.least("a", "least").alias("m"))
+    # only there may one node have most of the rows: a small star groups by the larger end of a link
+    least = stored(least, "least") if large else least
     joined = both.join(least, both["a"] == least["of"])
     if large:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
