@@ -31,3 +31,12 @@ b as (select d.*, t.source_size, t.target, cast(floor(t.target) as bigint) as go
 select doc_id, source, size, source_size, target,
        case when source_size = 0 then 0 else size * (goal // source_size) + greatest(0, least(begin + size, goal % source_size) - begin) end as taken from b
 """
+
+OP13 = """
+with d as (select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents),
+p as (select row, i, words[i + 1] as word, case when i + 35 <= len(words) then array_to_string(words[i + 1 : i + 35], ' ') end as win from (select row, words, unnest(range(len(words))) as i from d)),
+t as (select win from p where win is not null group by win having count(*) > 1),
+c as (select row, i, word, max(case when t.win is not null then 1 else 0 end) over (partition by row order by i rows between 34 preceding and current row) as gone from p left join t on p.win = t.win),
+k as (select row, cast(sum(gone) as bigint) as n_removed, string_agg(word, ' ' order by i) filter (where gone = 0) as kept from c group by row)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k on d.row = k.row
+"""
