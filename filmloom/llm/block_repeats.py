@@ -117,6 +117,12 @@ def _rows(found: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    edges = [0, *(np.flatnonzero(x[1:] != x[:-1]) + 1).tolist(), len(x)] if len(x) else []
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
 def _dealt(bucket: np.ndarray, key: np.ndarray, kind: str) -> Iterator[tuple[int, bytes]]:
     """The distinct keys of each bucket, sorted."""
     order = np.lexsort((key, bucket))
@@ -124,8 +130,7 @@ def _dealt(bucket: np.ndarray, key: np.ndarray, kind: str) -> Iterator[tuple[int
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])
     bucket, key = bucket[new].astype(np.int64), key[new]
-    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+    for i, j in runs(bucket):
         yield int(bucket[i]), key[i:j].tobytes()
 
 
@@ -285,8 +290,7 @@ class _Known:
         self.key, self.pack, self.told = key[new], pack[new], (told | tell)[new]
         by = np.argsort(pack[tell], kind="stable")
         key, pack = key[tell][by], pack[tell][by]
-        cuts = np.flatnonzero(np.append(True, pack[1:] != pack[:-1])) if len(pack) else np.zeros(0, np.int64)
-        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pack)], strict=True):
+        for i, j in runs(pack):
             yield int(pack[i]), key[i:j]
 
 
