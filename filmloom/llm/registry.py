@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from filmloom.llm.block_repeats import op13_block_repeats
+from filmloom.llm.collocations import op12_collocations
 from filmloom.llm.fingerprints import op3_fingerprints
 from filmloom.llm.html_text import op8_html_text
 from filmloom.llm.license_scan import op9_license_scan
@@ -14,7 +15,7 @@ from filmloom.llm.mixing import op10_mixing
 from filmloom.llm.near_duplicates import op5_near_duplicates
 from filmloom.llm.neighbours import op6_neighbours
 from filmloom.llm.packing import op7_packing
-from filmloom.llm.sql import OP5, OP10, OP13
+from filmloom.llm.sql import OP5, OP10, OP12, OP13
 from filmloom.llm.suffix_dedup import op2_suffix_dedup
 from filmloom.llm.token_codes import op1_token_codes
 from filmloom.llm.toxicity import op4_toxicity
@@ -30,7 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
+    "op12_collocations": op12_collocations,
     "op13_block_repeats": op13_block_repeats,
 }
 
-SQL: dict[str, str] = {"op5_near_duplicates": OP5, "op10_mixing": OP10, "op13_block_repeats": OP13}
+SQL: dict[str, str] = {"op5_near_duplicates": OP5, "op10_mixing": OP10, "op12_collocations": OP12, "op13_block_repeats": OP13}

@@ -40,3 +40,23 @@ c as (select row, i, word, max(case when t.win is not null then 1 else 0 end) ov
 k as (select row, cast(sum(gone) as bigint) as n_removed, string_agg(word, ' ' order by i) filter (where gone = 0) as kept from c group by row)
 select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k on d.row = k.row
 """
+
+OP12 = f"""
+with t as (select row_number() over () as row, coalesce(lang, 'und') as lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as text from documents),
+p as (select lang, regexp_extract_all(unnest(regexp_extract_all(text, '[^.,;:!?\\x0A-\\x0D]+')), '[^\\x20\\x09]+') as words from t),
+s as (select lang, words, unnest(range(len(words))) as i from p),
+g as (select lang, len, array_to_string(words[i + 1 : i + len], ' ') as phrase from (select lang, words, i, unnest(range(1, least(5, len(words) - i) + 1)) as len from s)),
+f as (select lang, len, phrase, count(*) as f from g group by lang, len, phrase having len = 1 or count(*) >= 100),
+n as (select lang, sum(f) as n from f where len = 1 group by lang),
+c as (select lang, len, phrase, string_split(phrase, ' ') as words, f as a from f where len > 1),
+k as (select lang, phrase, a, k, array_to_string(words[1 : k], ' ') as x, array_to_string(words[k + 1 :], ' ') as y from (select *, unnest(range(1, len)) as k from c)),
+q as (select k.lang, k.phrase, k.a, k, x.f as l, y.f as r, n.n, (1000::hugeint * k.a * n.n) // (x.f::hugeint * y.f) as score
+      from k join f x on x.lang = k.lang and x.phrase = k.x join f y on y.lang = k.lang and y.phrase = k.y join n on n.lang = k.lang),
+b as (select * from q qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+i as (select lang, a, len, words, unnest(range(2, len)) as m from c),
+u as (select lang, a, array_to_string(words[o + 1 : o + m], ' ') as phrase from (select *, unnest(range(len - m + 1)) as o from i)),
+v as (select lang, phrase, max(a) as longer from u group by lang, phrase),
+z as (select b.* from b left join v on v.lang = b.lang and v.phrase = b.phrase where v.longer is null or 100 * v.longer < 100 * b.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from z qualify rank <= 2000
+"""
