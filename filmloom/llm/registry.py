@@ -19,6 +19,7 @@ from filmloom.llm.sql import OP5, OP10, OP12, OP13
 from filmloom.llm.suffix_dedup import op2_suffix_dedup
 from filmloom.llm.token_codes import op1_token_codes
 from filmloom.llm.toxicity import op4_toxicity
+from filmloom.llm.whitening import op11_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": op1_token_codes,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
     "op12_collocations": op12_collocations,
     "op13_block_repeats": op13_block_repeats,
 }
