@@ -72,14 +72,18 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def merge_detail(items: DataFrame, details: DataFrame, key: str, columns: list[str], *order: str) -> DataFrame:
-    """A list record overlaid by its detail record, whose columns win where they are present; the last of several counts."""
+    """A list record overlaid by its detail record, whose columns win where they are present.
+
+    Several details of a key are laid over each other in their order, or by their values where none is given, so that
+    the last one's columns count and an earlier one's only where the last one's are null.
+    """
     have = [c for c in columns if c in details.columns]
-    last = [(F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))) if order else F.max(c)).alias(f"_{c}") for c in have]
-    d = details.groupBy(key).agg(*last)
+    place = F.struct(*order, *have)
+    d = details.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_{c}") for c in have])
     joined = items.join(d, key, "left")
-    have = set(items.columns)
-    made = {c: F.coalesce(f"_{c}", c) if c in have else F.col(f"_{c}") for c in columns}
-    return joined.withColumns(made).drop(*[f"_{c}" for c in columns])
+    mine = set(items.columns)
+    made = {c: F.coalesce(f"_{c}", c) if c in mine else F.col(f"_{c}") for c in have}
+    return joined.withColumns(made).drop(*[f"_{c}" for c in have])
 
 
 def zip_sources(df: DataFrame, tabs: str, lists: str, label: str = "Source ") -> DataFrame:

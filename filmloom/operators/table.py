@@ -1,12 +1,14 @@
 """Keyed maintenance of snapshot tables: each function returns the next snapshot.
 
-The key sides are aggregated or ranked before they meet, and every merge is one equi-join on the keys; bucket both
-tables on the key to keep it without a shuffle of the target.
+The key sides are aggregated or ranked before they meet, and every merge is one equi-join on the keys. Keys that are null,
+or have a null part, equal nothing, as in SQL's unique keys: such rows of the target stay, those of the source are all
+added. `filmloom.sources.snapshots` publishes the next snapshot; on its bucketed tables the target isn't shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,21 +16,30 @@ from pyspark.sql import functions as F
 from filmloom.operators.window import first_per_key, last_per_key, last_values
 
 
+def _named(keys: list[str]) -> Column:
+    """Whether no part of the key is null."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """What exists stays; of the source the first row of each new key is added."""
-    new = first_per_key(source, keys, *[F.col(x) for x in order]).select(*target.columns)
-    return target.unionByName(new.join(target.select(*keys), keys, "left_anti"))
+    """What exists stays; of the source the first row of each new key is added, and every row whose key is null."""
+    named = _named(keys)
+    first = first_per_key(source.where(named), keys, *[F.col(x) for x in order]).select(*target.columns)
+    new = first.join(target.select(*keys), keys, "left_anti").select(*target.columns)
+    return target.unionByName(new).unionByName(source.where(~named).select(*target.columns))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[str], update: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The source's last row of each key overwrites the columns `update` (all but the keys and `keep`), or is added."""
     others = [c for c in target.columns if c not in keys]
     update = [c for c in others if c not in keep] if update is None else update
-    last = last_per_key(source.select(*dict.fromkeys([*target.columns, *order])), keys, *order)
-    s = last.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*others).alias("_s"))
-    t = target.select(*keys, F.struct(*others).alias("_t"))
-    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    joined = t.join(s, on, "full_outer")
+    rows = source.select(*dict.fromkeys([*target.columns, *order]))
+    last = last_per_key(rows.where(_named(keys)), keys, *order).select(*target.columns)
+    last = last.unionByName(rows.where(~_named(keys)).select(*target.columns))
+    # a mark beside the columns tells a side's row from none, also where all of its columns are null
+    s = last.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(F.lit(True).alias("_is"), *others).alias("_s"))
+    t = target.select(*keys, F.struct(F.lit(True).alias("_is"), *others).alias("_t"))
+    joined = t.join(s, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys]), "full_outer")
     made = [F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys]
     for c in others:
         new, old = F.col(f"_s.{c}"), F.col(f"_t.{c}")
@@ -44,9 +55,7 @@ def upsert_two_keys(target: DataFrame, source: DataFrame, first: str, second: li
     an equal first key, then of those with an equal second one, the last by `order` counts; null keys equal nothing.
     """
     for keys in ([first], second):
-        named = F.lit(True)
-        for k in keys:
-            named = named & F.col(k).isNotNull()
+        named = _named(keys)
         by = [x for x in order if x not in keys] or [x for x in target.columns if x not in keys]
         rows = source.select(*dict.fromkeys([*target.columns, *order]))
         source = last_per_key(rows.where(named), keys, *by).unionByName(rows.where(~named))
@@ -63,11 +72,13 @@ def replace_children(children: DataFrame, new_parents: DataFrame, new_children:
 
 
 def fill_missing(target: DataFrame, details: DataFrame, key: str, columns: list[str], *order: str) -> DataFrame:
-    """Columns that came non-empty are set, for every row of a key; `changed` tells where. Of several details of a key the
-    last value that isn't empty counts."""
+    """Columns that came non-empty are set, for every row of a key; `changed` tells where.
+
+    Several details of a key are applied one after another (see last_values): in their order, else by their values.
+    """
     d = last_values(details, [key], columns, *order).select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in columns])
     joined = target.join(d, F.col(key) == F.col("_k"), "left")
-    value = {c: F.coalesce(F.nullif(F.col(f"_{c}"), F.lit("")), F.col(c)) for c in columns}
+    value = {c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in columns}
     changed = None
     for c, v in value.items():
         here = ~v.eqNullSafe(F.col(c))
@@ -96,6 +107,6 @@ def migrate_rows(source: DataFrame, target: DataFrame, moves: Column, reshape: C
 
 def replace_rows(target: DataFrame, source: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """Whole rows replaced; nothing of an old one is kept. Of several source rows of a key the last by `order` counts."""
-    by = order or [x for x in target.columns if x not in keys]
-    last = last_per_key(source.select(*dict.fromkeys([*target.columns, *order])), keys, *by)
-    return delete_keys(target, source, keys).unionByName(last.select(*target.columns))
+    rows = source.select(*dict.fromkeys([*target.columns, *order]))
+    last = last_per_key(rows.where(_named(keys)), keys, *order).select(*target.columns)
+    return delete_keys(target, source, keys).unionByName(last).unionByName(rows.where(~_named(keys)).select(*target.columns))

@@ -4,26 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+
+
+def sortable(kind: DataType) -> bool:
+    """Whether values of a type have an order."""
+    if isinstance(kind, StructType):
+        return all(sortable(f.dataType) for f in kind.fields)
+    return sortable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
+def tie_breakers(df: DataFrame, *but: str) -> list[str]:
+    """The columns that settle ties: all that have an order, but those named."""
+    return [f.name for f in df.schema.fields if f.name not in but and sortable(f.dataType)]
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """The first row of each key in an order; rows that tie are taken by their other columns, the least first."""
+    w = Window.partitionBy(*keys).orderBy(*order, *tie_breakers(df, *keys))
     return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def last_per_key(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """Last write wins, as an aggregate that is combined before the shuffle."""
+    """Last write wins, as an aggregate that is combined before the shuffle; of rows that tie the greatest by its other columns."""
     others = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*others), F.struct(*order)).alias("_v")
+    if not others:
+        return df.distinct()
+    by = [*order, *tie_breakers(df, *keys, *order)]
+    best = F.max_by(F.struct(*others), F.struct(*by) if by else F.lit(0)).alias("_v")
     return df.groupBy(*keys).agg(best).select(*keys, "_v.*")
 
 
 def last_values(df: DataFrame, keys: list[str], columns: list[str], *order: str) -> DataFrame:
-    """Of each column the last value of a key that is neither null nor empty (the greatest, where no order is given)."""
+    """What a key's rows leave behind when they are applied one after another, each setting the columns that it has a value for.
+
+    Rows are applied in their order, equal ones and those without an order by their values. So a column comes from the
+    last row, and from one before it only where the last one's is null or empty.
+    """
+    place = F.struct(*order, *columns)
     made = []
     for c in columns:
         value = F.when(F.col(c).cast("string") != "", F.col(c))
-        made.append((F.max_by(value, F.when(value.isNotNull(), F.struct(*order, c))) if order else F.max(value)).alias(c))
+        made.append(F.max_by(value, F.when(value.isNotNull(), place)).alias(c))
     return df.groupBy(*keys).agg(*made)
 
 

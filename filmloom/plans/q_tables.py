@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 
+from pyspark.errors import PySparkException as SparkException
 from pyspark.sql import functions as F
 
 from filmloom.functions import values
@@ -12,6 +14,7 @@ from filmloom.plans.q_relational import BLOCK_LINES, LINES, lines, srt_lines
 from filmloom.plans.registry import query, read
 from filmloom.sources import readers, writers
 from filmloom.sources.shared import new_path as scratch
+from filmloom.sources.snapshots import Snapshots
 from filmloom.streaming import monitor
 
 
@@ -133,6 +136,89 @@ def m13(spark, d):
     return table.replace_rows(t, s.withColumn("c_name", F.lit("")).union(s), ["c_custkey"], "c_name")
 
 
+# null keys, rows that tie, details of two columns
+
+NULLED = """select case when c_custkey % 5 > 0 then c_custkey end as c_custkey, c_name, c_acctbal, c_mktsegment from customer where c_custkey % 3"""
+NULL_KEYS = f"""t as ({NULLED} < 2), n as ({NULLED} > 0), s as (select c_custkey, c_name || ' new' as c_name, c_acctbal + 1 as c_acctbal, 'NEW' as c_mktsegment from n),
+       e as (select * replace (c_name || ' old' as c_name, c_acctbal - 5 as c_acctbal) from s), every as (select * from s union all select * from e where c_custkey is null)"""
+
+
+def with_null_keys(spark, d):
+    """A target and a source with keys of which every fifth is null; the source has an older row of each as well."""
+    key = F.when(F.col("c_custkey") % 5 > 0, F.col("c_custkey"))
+    t, s = (x.withColumn("c_custkey", key) for x in split(spark, d))
+    return t, s.union(s.withColumns({"c_name": F.concat("c_name", F.lit(" old")), "c_acctbal": F.col("c_acctbal") - 5}))
+
+
+@query("m01_null_keys", f"with {NULL_KEYS} select * from t union all select e.* from e where c_custkey is null or c_custkey not in (select c_custkey from t where c_custkey is not null) union all select * from s where c_custkey is null")
+def m01_null_keys(spark, d):
+    t, s = with_null_keys(spark, d)
+    return table.insert_ignore(t, s, ["c_custkey"], "c_acctbal")
+
+
+@query("m02_null_keys", f"with {NULL_KEYS} select coalesce(s.c_custkey, t.c_custkey) as c_custkey, coalesce(s.c_name, t.c_name) as c_name, coalesce(s.c_acctbal, t.c_acctbal) as c_acctbal, coalesce(t.c_mktsegment, s.c_mktsegment) as c_mktsegment from t full join every s on s.c_custkey = t.c_custkey")
+def m02_null_keys(spark, d):
+    t, s = with_null_keys(spark, d)
+    return table.upsert(t, s, ["c_custkey"], ["c_acctbal"], keep=("c_mktsegment",))
+
+
+@query("m13_null_keys", f"with {NULL_KEYS} select * from t where c_custkey is null or c_custkey not in (select c_custkey from s where c_custkey is not null) union all select * from every")
+def m13_null_keys(spark, d):
+    t, s = with_null_keys(spark, d)
+    return table.replace_rows(t, s, ["c_custkey"], "c_acctbal")
+
+
+@query("m05_tied_order", "select l_orderkey, max((year(l_shipdate), l_partkey, l_suppkey))[2] as l_partkey, max((year(l_shipdate), l_partkey, l_suppkey))[3] as l_suppkey from lineitem group by 1")
+def m05_tied_order(spark, d):
+    rows = read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.year("l_shipdate").alias("year"))
+    return table.upsert(rows.drop("year").limit(0), rows, ["l_orderkey"], ["year"])
+
+
+DETAILS = """d as (select l_orderkey, l_linenumber, case when l_quantity > 25 then l_returnflag end as flag, case when l_discount > 0.03 then l_linestatus || l_suppkey else '' end as status from lineitem)"""
+
+
+def line_details(spark, d):
+    flag = F.when(F.col("l_quantity") > 25, F.col("l_returnflag"))
+    status = F.when(F.col("l_discount") > 0.03, F.concat("l_linestatus", F.col("l_suppkey").cast("string"))).otherwise("")
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", flag.alias("flag"), status.alias("status"), "l_partkey")
+
+
+@query(
+    "m07_two_columns",
+    """with d as (select l_orderkey, (l_linenumber, case when l_quantity > 25 then l_returnflag else '' end, case when l_discount > 0.03 then l_linestatus || l_suppkey else '' end) as p from lineitem),
+       f as (select l_orderkey, max(p) filter (p[2] <> '') as x, max(p) filter (p[3] <> '') as y from d group by 1)
+       select o_orderkey, coalesce(x[2], o_orderstatus) as flag, coalesce(y[3], o_orderpriority) as status, coalesce(x[2], o_orderstatus) <> o_orderstatus or coalesce(y[3], o_orderpriority) <> o_orderpriority as changed from orders left join f on o_orderkey = l_orderkey""",
+)
+def m07_two_columns(spark, d):
+    rows = read(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("flag"), F.col("o_orderpriority").alias("status"))
+    details = line_details(spark, d).withColumnRenamed("l_orderkey", "o_orderkey")
+    return table.fill_missing(rows, details, "o_orderkey", ["flag", "status"], "l_linenumber")
+
+
+# versions
+
+
+@query(
+    "m02_snapshot_commit",
+    f"""with {TARGET}, {SOURCE}, a as (select c_custkey, coalesce(s.c_name, t.c_name) as c_name, coalesce(s.c_acctbal, t.c_acctbal) as c_acctbal, coalesce(t.c_mktsegment, s.c_mktsegment) as c_mktsegment from t full join s using (c_custkey)),
+       b as (select c_custkey, c_name, c_acctbal * 2 as c_acctbal from s where c_custkey % 2 = 0)
+       select a.c_custkey, coalesce(b.c_name, a.c_name) as c_name, coalesce(b.c_acctbal, a.c_acctbal) as c_acctbal, a.c_mktsegment, t.c_acctbal as first_acctbal, 3 as version from a left join b using (c_custkey) left join t using (c_custkey)""",
+)
+def m02_snapshot_commit(spark, d):
+    t, s = split(spark, d)
+    kept = Snapshots(spark, scratch(spark, "customers"), ("c_custkey",), 8)
+    kept.commit(t, 0)
+    kept.merge(lambda now: table.upsert(now, s, ["c_custkey"], ["c_name"], keep=("c_mktsegment",)))
+    # a merge that fails half way publishes nothing
+    with contextlib.suppress(SparkException):
+        broken = F.when(F.col("c_custkey") % 2 == 0, F.raise_error(F.lit("lost connection")).cast("double")).otherwise(F.col("c_acctbal"))
+        kept.merge(lambda now: table.upsert(now, s.withColumn("c_acctbal", broken), ["c_custkey"], ["c_name"]))
+    double = s.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") * 2)
+    version = kept.merge(lambda now: table.upsert(now, double, ["c_custkey"], ["c_name"], keep=("c_mktsegment",)))
+    first = kept.read(1).select("c_custkey", F.col("c_acctbal").alias("first_acctbal"))
+    return kept.read().join(first, "c_custkey", "left").withColumn("version", F.lit(version))
+
+
 # quality
 
 
