@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,34 +73,102 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
     return df.where(F.col(c).isNotNull()).join(F.broadcast(edges)).groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
+#: Values that the last step of an exact quantile takes to the driver, at most.
+FEW = 4096
+#: Accuracy of the sketch: its ranks are off by one part in so many.
+ACCURACY = 10000
+
+
 def exact_percentile(df: DataFrame, c: str, percent: int) -> DataFrame:
-    """The value at place int(n * p / 100) of the sorted list, without a global sort."""
-    wanted = F.least(F.floor(F.col("all") * percent / 100), F.col("all") - 1)
-    ranked = _ranked_values(df, c)
-    return ranked.where((F.col("upto") > wanted) & (F.col("upto") - F.col("k") <= wanted)).select(F.col(c).alias(f"p{percent}"))
+    """The value at place int(n * p / 100) of the sorted list, without a sort; no row for an empty list."""
+    found = values_at(df, c, lambda n: [min(n * percent // 100, n - 1)])
+    return _row(df, c, {f"p{percent}": found[0]} if found else None, [f"p{percent}"])
 
 
 def exact_median(df: DataFrame, c: str) -> DataFrame:
-    """The middle value, or the mean of the two in the middle, without a global sort."""
-    low, high = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)
-    at = lambda place: F.max(F.when((F.col("upto") > place) & (F.col("upto") - F.col("k") <= place), F.col(c)))
-    return _ranked_values(df, c).agg(((at(low) + at(high)) / 2).alias("median"))
+    """The middle value, or the mean of the two in the middle, without a sort; null for an empty list."""
+    found = values_at(df, c, lambda n: [(n - 1) // 2, n // 2])
+    return _row(df, c, {"median": _middle(found) if found else None}, ["median"]).withColumn("median", F.col("median").cast("double"))
+
+
+def latency_profile(df: DataFrame, c: str, percent: int) -> DataFrame:
+    """median and p<percent> by the same passes; one row."""
+    found = values_at(df, c, lambda n: [(n - 1) // 2, n // 2, min(n * percent // 100, n - 1)])
+    return _row(df, c, {"median": _middle(found[:2]) if found else None, f"p{percent}": found[2] if found else None}, ["median", f"p{percent}"])
+
+
+def _middle(two: list) -> float:
+    return two[0] if two[0] == two[1] else (two[0] + two[1]) / 2
+
+
+def _row(df: DataFrame, c: str, values: dict | None, names: list[str]) -> DataFrame:
+    kind = dict(df.dtypes)[c]
+    return df.sparkSession.createDataFrame([tuple(values[x] for x in names)] if values else [], ", ".join(f"{x} {'double' if x == 'median' else kind}" for x in names))
 
 
-def _ranked_values(df: DataFrame, c: str) -> DataFrame:
-    """Each value with its number k, the number of values up to it, and of all.
+def values_at(df: DataFrame, c: str, places: Callable[[int], list[int]], seen: list[int] | None = None) -> list:
+    """The values at places (from 0) of the sorted column, nulls left out; places is asked with their number.
 
-    Values are counted first; ranks are then running sums of counts, by 4096 equal buckets from the least to the largest.
+    A mergeable quantile sketch names two values around each place. Exact counts tell whether the place lies before,
+    at, between or behind them, and the next pass looks there alone: between them lie a few parts of ACCURACY of what
+    the pass read, however the values are spread, and a value that is frequent is found as a border. No row is
+    shuffled; what is left of FEW values or less goes to the driver, counted. seen gets the size of each stretch left.
     """
-    counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("k"))
-    edges = counts.agg(F.min(c).cast("double").alias("_low"), F.max(c).cast("double").alias("_high"))
-    width = F.greatest(F.col("_high") - F.col("_low"), F.lit(1e-300))
-    buckets = counts.join(F.broadcast(edges)).withColumn("b", F.floor((F.col(c) - F.col("_low")) / width * 4095))
-    per = buckets.groupBy("b").agg(F.sum("k").alias("kb"))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("base", F.coalesce(F.sum("kb").over(before), F.lit(0))).withColumn("all", F.sum("kb").over(Window.partitionBy()))
-    inner = Window.partitionBy("b").orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
-    return buckets.join(per, "b").withColumn("upto", F.col("base") + F.sum("k").over(inner))
+    rows = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull())
+    n = rows.count()
+    if not n:
+        return []
+    wanted = places(n)
+    found: dict[int, object] = {}
+    # stretches between two values (None: open), what lies before them, their size and the places wanted there
+    open_: dict[tuple, tuple[int, int, list[int]]] = {(None, None): (0, n, sorted(set(wanted)))}
+    while open_:
+        small = {k: x for k, x in open_.items() if x[1] <= FEW}
+        for (low, high), (before, _, ranks) in small.items():
+            at = before
+            for v, k in sorted((r["v"], r["k"]) for r in rows.where(_between(low, high)).groupBy("v").agg(F.count("*").alias("k")).collect()):
+                found |= {r: v for r in ranks if at <= r < at + k}
+                at += k
+        open_ = _narrowed(rows, {k: x for k, x in open_.items() if k not in small}, found)
+        if seen is not None:
+            seen.extend(x[1] for x in open_.values())
+    return [found[r] for r in wanted]
+
+
+def _between(low: object, high: object) -> Column:
+    above = F.lit(True) if low is None else F.col("v") > F.lit(low)
+    return above if high is None else above & (F.col("v") < F.lit(high))
+
+
+def _narrowed(rows: DataFrame, open_: dict[tuple, tuple[int, int, list[int]]], found: dict[int, object]) -> dict[tuple, tuple[int, int, list[int]]]:
+    """One sketch and one count of all open stretches: values found go to found, what is still open is returned."""
+    if not open_:
+        return {}
+    asked = []
+    for (low, high), (before, size, ranks) in open_.items():
+        shares = [min(1.0, max(0.0, (r - before + 0.5) / size + d * 2 / ACCURACY)) for r in ranks for d in (-1, 1)]
+        inside = F.when(_between(low, high), F.col("v"))
+        asked.append(F.percentile_approx(inside, F.array(*[F.lit(x) for x in shares]), ACCURACY))
+    borders = [sorted(set(x)) for x in rows.agg(*[x.alias(f"s{i}") for i, x in enumerate(asked)]).first()]
+    counts = []
+    for (low, high), values in zip(open_, borders, strict=True):
+        counts += [F.count_if(_between(low, high) & (F.col("v") < F.lit(x))) for x in values] + [F.count_if(F.col("v") == F.lit(x)) for x in values]
+    told = iter(rows.agg(*[x.alias(f"c{i}") for i, x in enumerate(counts)]).first())
+    left: dict[tuple, tuple[int, int, list[int]]] = {}
+    for ((low, high), (before, size, ranks)), values in zip(open_.items(), borders, strict=True):
+        less = [before + next(told) for _ in values]
+        equal = [next(told) for _ in values]
+        edges = [(low, before), *((v, k + e) for v, k, e in zip(values, less, equal, strict=True))]
+        ends = [*less, before + size]
+        for r in ranks:
+            at = [i for i, (k, e) in enumerate(zip(less, equal, strict=True)) if k <= r < k + e]
+            if at:
+                found[r] = values[at[0]]
+                continue
+            i = max(i for i, (_, first) in enumerate(edges) if first <= r)
+            key = (edges[i][0], values[i] if i < len(values) else high)
+            left.setdefault(key, (edges[i][1], ends[i] - edges[i][1], []))[2].append(r)
+    return left
 
 
 def range_profile(df: DataFrame, number: Column, low: int, high: int, top: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmloom.sources.shared import kept
+
 
 def parent_child(parents: DataFrame, children: DataFrame, on: Column, columns: list[Column], order: list[Column] | None = None) -> DataFrame:
     rows = parents.join(children, on).select(*columns)
@@ -41,14 +43,27 @@ def refresh_plan(rows: DataFrame, complete: DataFrame, key: str, flag: str) -> D
     return joined.withColumn("action", action).drop(flag)
 
 
-def surrogate_ids(rows: DataFrame, key: str, natural: str, name: str, prefix: int = 16) -> DataFrame:
-    """key and dense ids from 1 in order of the natural key: ranks within its beginnings and the rows of those before."""
-    named = rows.select(key, natural).withColumn("_b", F.substring(natural, 1, prefix))
-    per = named.groupBy("_b").agg(F.count("*").alias("_k"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_b", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy(natural, key))
-    return named.join(per, "_b").select(key, (F.col("_base") + rank).alias(name))
+def in_ranges(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with range and place, the number from 0 of each row in its range, kept in the shared folder.
+
+    Spark draws the ranges' borders from a sample of the whole order, so neither a common beginning nor one frequent
+    value makes a large range as long as the last column of the order tells its rows apart.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # the id has the partition in its upper bits and counts the sorted rows in the lower 33
+    dealt = kept(dealt.withColumn("_m", F.monotonically_increasing_id()), "ranges")
+    return dealt.withColumn("range", F.shiftright("_m", 33)).withColumn("place", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m")
+
+
+def surrogate_ids(rows: DataFrame, key: str, natural: str, name: str) -> DataFrame:
+    """key and dense ids from 1 in order of the natural key and the key: places in ranges, behind the rows of the ranges before."""
+    dealt = in_ranges(rows.select(key, natural), natural, key)
+    # a row per range, of which there are as many as shuffle partitions
+    per = dealt.groupBy("range").agg(F.count("*").alias("_k"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("range", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
+    return dealt.join(F.broadcast(per), "range").select(key, (F.col("_base") + F.col("place") + 1).alias(name))
 
 
 def remaining(tasks: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
@@ -104,9 +104,36 @@ def trailing_count(df: DataFrame, group: str, time: str, tie: str, most: int) ->
     return rows.select(*df.columns, F.least(F.col("_base") + F.col("_r"), F.lit(most)).alias("n"))
 
 
-def trailing_rows(group: str, time: str, seconds: int) -> WindowSpec:
-    """The rows of a group in the seconds up to each row."""
-    return Window.partitionBy(group).orderBy(F.unix_timestamp(time)).rangeBetween(-seconds, 0)
+#: A chunk of a group's time is so many times the trailing stretch, so that one row in so many stands in two chunks.
+CHUNKS = 8
+_PARTS = {"count": ("count",), "sum": ("sum",), "mean": ("sum", "count"), "min": ("min",), "max": ("max",)}
+
+
+def trailing_metrics(df: DataFrame, group: str, time: str, seconds: int, asked: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """df with metrics over the rows of its group in the seconds up to each row, its own second included.
+
+    asked names for each new column a kind (count, sum, mean, min, max) and a column; count without one counts rows.
+    Rows are reduced to one per group and second before anything is ordered. A group's time is cut into chunks, and the
+    last seconds of a chunk stand in the next one as well. So a window's partition has at most (CHUNKS + 1) * seconds
+    rows, also where one group has all rows.
+    """
+    rows = df.withColumn("_t", F.unix_timestamp(time))
+    value = lambda c: F.lit(1) if c is None else F.col(c)
+    parts = {f"_{name}_{p}": (p, c) for name, (kind, c) in asked.items() for p in _PARTS[kind]}
+    per = rows.groupBy(group, "_t").agg(*[getattr(F, p)(value(c)).alias(x) for x, (p, c) in parts.items()])
+    length = CHUNKS * seconds
+    chunk = F.floor(F.col("_t") / length)
+    both = F.when(F.col("_t") >= (chunk + 1) * length - seconds, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    spread = per.withColumn("_c", F.explode(both))
+    w = Window.partitionBy(group, "_c").orderBy("_t").rangeBetween(-seconds, 0)
+    joined = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
+    done = spread.withColumns({f"{x}_w": getattr(F, joined[p])(x).over(w) for x, (p, _) in parts.items()}).where(F.col("_c") == chunk)
+    made = []
+    for name, (kind, _) in asked.items():
+        total = [F.col(f"_{name}_{p}_w") for p in _PARTS[kind]]
+        made.append((total[0] / F.nullif(total[1], F.lit(0)) if kind == "mean" else total[0]).alias(name))
+    found = done.select(F.col(group).alias("_g"), F.col("_t").alias("_at"), *made)
+    return rows.join(found, F.col(group).eqNullSafe(F.col("_g")) & F.col("_t").eqNullSafe(F.col("_at")), "left").select(*df.columns, *asked)
 
 
 def last_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -127,20 +154,58 @@ def cap_children(df: DataFrame, parent: list[str], n: int, *order: str) -> DataF
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 
+#: Lines of a file that are numbered together.
+LINES = 1 << 16
+
+
+def _in_chunks(lines: DataFrame, line_no: str) -> DataFrame:
+    return lines.withColumn("_c", F.floor(F.col(line_no) / LINES))
+
+
+def _same_chunk(file: str) -> Column:
+    return F.col(file).eqNullSafe(F.col("_f")) & (F.col("_c") == F.col("_d"))
+
+
 def line_blocks(lines: DataFrame, file: str, line_no: str, text: str) -> DataFrame:
-    """Blocks between blank lines: block, n_lines, idx, time, line1, line2, by file."""
-    blank = F.trim(text) == ""
-    w = Window.partitionBy(file).orderBy(line_no)
-    rows = lines.withColumn("block", F.sum(F.when(blank, 1).otherwise(0)).over(w)).where(~blank)
-    inside = F.sort_array(F.collect_list(F.struct(F.col(line_no).alias("n"), F.col(text).alias("x"))))
-    rows = rows.groupBy(file, "block").agg(inside.alias("_l"))
-    at = lambda i: F.try_element_at(F.col("_l.x"), F.lit(i))
-    return rows.select(file, "block", F.size("_l").alias("n_lines"), at(1).alias("idx"), at(2).alias("time"), at(3).alias("line1"), at(4).alias("line2"))
+    """Blocks between blank lines: block, n_lines, idx, time, line1, line2, by file.
+
+    Lines are counted in chunks of LINES numbers. What a chunk hands on is one row: its blank lines, and how many lines
+    its last block has so far. Running sums of these rows number the blocks of a file over all its chunks, so a file is
+    as many tasks' work as it has chunks, and a block of any length is counted before it is shuffled.
+    """
+    rows = _in_chunks(lines.select(file, F.col(line_no).alias("_n"), F.col(text).alias("_x")), "_n")
+    blank = F.trim("_x") == ""
+    inside = Window.partitionBy(file, "_c").orderBy("_n")
+    # blocks and lines so far, within the chunk; a null line is neither blank nor a line
+    rows = rows.withColumns({"_b": F.sum(F.when(blank, 1).otherwise(0)).over(inside), "_l": F.sum(F.when(~blank, 1).otherwise(0)).over(inside)})
+    # what the block that a line stands in had before it: the lines up to the last blank one
+    rows = rows.withColumn("_before", F.max(F.when(blank, F.col("_l"))).over(inside))
+    last = F.max_by(F.struct("_b", "_l", "_before"), "_n").alias("_e")
+    per = rows.groupBy(F.col(file).alias("_f"), F.col("_c").alias("_d")).agg(last)
+    per = per.select("_f", "_d", F.col("_e._b").alias("_blanks"), (F.col("_e._l") - F.coalesce("_e._before", F.lit(0))).alias("_tail"))
+    upto = Window.partitionBy("_f").orderBy("_d")
+    earlier = upto.rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumns({"_base": F.coalesce(F.sum("_blanks").over(earlier), F.lit(0)), "_run": F.sum(F.when(F.col("_blanks") > 0, 1).otherwise(0)).over(upto)})
+    # tails add up over chunks without a blank line; a chunk carries on what the one before it ended with
+    per = per.withColumn("_ends", F.sum("_tail").over(Window.partitionBy("_f", "_run").orderBy("_d")))
+    per = per.withColumn("_carry", F.coalesce(F.lag("_ends").over(upto), F.lit(0))).select("_f", "_d", "_base", "_carry")
+    rows = rows.join(per, _same_chunk(file)).where(~blank)
+    place = F.col("_l") - F.coalesce(F.col("_before"), -F.col("_carry"))
+    at = lambda i: F.max(F.when(place == i, F.col("_x")))
+    rows = rows.groupBy(file, (F.col("_base") + F.col("_b")).alias("block"))
+    return rows.agg(F.count("*").cast("int").alias("n_lines"), at(1).alias("idx"), at(2).alias("time"), at(3).alias("line1"), at(4).alias("line2"))
 
 
 def previous_line(lines: DataFrame, file: str, line_no: str, text: str, marker: str) -> DataFrame:
-    w = Window.partitionBy(file).orderBy(line_no)
-    return lines.withColumn("previous", F.lag(text).over(w)).where(F.contains(F.col(text), F.lit(marker)))
+    """Lines that hold the marker, with the line before each; the last line of a chunk of a file is handed to the next one."""
+    rows = _in_chunks(lines, line_no)
+    w = Window.partitionBy(file, "_c").orderBy(line_no)
+    rows = rows.withColumns({"_p": F.lag(F.struct(F.col(text).alias("x"))).over(w)})
+    ends = rows.groupBy(F.col(file).alias("_f"), F.col("_c").alias("_d")).agg(F.max_by(text, line_no).alias("_last"))
+    ends = ends.withColumn("_handed", F.lag("_last").over(Window.partitionBy("_f").orderBy("_d"))).drop("_last")
+    hit = rows.where(F.contains(F.col(text), F.lit(marker))).join(ends, _same_chunk(file))
+    previous = F.when(F.col("_p").isNotNull(), F.col("_p.x")).otherwise(F.col("_handed"))
+    return hit.select(*lines.columns, previous.alias("previous"))
 
 
 def ranked_sample(df: DataFrame, key: str, fraction: float, *within: str) -> DataFrame:

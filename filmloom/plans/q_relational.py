@@ -219,7 +219,7 @@ def a18(spark, d):
 def a19(spark, d):
     rows = read(spark, d, "events")
     totals = rows.agg(F.round(F.avg("value"), 6).alias("mean"), (F.count_if(F.col("event_type") == "error") / F.count("*")).alias("error_rate"))
-    return totals.join(F.broadcast(aggregate.exact_percentile(rows, "value", 95))).join(F.broadcast(aggregate.exact_median(rows, "value")))
+    return totals.join(F.broadcast(aggregate.latency_profile(rows, "value", 95)))
 
 
 @query("a20_high_water", "select coalesce(max(case when event_type = 'purchase' and value > 10 then ts end), timestamp '1970-01-01 00:00:00') as watermark from events")
@@ -348,8 +348,19 @@ def w09(spark, d):
 
 @query("w10_last_hour", "select event_id, count(*) over (partition by user_id order by epoch(ts)::bigint range between 3600 preceding and current row) as n from (select event_id, user_id, ts from (select event_id, user_id, date_trunc('second', ts) as ts from events))")
 def w10(spark, d):
-    w = window.trailing_rows("user_id", "ts", 3600)
-    return read(spark, d, "events").select("event_id", F.count("*").over(w).alias("n"))
+    return window.trailing_metrics(read(spark, d, "events"), "user_id", "ts", 3600, {"n": ("count", None)}).select("event_id", "n")
+
+
+@query(
+    "w10_last_hour_of_type",
+    """select event_id, count(*) over w as n, round(avg(value) over w, 6) as mean, round(sum(value) over w, 6) as total, max(value) over w as most, min(value) over w as least
+       from (select event_id, event_type, value, epoch(ts)::bigint as s from (select * replace (date_trunc('second', ts) as ts) from events)) window w as (partition by event_type order by s range between 3600 preceding and current row)""",
+)
+def w10_of_type(spark, d):
+    """Few groups with nearly all rows each."""
+    asked = {"n": ("count", None), "mean": ("mean", "value"), "total": ("sum", "value"), "most": ("max", "value"), "least": ("min", "value")}
+    rows = window.trailing_metrics(read(spark, d, "events"), "event_type", "ts", 3600, asked)
+    return rows.select("event_id", "n", F.round("mean", 6).alias("mean"), F.round("total", 6).alias("total"), "most", "least")
 
 
 BLOCK_LINES = f"""with {LINES}, b as (select *, sum(case when trim(text) = '' or line_no % 5 = 0 then 1 else 0 end) over (partition by doc_id order by line_no) as block from lines),
@@ -371,6 +382,29 @@ def w12(spark, d):
     return window.previous_line(lines(spark, d), "doc_id", "line_no", "text", "the")
 
 
+ONE_FILE = f"""with {LINES}, o as (select doc_id * 1000000 + line_no as n, case when (doc_id + line_no) % 7 = 0 then ' ' else text end as text from lines)"""
+
+
+def one_file(spark, d):
+    """All documents as one file; its blank lines follow no rule of the file's."""
+    text = F.when((F.col("doc_id") + F.col("line_no")) % 7 == 0, " ").otherwise(F.col("text"))
+    return lines(spark, d).select(F.lit("all").alias("file"), (F.col("doc_id") * 1000000 + F.col("line_no")).alias("n"), text.alias("text"))
+
+
+@query(
+    "w11_blocks_of_one_file",
+    ONE_FILE + """, b as (select *, sum(case when trim(text) = '' then 1 else 0 end) over (order by n) as block from o)
+       select cast(block as bigint) as block, cast(count(*) as bigint) as n_lines, arg_min(text, n) as idx from b where trim(text) <> '' group by 1""",
+)
+def w11_one_file(spark, d):
+    return window.line_blocks(one_file(spark, d), "file", "n", "text").select("block", F.col("n_lines").cast("long").alias("n_lines"), "idx")
+
+
+@query("w12_previous_of_one_file", ONE_FILE + " select n, text, previous from (select n, text, lag(text) over (order by n) as previous from o) where contains(text, 'the')")
+def w12_one_file(spark, d):
+    return window.previous_line(one_file(spark, d), "file", "n", "text", "the").select("n", "text", "previous")
+
+
 # sorts, limits, samples, sets
 
 

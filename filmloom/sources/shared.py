@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
 
@@ -32,6 +32,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read back: what was dealt or numbered once stays so, whatever is lost later."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the intermediate tables that this driver wrote; call it when no result that reads them is needed any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
