@@ -3,10 +3,11 @@
 1. Of every word the window of up to `longest` words that it leads, within its piece of text, is one row of lead
    columns, padded with "" behind the piece's end. Only these longest windows are counted; a ROLLUP over language and
    columns sums them to the counts of all shorter phrases, and of all words at the level of the language.
-2. Before that, a sketch counts words and pairs of neighbours in 2**BITS buckets. A window ends before the first word or
-   pair whose bucket has fewer than `least`: no phrase that is as frequent as that can hold it, so no count that is asked
-   for changes, and rare windows don't reach the shuffle. The sketch is a bitmap of 2**BITS bits (32 MB) at any size of
-   the corpus; where more pairs than that are frequent it lets more windows through, with equal results.
+2. Before that, sketches count phrases in 2**BITS buckets: words and pairs, then longer ones both of whose parts may be
+   frequent. A window ends before the word with which its bucket has fewer than `least`: no phrase that is as frequent
+   as that goes on there, so no count that is asked for changes, and rare windows don't reach the shuffle. A sketch is a
+   bitmap of 2**BITS bits (32 MB) at any size of the corpus; where more phrases than that are frequent it lets more
+   windows through, with equal results.
 3. Candidates meet the counts of their parts by equi-joins on language and phrase. Scores are exact decimals.
 
 Windows are counted by batch in tasks, then by Spark before and behind the shuffle, so the commonest word is a row per
@@ -23,6 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,11 +66,20 @@ class _Batch:
         self.hash = mixed(hashes.stretches(begin, end) + (end - begin).astype(np.uint64))
         self.hash = mixed(self.hash ^ salt[self.lang]) if len(begin) else self.hash
 
-    def buckets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word its bucket, that of the pair which it leads, and whether there is one."""
-        h, shift = self.hash, np.uint64(64 - BITS)
-        pairs = mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
-        return (h >> shift).astype(np.int64), (pairs >> shift).astype(np.int64), self.piece[:-1] == self.piece[1:]
+    def orders(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length, of the phrases of so many words that each word leads: the bucket, and whether a piece holds it."""
+        code, n = self.hash, len(self.hash)
+        for k in range(1, longest + 1):
+            if k > 1:
+                code = mixed(code[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hash[k - 1 :])
+            yield k, (code >> np.uint64(64 - BITS)).astype(np.int64), self.piece[: n - k + 1] == self.piece[k - 1 :]
+            if k == n:
+                return
+
+
+def _often(known: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Whether the bits of buckets are set."""
+    return (known[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -77,8 +88,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(lang, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def frequent_buckets(docs: DataFrame, least: int) -> np.ndarray:
-    """A bit for each bucket: whether its words and pairs stand `least` times or more, all together."""
+def frequent_buckets(docs: DataFrame, least: int, shortest: int, longest: int, known: Broadcast | None = None) -> np.ndarray:
+    """A bit for each bucket: whether its phrases of these lengths stand `least` times or more, all together.
+
+    known: bits of all shorter lengths; only phrases both of whose parts of one word less may be frequent are counted.
+    """
     kind = "<u1" if least < 256 else "<u4"
 
     def passed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -92,8 +106,14 @@ def frequent_buckets(docs: DataFrame, least: int) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held = RollingHash(37), []
         for batch in sized_slices(batches):
-            single, pairs, near = _Batch(batch, hashes).buckets()
-            held.append(np.unique(np.concatenate([single, pairs[near]]), return_counts=True))
+            alive, found = None, [np.zeros(0, np.int64)]
+            for k, bucket, near in _Batch(batch, hashes).orders(longest):
+                alive = near if alive is None else near & alive[:-1] & alive[1:]
+                if k >= shortest:
+                    found.append(bucket[alive])
+                elif known:
+                    alive = alive & _often(known.value, bucket)
+            held.append(np.unique(np.concatenate(found), return_counts=True))
             if sum(len(x) for x, _ in held) > HELD:
                 held = [_summed(held)]
                 if len(held[0][0]) > HELD // 2:
@@ -139,7 +159,10 @@ def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def lead_windows(docs: DataFrame, least: int, longest: int) -> DataFrame:
     """lang, w1 to w<longest> ("" behind the window's end) and n: how often each longest window stands."""
-    bits = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, least))
+    context = docs.sparkSession.sparkContext
+    bits = context.broadcast(frequent_buckets(docs, least, 1, min(2, longest)))
+    if longest > 2:
+        bits = context.broadcast(bits.value | frequent_buckets(docs, least, 3, longest, bits))
     names = [f"w{i + 1}" for i in range(longest)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,16 +171,12 @@ def lead_windows(docs: DataFrame, least: int, longest: int) -> DataFrame:
             b = _Batch(batch, hashes)
             if not len(b.number):
                 continue
-            single, pairs, near = b.buckets()
-            often = lambda x: (known[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool)
-            goes_on = np.append(near & often(pairs), False)
-            lead, pad = b.number.astype(np.int64), len(b.words)
-            stays = often(single)
-            columns = [np.where(stays, lead, pad)]
-            for i in range(1, longest):
-                # the pair that ends with this column must be frequent, and the next word must exist
-                stays = stays & np.append(goes_on[i - 1 :], np.zeros(i - 1, bool))
-                columns.append(np.where(stays, np.append(lead[i:], np.full(i, pad)), pad))
+            lead, pad, n = b.number.astype(np.int64), len(b.words), len(b.number)
+            stays, columns = np.ones(n, bool), []
+            for k, bucket, near in b.orders(longest):
+                stays = stays & np.append(near & _often(known, bucket), np.zeros(k - 1, bool))
+                columns.append(np.where(stays, np.append(lead[k - 1 :], np.full(k - 1, pad)), pad))
+            columns += [np.full(n, pad)] * (longest - len(columns))
             code = b.lang.astype(np.int64)
             for x in columns:
                 _, code = np.unique(code * (pad + 1) + x, return_inverse=True)
