@@ -134,6 +134,18 @@ def _dealt(bucket: np.ndarray, key: np.ndarray, kind: str) -> Iterator[tuple[int
         yield int(bucket[i]), key[i:j].tobytes()
 
 
+def squeezed(keys: bytes) -> bytes:
+    """Sorted 32-bit keys as their differences, the bytes of equal weight together, compressed."""
+    steps = np.frombuffer(keys, "<u4").copy()
+    steps[1:] -= steps[:-1].copy()
+    return zstandard.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def expanded(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(steps.T).view("<u4").reshape(-1), dtype=np.uint32)
+
+
 def _blocks_and_probes(packs: DataFrame, block: int, buckets: int) -> DataFrame:
     """bucket, kind (0: reference blocks, 1: probes), pack, keys."""
 
@@ -148,7 +160,7 @@ def _blocks_and_probes(packs: DataFrame, block: int, buckets: int) -> DataFrame:
                 of = batch.column("pack")[i].as_py()
                 found = []
                 for kind, take in ((0, whole & (pack.place[: len(h)] % block == 0)), (1, whole)):
-                    found += [(b, kind, of, keys) for b, keys in _dealt(bucket[take], key[take], "<u4")]
+                    found += [(b, kind, of, squeezed(keys)) for b, keys in _dealt(bucket[take], key[take], "<u4")]
                 yield _rows(found, ["bucket", "kind", "pack", "keys"], [pa.int32(), pa.int8(), pa.int64(), pa.binary()])
 
     return packs.select("pack", "data", "sizes").mapInArrow(run, "bucket int, kind byte, pack long, keys binary")
@@ -200,7 +212,7 @@ def _hits(dealt: DataFrame, buckets: int) -> DataFrame:
                 if bucket != now:
                     close()
                     now, blocks, index = bucket, [], None
-                keys = np.frombuffer(data, "<u4")
+                keys = expanded(data)
                 if kind == 0:
                     blocks.append((keys, pack))
                     continue

@@ -83,6 +83,11 @@ def test_one_passage_in_all_documents(documents, monkeypatch):
     assert digest(got) == brute_repeats(texts)
 
 
+@pytest.mark.parametrize("keys", [[], [0], [2**32 - 1], [0, 1, 2**31, 2**32 - 1], list(range(0, 10**6, 77))])
+def test_keys_round_trip(keys):
+    assert block_repeats.expanded(block_repeats.squeezed(np.array(keys, "<u4").tobytes())).tolist() == keys
+
+
 def test_known_windows_tell_each_pack_once():
     known, told = block_repeats._Known(), defaultdict(list)
     for pack, keys in enumerate([[1, 2, 3], [2, 9], [2, 3], [9, 10], [10]]):
