@@ -504,6 +504,75 @@ def table_span(spark, d):
     return f"{int(seconds) + 7200} seconds"
 
 
+#: The log arrives in so many parts, one stretch of time after another.
+ARRIVALS = 6
+PART = f"least({ARRIVALS - 1}, (epoch_us(ts) - low) * {ARRIVALS} // (high - low + 1))"
+PARTS = f"b as (select min(epoch_us(ts)) as low, max(epoch_us(ts)) as high from events), e as (select events.*, high, {PART} as part from events, b)"
+
+
+def arrivals(spark, d, base, again=None, after=0, parts=ARRIVALS):
+    """The log part by part, each written when the one before was taken; yields the stream to run for each.
+
+    Rows for which `again` holds come a second time, so many parts later.
+    """
+    rows = read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("_us", F.unix_micros("ts"))
+    low, high = rows.agg(F.min("_us"), F.max("_us")).first()
+    if low is None:
+        low = high = 0
+    rows = rows.withColumn("_part", F.expr(f"least({parts - 1}, (_us - {low}L) * {parts} div ({high}L - {low}L + 1))"))
+    if again is not None:
+        rows = rows.unionByName(rows.where(again & (F.col("_part") + after < parts)).withColumn("_part", F.col("_part") + after))
+    schema = rows.drop("_us", "_part").schema
+    for i in range(parts):
+        rows.where(F.col("_part") == i).drop("_us", "_part").write.parquet(f"{base}/in/{i}")
+        yield monitor.follow_log(spark, f"{base}/in/*", schema, 1 << 30)
+
+
+@query(
+    "t03_late_rows",
+    f"""with {PARTS} select 'window' as kind, date_trunc('hour', ts) as window_start, count(*) as n from e group by 1, 2 having max(high) - 600000000 >= epoch_us(date_trunc('hour', ts) + interval 1 hour)
+       union all select 'late', date_trunc('hour', ts), count(*) from e where event_id % 50 = 0 and part + 2 < {ARRIVALS} and epoch_us(date_trunc('hour', ts) + interval 1 hour) <= (select max(epoch_us(x.ts)) from e x where x.part <= e.part + 1) - 600000000 group by 1, 2""",
+)
+def t03_late_rows(spark, d):
+    """Windows are closed by the watermark and written once; every fiftieth row comes again two parts later, when its window is closed."""
+    base = scratch(spark, "stream")
+    for rows in arrivals(spark, d, base, F.col("event_id") % 50 == 0, 2):
+        closed = monitor.health_by_window(rows, "ts", [F.count("*").alias("n")])
+        monitor.export_stream(closed, f"{base}/windows", f"{base}/mark").awaitTermination()
+        monitor.late_rows(rows, "ts", "10 minutes", "1 hour", base, f"{base}/mark_late").awaitTermination()
+    windows = spark.read.parquet(f"{base}/windows").select(F.lit("window").alias("kind"), "window_start", "n")
+    late = spark.read.option("recursiveFileLookup", True).schema("ts timestamp").parquet(f"{base}/late")
+    return windows.union(late.groupBy(F.lit("late").alias("kind"), F.date_trunc("hour", "ts").alias("window_start")).agg(F.count("*").alias("n")))
+
+
+@query("t04_dedup_evicts", "select event_id, event_type from events")
+def t04_evicts(spark, d):
+    """Every fifth row is sent again one part later; ids are forgotten when the watermark, of two parts, has passed them."""
+    base = scratch(spark, "stream")
+    ts = F.col("ts").cast("timestamp").cast("double")
+    seconds = read(spark, d, "events").agg(F.max(ts) - F.min(ts)).first()[0] or 0
+    late = f"{int(seconds * 2 / ARRIVALS) + 60} seconds"
+    for rows in arrivals(spark, d, base, F.col("event_id") % 5 == 0, 1):
+        once = monitor.dedup_within(rows, "event_id", "ts", late).select("event_id", "event_type")
+        monitor.export_stream(once, f"{base}/out", f"{base}/mark").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query(
+    "t08_alerts_of_closed_windows",
+    """select date_trunc('hour', ts) as window_start, array_to_string(list_filter([case when avg(value) > 2.0 then 'reduce' end, case when avg(case when event_type = 'error' then 1.0 else 0.0 end) > 0.1 then 'retry' end,
+       case when avg(case when event_type = 'click' then 1.0 else 0.0 end) > 0.05 then 'bloom' end], lambda x: x is not null), ',') as actions from events group by 1
+       having actions <> '' and date_trunc('hour', ts) + interval 1 hour + interval 10 minute <= (select max(ts) from events)""",
+)
+def t08_closed(spark, d):
+    base = scratch(spark, "stream")
+    for rows in arrivals(spark, d, base):
+        plan = monitor.health_plan(monitor.health_by_window(rows, "ts", monitor.metrics("value", F.col("event_type") == "error", F.col("event_type") == "click")))
+        alerts = plan.select("window_start", F.array_join("actions", ",").alias("actions")).where("actions != ''")
+        monitor.export_stream(alerts, f"{base}/out", f"{base}/mark").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @query("t02_log_stream", "select event_id, event_type from events")
 def t02(spark, d):
     base = scratch(spark, "stream")
@@ -570,13 +639,15 @@ def t08(spark, d):
 )
 def t09(spark, d):
     base = scratch(spark, "stream")
-    rows = streamed(spark, d).select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("failed"))
-    out = monitor.consecutive_failures(rows, "user_id", "ts", "event_id", "failed", 2)
 
     def apply(batch, batch_id):
         batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/out/{batch_id}")
 
-    out.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", f"{base}/mark").trigger(availableNow=True).start().awaitTermination()
+    with monitor.rocksdb_state(spark):
+        for rows in arrivals(spark, d, base, parts=3):
+            rows = rows.select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("failed"))
+            out = monitor.consecutive_failures(rows, "user_id", "ts", "event_id", "failed", 2)
+            out.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", f"{base}/mark").trigger(availableNow=True).start().awaitTermination()
     found = spark.read.option("recursiveFileLookup", True).schema("user_id long, failures long, stop boolean, batch long").parquet(f"{base}/out")
     return window.last_per_key(found, ["user_id"], "batch").drop("batch")
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 #: Limits of the mean response time in seconds, the error rate and the duplicate rate.
 LIMITS = {"response_time": 2.0, "error_rate": 0.1, "duplicate_rate": 0.05}
@@ -82,25 +83,108 @@ def export_stream(events: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def consecutive_failures(events: DataFrame, key: str, time: str, tie: str, failed: str, k: int) -> DataFrame:
+def late_rows(events: DataFrame, time: str, late: str, length: str, base: str, checkpoint: str) -> StreamingQuery:
+    """A second sink: rows whose window was closed before they came, to base/late; run it beside health_by_window.
+
+    A batch's rows are late when their window of this length ended at or before the latest time of earlier batches, less
+    the lateness: those that the windows drop. Each batch writes a folder of its own, and its latest time to base/marks,
+    so a batch that is run again finds what it found before.
+    """
+    spark = events.sparkSession
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            marks = spark.read.schema("batch long, latest timestamp").option("recursiveFileLookup", True)
+            # the first batch has none before it
+            before = marks.parquet(f"{base}/marks").where(F.col("batch") < batch_id).agg(F.max("latest")).first()[0] if batch_id else None
+            closed = F.lit(False) if before is None else F.window(time, length).end <= F.lit(before) - F.expr(f"interval {late}")
+            batch.where(closed).write.mode("overwrite").parquet(f"{base}/late/{batch_id}")
+            latest = batch.agg(F.max(time).alias("latest")).select(F.lit(batch_id).cast("long").alias("batch"), "latest")
+            latest.write.mode("overwrite").parquet(f"{base}/marks/{batch_id}")
+        finally:
+            batch.unpersist()
+
+    return events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep their state in RocksDB, on the executors' disks and in the checkpoint; others as before."""
+    key, provider = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, provider)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+#: Outcomes of so many microseconds of a key's time are one entry of its state.
+STRETCH = 15 * 60 * 10**6
+_SETTLED = -1
+
+
+class _Failures(StatefulProcessor):
+    """Of one key: the failures in a row up to the watermark, as a number, and every outcome behind it, by stretches of time."""
+
+    def __init__(self, key: str, k: int):
+        self._key, self._k = key, k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        # the entry _SETTLED has the number, the others have outcomes by place: a batch writes the stretches that it touches
+        self._state = handle.getMapState("outcomes", "stretch long", "failures long, places array<struct<at: long, tie: long, bad: boolean>>")
+
+    def _fold(self, watermark: int, new: list[tuple[int, int, bool]]) -> int:
+        """Outcomes up to the watermark, which nothing can come before, become the number. The failures in a row so far."""
+        held = {k[0]: v for k, v in self._state.iterator()}
+        before = held.pop(_SETTLED, (0, []))[0]
+        stretches = {k: sorted(tuple(x) for x in v[1]) for k, v in held.items()}
+        touched = set()
+        for x in new:
+            stretches.setdefault(x[0] // STRETCH, []).append(x)
+            touched.add(x[0] // STRETCH)
+        settled = count = before
+        for k in sorted(stretches):
+            places = sorted(stretches[k])
+            for at, _, bad in places:
+                count = count + 1 if bad else 0
+                settled = count if at <= watermark else settled
+            left = [x for x in places if x[0] > watermark]
+            if not left and k in held:
+                self._state.removeKey((k,))
+            elif left and (k in touched or len(left) < len(places)):
+                self._state.updateValue((k,), (0, left))
+        if settled != before:
+            self._state.updateValue((_SETTLED,), (settled, []))
+        return count
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new: list[tuple[int, int, bool]] = []
+        for frame in rows:
+            new += zip(frame["at_us"].tolist(), frame["tie_no"].tolist(), frame["bad"].tolist(), strict=True)
+        count = self._fold(timerValues.getCurrentWatermarkInMs() * 1000, new)
+        # a key that falls silent is settled when the watermark has passed it
+        self._handle.registerTimer(max(new)[0] // 1000 + 1)
+        yield pd.DataFrame({self._key: [key[0]], "failures": [count], "stop": [count >= self._k]})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._fold(timerValues.getCurrentWatermarkInMs() * 1000, [])
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def consecutive_failures(events: DataFrame, key: str, time: str, tie: str, failed: str, k: int, late: str = "1 hour") -> DataFrame:
     """key, failures and stop: the failures in a row at the end of each key's events so far, in order of time and a number
-    that breaks ties, whatever the order in which they arrive. The state holds the failures since the last success."""
-
-    def step(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # the last success, and the failures that may come after it
-        last, after = (state.get[0], list(state.get[1])) if state.exists else (None, [])
-        for frame in frames:
-            at = [(t.value, o) for t, o in zip(frame[time], frame[tie], strict=True)]
-            for place, bad in sorted(zip(at, frame[failed], strict=True)):
-                if bad:
-                    after.append(place)
-                else:
-                    last = place if last is None else max(tuple(last), place)
-            after = [x for x in after if last is None or tuple(x) > tuple(last)]
-        state.update((last, after))
-        yield pd.DataFrame({key: [name[0]], "failures": [len(after)], "stop": [len(after) >= k]})
-
-    kind, place = dict(events.dtypes)[key], "struct<at: long, tie: long>"
-    return events.groupBy(key).applyInPandasWithState(
-        step, f"{key} {kind}, failures long, stop boolean", f"last {place}, after array<{place}>", "update", GroupStateTimeout.NoTimeout
-    )
+    that breaks ties, whatever the order in which they arrive within the lateness.
+
+    The state of a key is a number and the outcomes since the watermark; timers settle what it has passed. Start the
+    stream within rocksdb_state, so that state is on disk. Rows that come later than the lateness are dropped.
+    """
+    kind = dict(events.dtypes)[key]
+    # names that begin with an underscore don't reach a stateful processor
+    rows = events.withWatermark(time, late).select(key, time, F.unix_micros(time).alias("at_us"), F.col(tie).cast("long").alias("tie_no"), F.col(failed).alias("bad"))
+    return rows.groupBy(key).transformWithStateInPandas(_Failures(key, k), f"{key} {kind}, failures long, stop boolean", "update", "eventtime")
