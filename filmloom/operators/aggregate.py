@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmloom.sources.shared import kept
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: its name and number of rows."""
@@ -27,6 +28,31 @@ def counts_by(df: DataFrame, *keys: str, top: int | None = None, largest_first:
     return rows if top is None else rows.limit(top)
 
 
+#: Keys that the sketch of frequent ones may hold, at most.
+TRACKED = 10000
+
+
+def top_groups(df: DataFrame, *keys: str, n: int, tracked: int = TRACKED) -> DataFrame:
+    """The n largest groups and their exact counts, largest first, ties by key, without a shuffle of all keys.
+
+    A mergeable sketch of frequent items names candidates: what is shuffled is a sketch of at most `tracked` keys a task.
+    Candidates are then counted exactly. A key that isn't one stands in less than 7 / tracked of the rows (the sketch's
+    bound is 3.5 / tracked for what it loses, and as much again for what it holds but can't be sure of). So where the
+    last of the n stands more often, or the candidates are all rows, the top is proven; else every key is counted.
+    """
+    rows = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    asked = rows.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(_h, {tracked}, {tracked})").alias("top")).first()
+    hot = df.sparkSession.createDataFrame([(x["item"],) for x in asked["top"] or []], "_h long")
+    counted = rows.join(F.broadcast(hot), "_h", "left_semi").groupBy(*keys).agg(F.count("*").alias("n"))
+    # all that is counted, and its n largest groups: n rows
+    exact = kept(counted, "candidates")
+    best = exact.orderBy(F.desc("n"), *keys).limit(n).collect()
+    covered = exact.agg(F.sum("n")).first()[0] or 0
+    if covered == asked["n"] or (len(best) == n and best[-1]["n"] > 7 * asked["n"] / tracked):
+        return exact.orderBy(F.desc("n"), *keys).limit(n)
+    return counts_by(df, *keys, top=n)
+
+
 def average(c: str, positive_only: bool = False) -> Column:
     """The mean without NULLs, rounded to 2; 0 if there is none."""
     x = F.when(F.col(c) > 0, F.col(c)) if positive_only else F.col(c)

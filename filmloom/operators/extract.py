@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filmloom.functions.keywords import keyword_hits
 from filmloom.functions.urls import first_match, host, resolve_url
 from filmloom.sources.shared import shared_folder
 
@@ -164,6 +165,8 @@ def task_grid(categories: DataFrame, years: list[int], pages: int, template: str
 
 
 def keyword_presence(df: DataFrame, keywords: list[str], source: str = "html") -> DataFrame:
-    """A row for each of the keywords that occurs in the text."""
-    held = F.filter(F.array(*[F.lit(x) for x in keywords]), lambda k: F.contains(F.col(source), k))
-    return df.select("*", F.explode(held).alias("keyword"))
+    """A row for each of the keywords that occurs in the text, in the list's order."""
+    if not keywords:
+        return df.withColumn("keyword", F.lit("")).where(F.lit(False))
+    word = F.element_at(F.array(*[F.lit(x) for x in keywords]), F.col("_place"))
+    return df.select("*", F.explode(keyword_hits(F.col(source), keywords)).alias("_place")).withColumn("keyword", word).drop("_place")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filmloom.functions.keywords import keyword_hits
 from filmloom.functions.urls import first_match
 
 EPISODE_URL = r"(?i)-s\d+e\d+|-\d+x\d+|season-\d+|episode-\d+"
@@ -76,10 +77,8 @@ def reject_index(url: Column, title: Column, home_title: str) -> Column:
 
 
 def error_page(html: Column, phrases: list[str]) -> Column:
-    hit = F.lit(False)
-    for x in phrases:
-        hit = hit | F.contains(html, F.lit(x))
-    return html.isNull() | hit
+    """Whether there is no page, or it holds one of the phrases."""
+    return html.isNull() | (F.size(keyword_hits(html, phrases)) > 0)
 
 
 def off_pages(df: DataFrame, page: list[str], value: str, wanted: str, most: float = 0.5, slack: int = 2) -> DataFrame:

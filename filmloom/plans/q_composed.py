@@ -119,7 +119,7 @@ def x05(spark, d):
        array_to_string(list_transform(list_filter(list_transform(range(len(links)), lambda i: struct_pack(i := i, x := links[i + 1])), lambda s: list_position(links, s.x) = s.i + 1), lambda s: s.x), ',') as urls from h""",
 )
 def x05_lists(spark, d):
-    return markup.nested_lists(markup.elements(read(spark, d, "pages"), "page_id"), "page_id", "ul")
+    return markup.nested_lists(read(spark, d, "pages"), "page_id", "ul").drop("n_all")
 
 
 @query("x03_value_predicate", "select p_partkey from part where p_type in ('PROMO', 'ECONOMY')")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmloom.functions import urls, values
-from filmloom.operators import extract, quality, route
+from filmloom.operators import extract, markup, quality, route
 from filmloom.plans.registry import query, read
 
 TITLE = extract.Rule("title", (r"<title>([^<]*)</title>",))
@@ -162,9 +162,25 @@ def p12(spark, d):
        array_to_string(list_transform(list_filter(list_transform(range(len(links)), lambda i: struct_pack(i := i, x := links[i + 1])), lambda s: list_position(links, s.x) = s.i + 1), lambda s: s.x), ',') as urls from h""",
 )
 def p13(spark, d):
-    rows = read(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"<ul>[\s\S]*?</ul>"), F.lit(0))).alias("pos", "block"))
-    links = F.regexp_extract_all("block", F.lit('href="([^"]*)"'), F.lit(1))
-    return rows.select("page_id", (F.col("pos") + 1).alias("season"), F.size(links).alias("n_links"), F.array_join(F.array_distinct(links), ",").alias("urls"))
+    blocks = markup.nested_lists(read(spark, d, "pages"), "page_id", "ul")
+    return blocks.select("page_id", F.col("block").alias("season"), F.col("n_all").alias("n_links"), "urls")
+
+
+@query(
+    "p13_nested_seasons",
+    """with n as (select page_id, regexp_extract_all(regexp_extract(html, '<nav>[\\s\\S]*?</nav>'), '<a [^>]*href="([^"]*)"', 1) as links from pages where html is not null),
+       b as (select page_id, links, unnest(range(1, 2 * len(links) + 1)) as i from n)
+       select page_id, 1 as season, 'season-' || page_id as season_id, cast(i as integer) as episode, links[(i - 1) % len(links) + 1] as url from b""",
+)
+def p13_nested(spark, d):
+    """Each page's menu put into a season by its id, again in a list within the list, and outside of all seasons."""
+    nav = F.regexp_extract("html", r"<nav>[\s\S]*?</nav>", 0)
+    wrapped = F.concat(
+        F.lit('<div id="season-'), F.col("page_id").cast("string"), F.lit('"><ul class="eps all">'), nav, F.lit("<li><ul>"), nav,
+        F.lit('</ul></li></ul></div><div id="season-x"></div><div id="other">'), nav, F.lit("</div>"),
+    )
+    rows = markup.seasons_episodes(read(spark, d, "pages").select("page_id", wrapped.alias("html")), "page_id", "div[id^=season-]", "ul.eps a[href]")
+    return rows.where("season is not null").select("page_id", "season", "season_id", "episode", F.col("value").alias("url"))
 
 
 SCRIPT = "concat('var player = {\"url\":\"https:\\/\\/h.example\\/', cast(event_id as {s}), '\",\"k\":1};')"
@@ -234,6 +250,20 @@ def p19(spark, d):
     return extract.keyword_presence(read(spark, d, "pages"), ["article", "footer", "iframe", "middot"]).select("page_id", "keyword")
 
 
+#: A long list: words, beginnings and ends of them, one that nothing has, and one twice.
+MANY = [*"article rticle art footer foot iframe middot nav main aside script style header head form button href title span div".split(), "the", "he ", "nowhere", "nav"]
+
+
+@query("p19_many_keywords", f"select page_id, k as keyword from pages, (select unnest({MANY}) as k) where contains(html, k)")
+def p19_many(spark, d):
+    return extract.keyword_presence(read(spark, d, "pages"), MANY).select("page_id", "keyword")
+
+
+@query("r10_many_phrases", "select page_id from pages where html is null or " + " or ".join(f"contains(html, '{x}')" for x in [f"ad {i}" for i in range(1, 40)]))
+def r10_many(spark, d):
+    return read(spark, d, "pages").where(route.error_page(F.col("html"), [f"ad {i}" for i in range(1, 40)])).select("page_id")
+
+
 # routing
 
 

@@ -135,6 +135,18 @@ def a05(spark, d):
     return aggregate.counts_by(read(spark, d, "part"), "p_brand", top=10)
 
 
+@query("a05_top_words", "select word, count(*) as n from (select unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as word from documents) group by 1 order by n desc, word limit 10")
+def a05_words(spark, d):
+    """The commonest words of all texts; few of their many words are counted behind the sketch."""
+    words = F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    return aggregate.top_groups(read(spark, d, "documents").select(words.alias("word")), "word", n=10)
+
+
+@query("a05_top_pairs", "select l_suppkey, l_returnflag, count(*) as n from lineitem group by 1, 2 order by n desc, 1, 2 limit 10")
+def a05_pairs(spark, d):
+    return aggregate.top_groups(read(spark, d, "lineitem"), "l_suppkey", "l_returnflag", n=10)
+
+
 @query("a06_count_by_year", "select cast(year(o_orderdate) as integer) as year, count(*) as n from orders where o_orderdate is not null group by 1 order by 1 desc")
 def a06(spark, d):
     rows = read(spark, d, "orders").where("o_orderdate is not null").withColumn("year", F.year("o_orderdate"))

@@ -293,8 +293,8 @@ def q08(spark, d):
 @query("q09_bloom_membership", "select c_custkey, c_custkey % 2 = 0 as maybe_seen from customer")
 def q09(spark, d):
     c = read(spark, d, "customer")
-    bits = quality.bloom_bits(c.where("c_custkey % 2 = 0"), "c_custkey", 1_000_000, 7)
-    return quality.maybe_seen(c.select("c_custkey"), "c_custkey", bits, 1_000_000, 7)
+    words = quality.bloom_words(c.where("c_custkey % 2 = 0"), "c_custkey", 1_000_000, 7)
+    return quality.maybe_seen(c.select("c_custkey"), "c_custkey", words, 1_000_000, 7)
 
 
 @query("q10_page_verdict", "select page_id, case when contains(lower(html), 'ad 1') then 'invalid' when contains(lower(html), 'the') then 'valid' else 'unknown' end as verdict, case when contains(lower(html), 'ad 1') then 'ad 1' when contains(lower(html), 'the') then 'the' else '' end as reason from pages")
@@ -302,6 +302,20 @@ def q10(spark, d):
     return read(spark, d, "pages").select("page_id", quality.page_verdict(F.col("html"), ["ad 1"], ["the"]).alias("v")).select("page_id", "v.*")
 
 
+VERDICTS = [f"ad {i}" for i in range(9, 0, -1)], ["the", "and", *(f"part {i}" for i in range(12)), "of"]
+
+
+@query(
+    "q10_many_words",
+    "with w as (select unnest(range(1, {n} + 1)) as i, unnest({every}) as word), h as (select page_id, min(i) as i from pages, w where contains(lower(html), word) group by 1) select pages.page_id, case when html is null then 'invalid' when h.i is null then 'unknown' when h.i <= {k} then 'invalid' else 'valid' end as verdict, case when html is null then 'no page' else coalesce(word, '') end as reason from pages left join h using (page_id) left join w using (i)".format(
+        n=len(VERDICTS[0]) + len(VERDICTS[1]), every=VERDICTS[0] + VERDICTS[1], k=len(VERDICTS[0])
+    ),
+)
+def q10_many(spark, d):
+    """Words of which some are the beginning of others: the list's order decides, not the place in the page."""
+    return read(spark, d, "pages").select("page_id", quality.page_verdict(F.col("html"), *VERDICTS).alias("v")).select("page_id", "v.*")
+
+
 @query("q11_misplaced_rows", "select count(*) filter (contains(p_name, 'ring')) as in_title, count(*) filter (p_type = 'PROMO') as in_category from part")
 def q11(spark, d):
     return quality.misplaced(read(spark, d, "part"), in_title=F.contains("p_name", F.lit("ring")), in_category=F.col("p_type") == "PROMO")

@@ -112,7 +112,7 @@ def test_duplicates_and_bloom(spark):
     assert tuple(quality.duplicate_keys(df, "vod_id").first()) == (4, 3, 1)
     keys = spark.createDataFrame([(f"item_{i}",) for i in range(50)] + [("",)], "key string")
     probes = spark.createDataFrame([(f"item_{i}",) for i in range(100, 200)], "key string")
-    bits = quality.bloom_bits(keys, "key", 10_000, 7)
+    bits = quality.bloom_words(keys, "key", 10_000, 7)
     assert quality.maybe_seen(keys, "key", bits, 10_000, 7).where("maybe_seen").count() == 51
     assert quality.maybe_seen(probes, "key", bits, 10_000, 7).where("maybe_seen").count() < 10
 
@@ -217,7 +217,7 @@ def test_nested_markup(spark):
     df = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "no tags <"), (5, "</p></ul>")], "k long, html string")
     nodes = markup.elements(df, "k")
     assert {r.text for r in nodes.where("tag = 'p'").collect()} == {"x", "yz"} and nodes.where("k > 1").count() == 0
-    assert [tuple(r) for r in markup.nested_lists(nodes, "k", "ul").orderBy("block").collect()] == [(1, 1, 2, "1,3"), (1, 2, 1, "2"), (1, 3, 0, "")]
+    assert [tuple(r) for r in markup.nested_lists(df, "k", "ul").orderBy("block").collect()] == [(1, 1, 2, "1,3", 2), (1, 2, 1, "2", 2), (1, 3, 0, "", 0)]
     assert markup.elements(df.limit(0), "k").count() == 0
 
 
