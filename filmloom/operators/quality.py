@@ -21,6 +21,29 @@ def schema_differences(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     return df.sparkSession.createDataFrame(found, "column_name string, problem string")
 
 
+def value_mismatches(df: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """column_name, kind, n_values and n_bad of each expected column: its values, and those that the kind can't hold. One pass over the rows."""
+    have, made = set(df.columns), []
+    for c, kind in expected.items():
+        value = F.col(c) if c in have else F.lit(None)
+        bad = value.isNotNull() & value.cast("string").try_cast(kind).isNull()
+        made.append(F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.count(value).alias("n_values"), F.count_if(bad).alias("n_bad")))
+    return df.agg(F.array(*made).alias("rows")).select(F.inline("rows"))
+
+
+def column_difference(df: DataFrame, expected: list[str]) -> DataFrame:
+    """column_name, side and n_values: expected columns that df lacks, and columns of df that aren't expected, with how many values they hold.
+
+    An extra column without a value is no difference: it is left out.
+    """
+    have = df.columns
+    lost = [F.struct(F.lit(c).alias("column_name"), F.lit("missing").alias("side"), F.lit(0).cast("long").alias("n_values")) for c in expected if c not in have]
+    more = [F.struct(F.lit(c).alias("column_name"), F.lit("extra").alias("side"), F.count(c).alias("n_values")) for c in have if c not in expected]
+    if not lost + more:
+        return df.sparkSession.createDataFrame([], "column_name string, side string, n_values long")
+    return df.agg(F.array(*lost, *more).alias("rows")).select(F.inline("rows")).where("side = 'missing' or n_values > 0")
+
+
 def empty(c: Column) -> Column:
     return c.isNull() | (F.trim(c.cast("string")) == "")
 

@@ -7,12 +7,13 @@ import datetime
 from pyspark.sql import functions as F
 
 from filmloom.functions import urls, values
-from filmloom.operators import aggregate, extract, join, markup, table, window
+from filmloom.operators import aggregate, extract, join, markup, quality, route, table, window
 from filmloom.plans.q_relational import LINES, ORDER_PAGES, RUNS, lines, order_pages
 from filmloom.plans.q_tables import health, rounded, streamed
 from filmloom.plans.registry import query, read
 from filmloom.sources import readers, writers
 from filmloom.sources.shared import new_path
+from filmloom.sources.snapshots import Snapshots
 from filmloom.streaming import monitor
 
 
@@ -83,6 +84,125 @@ def c03(spark, d):
     return spark.read.parquet(path).select("p_partkey", "p_name", "size")
 
 
+# the same runs in full, over landed pages and with children
+
+
+GRID_YEARS = [2020, 2021]
+
+
+@query(
+    "c01_grid_to_children",
+    """with l as (select page_id, html, regexp_extract(url, '^[a-z]+://([^/]*)', 1) as site, page_id % 5 as category from pages where page_id % 3 < 2),
+       c as (select page_id, site, category, unnest(regexp_extract_all(html, '<li>[\\s\\S]*?</li>')) as card, generate_subscripts(regexp_extract_all(html, '<li>[\\s\\S]*?</li>'), 1) as pos from l),
+       i as (select site, href, arg_min(category, (page_id, pos)) as category, arg_min(title, (page_id, pos)) as title from (select *, regexp_extract(card, 'href="([^"]*)"', 1) as href, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as title from c join l using (page_id, site, category)) where href <> '' group by 1, 2),
+       s as (select page_id, site, category, 'nav' as source_name, regexp_extract_all(regexp_extract(html, '<nav>[\\s\\S]*?</nav>'), 'href="([^"]*)"', 1) as urls from l
+             union all select page_id, site, category, 'page', regexp_extract_all(html, 'href="([^"]*)"', 1) from l),
+       e as (select *, unnest(urls) as url, generate_subscripts(urls, 1) as episode from s),
+       k as (select site, source_name, url, arg_min(category, (page_id, episode)) as category from e group by 1, 2, 3)
+       select 'items' as entity, 'list' as source_name, category, count(*) as n, count(distinct title) as n_titles from i group by 3 union all select 'children', source_name, category, count(*), 0 from k group by 2, 3""",
+)
+def c01_grid(spark, d):
+    """The expected grid meets the landed pages; cards to items with their page's detail, its sources to children, both inserted, counts by category."""
+    pages = read(spark, d, "pages")
+    category, year, number = F.col("page_id") % 5, F.col("page_id") % 3 + 2020, F.floor(F.col("page_id") / 15) + 1
+    template = "https://grid.example/%d/%d/%d"
+    landed = pages.select("page_id", "html", urls.host(F.col("url")).alias("site"), F.format_string(template, category, year, number).alias("task"))
+    last = pages.agg(F.max("page_id")).first()[0] or 0
+    grid = extract.task_grid(spark.range(5).withColumnRenamed("id", "category_id"), GRID_YEARS, last // 15 + 1, template)
+    found = grid.select(F.col("category_id").alias("category"), F.col("url").alias("task")).join(landed, "task").drop("task")
+
+    rules = [extract.Rule("href", ('href="([^"]*)"',))]
+    items = extract.extract_items(found, r"<li>[\s\S]*?</li>", rules).where("href <> ''").select("category", "site", "href", "page_id", "pos")
+    details = extract.extract_fields(found.select("page_id", "html"), [extract.Rule("title", ("<h1>([^<]*)</h1>",))]).select("page_id", "title")
+    items = extract.merge_detail(items.withColumn("title", F.lit(None).cast("string")), details, "page_id", ["title"])
+    items = table.insert_ignore(items.limit(0), items, ["site", "href"], "page_id", "pos")
+
+    links = lambda html: F.transform(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1)), lambda x: F.struct(x.alias("url")))
+    source = lambda name, html: F.struct(F.lit(name).alias("source_name"), links(html).alias("episodes"))
+    nested = found.select("category", "site", "page_id", F.array(source("nav", F.regexp_extract("html", r"<nav>[\s\S]*?</nav>", 0)), source("page", F.col("html"))).alias("sources"))
+    children = extract.explode_children(nested)
+    children = table.insert_ignore(children.limit(0), children, ["site", "source_name", "url"], "page_id", "episode")
+
+    made = items.groupBy("category").agg(F.count("*").alias("n"), F.countDistinct("title").alias("n_titles")).select(F.lit("items").alias("entity"), F.lit("list").alias("source_name"), "category", "n", "n_titles")
+    kinds = aggregate.counts_by(children, "source_name", "category")
+    return made.unionByName(kinds.select(F.lit("children").alias("entity"), "source_name", "category", "n", F.lit(0).cast("long").alias("n_titles")))
+
+
+LINE_URL = "{p} || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+
+
+@query(
+    "c02_four_sheets",
+    f"""with p as ({ORDER_PAGES}), {RUNS.format(x='a', y='b', src='select category, page, min(cast(known as int)) = 1 as hit from p group by 1, 2')},
+        kept as (select o_orderkey from p left join stops using (category) where stop_page is null or page < stop_page),
+        fresh as (select o_orderkey, coalesce(c_mktsegment, o_orderpriority) as label from kept join orders using (o_orderkey) left join customer on o_custkey = c_custkey),
+        old as (select distinct o_orderkey as parent, {LINE_URL.format(p="'u'")} as url from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'F' and o_orderkey not in (select o_orderkey from kept)),
+        new as (select distinct o_orderkey as parent, {LINE_URL.format(p="'n'")} as url from lineitem join kept on l_orderkey = o_orderkey where l_linenumber <= 2),
+        c as (select * from old union all select * from new)
+        select 'overview' as sheet, o_orderkey as item, (select min(url) from c where parent = o_orderkey) as value from fresh union all select 'recent', parent, url from c where parent in (select o_orderkey from fresh)
+        union all select 'joined', o_orderkey, label || ' ' || url from fresh join c on parent = o_orderkey union all select 'plain', o_orderkey, label from fresh""",
+)
+def c02_sheets(spark, d):
+    """Pages until three are known, details, upsert and replaced children in versions of their own, one watermark, four sheets."""
+    rows = order_pages(spark, d)
+    pages = rows.groupBy("category", "page").agg(F.min(F.col("known").cast("int")).alias("all_known"))
+    stops = window.stop_after_run(pages, ["category"], "page", F.col("all_known") == 1, 3)
+    kept = window.until_stop(rows, stops, ["category"], "page", False).select("o_orderkey")
+    orders = read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderpriority").alias("label"))
+    details = read(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("label"))
+    items = extract.merge_detail(orders.join(kept, "o_orderkey", "left_semi"), details, "o_custkey", ["label"])
+    old, new = datetime.datetime(2020, 1, 1), datetime.datetime(2020, 1, 2)
+
+    url = lambda p: F.concat(F.lit(p), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("url")
+    lines = read(spark, d, "lineitem")
+    known = orders.where("o_orderstatus = 'F'")
+    before = lines.join(known.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi").select(F.col("l_orderkey").alias("parent"), url("u")).distinct()
+    fetched = lines.where("l_linenumber <= 2").join(kept.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi").select(F.col("l_orderkey").alias("parent"), url("n")).distinct()
+
+    parents, children = Snapshots(spark, new_path(spark, "parents"), ("o_orderkey",), 8), Snapshots(spark, new_path(spark, "children"), ("parent",), 8)
+    parents.commit(known.select("o_orderkey", "label", F.lit(old).alias("updated_at")), 0)
+    children.commit(before, 0)
+    parents.merge(lambda now: table.upsert(now, items.select("o_orderkey", "label", F.lit(new).alias("updated_at")), ["o_orderkey"], ["updated_at"]))
+    children.merge(lambda now: table.replace_children(now, kept.withColumnRenamed("o_orderkey", "parent"), fetched, "parent", "url"))
+
+    # one watermark a run, read before any sheet writes to the ledger
+    ledger = spark.createDataFrame([("items", "full", "x", 1, "success", datetime.datetime(2020, 1, 1, 12))], writers.LEDGER)
+    fresh, now = writers.incremental(parents.read(), ledger, "items", "updated_at").select("o_orderkey", "label"), children.read()
+    recent = now.join(fresh.select(F.col("o_orderkey").alias("parent")), "parent", "left_semi")
+    sheets = {
+        "overview": join.one_child(fresh.select("o_orderkey"), now, "o_orderkey", "parent", "url", F.col("url")).select(F.col("o_orderkey").alias("item"), F.col("url").alias("value")),
+        "recent": recent.select(F.col("parent").alias("item"), F.col("url").alias("value")),
+        "joined": join.parent_child(fresh, now, F.col("o_orderkey") == F.col("parent"), [F.col("o_orderkey").alias("item"), F.concat_ws(" ", "label", "url").alias("value")]),
+        "plain": fresh.select(F.col("o_orderkey").alias("item"), F.col("label").alias("value")),
+    }
+    writers.write_sheets(sheets, path := new_path(spark, "sheets"))
+    out = None
+    for name in sheets:
+        part = spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("sheet"), "item", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "c03_refill_pages",
+    """with i as (select page_id, url, case when page_id % 2 = 0 then '' else 'own ' || page_id end as title from pages where page_id % 7 <> 0),
+       e as (select page_id from pages where html is null or contains(html, 'ad 1') or contains(html, 'not found')),
+       d as (select page_id, nullif(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '') as t from pages where page_id not in (select page_id from e))
+       select page_id, url, coalesce(nullif(title, ''), t) as title from i left join d using (page_id) where coalesce(nullif(title, ''), t) is not null and not (title = '' and page_id in (select page_id from e))""",
+)
+def c03_refill(spark, d):
+    """Cleanup, the incomplete rows' pages again, error pages and what stays empty deleted, the rest filled and exported in order."""
+    pages = read(spark, d, "pages")
+    title = F.when(F.col("page_id") % 2 == 0, "").otherwise(F.concat(F.lit("own  "), F.col("page_id").cast("string")))
+    items = table.cleanup(pages.select("page_id", "url", title.alias("title")), F.col("page_id") % 7 == 0, {"title": F.regexp_replace("title", " +", " ")})
+    asked = quality.missing_data(items, ["title"]).select("page_id")
+    landed = pages.select("page_id", "html").join(asked, "page_id", "left_semi").withColumn("failed", route.error_page(F.col("html"), ["ad 1", "not found"]))
+    details = extract.extract_fields(landed.where(~F.col("failed")), [extract.Rule("title", ("<h1>([^<]*)</h1>",))]).select("page_id", "title")
+    filled = table.fill_missing(table.delete_keys(items, landed.where("failed"), ["page_id"]), details, "page_id", ["title"]).drop("changed")
+    writers.write_sorted(table.delete_where(filled, F.col("title") == ""), path := new_path(spark, "sorted"), ["page_id", "url", "title"], ["title", "page_id"])
+    return spark.read.parquet(path)
+
+
 FAMILIES = {
     "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name"), "customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name"),
     "part": ("p_partkey", "p_name"), "orders": ("o_orderkey", "o_orderpriority"), "lineitem": ("l_orderkey", "l_returnflag"), "events": ("event_id", "event_type"),

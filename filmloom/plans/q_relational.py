@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filmloom.functions import values
-from filmloom.operators import aggregate, join, window
+from filmloom.operators import aggregate, join, quality, window
 from filmloom.plans.registry import query, read
 
 AS_OF = "1999-01-01 00:00:00"
@@ -473,3 +473,13 @@ def u04(spark, d):
     # names are metadata; the table only decides whether there is anything to report
     absent = F.array(*[F.lit(x) for x in ("c_custkey", "c_name", "c_phone") if x not in df.columns]).cast("array<string>")
     return df.agg(F.count("*").alias("n")).where("n > 0").select(F.explode(absent).alias("column_name"))
+
+
+@query(
+    "u04_columns_with_values",
+    "select * from (select 'c_phone' as column_name, 'missing' as side, cast(0 as bigint) as n_values union all select 'c_acctbal', 'extra', count(case when c_acctbal > 0 then c_acctbal end) from customer union all select 'c_nationkey', 'extra', count(*) filter (c_nationkey > 1000) from customer) where side = 'missing' or n_values > 0",
+)
+def u04_values(spark, d):
+    """Extra columns count as far as they hold values: one has some, one has none."""
+    rows = read(spark, d, "customer").select("c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("c_acctbal"), F.when(F.col("c_nationkey") > 1000, F.col("c_nationkey")).alias("c_nationkey"))
+    return quality.column_difference(rows, ["c_custkey", "c_name", "c_phone"])

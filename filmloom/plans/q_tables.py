@@ -232,6 +232,16 @@ def q01(spark, d):
     return quality.schema_differences(read(spark, d, "part"), {"p_partkey": "bigint", "p_name": "string", "p_size": "bigint", "p_year": "int"})
 
 
+@query(
+    "q01_values_match",
+    """select * from (select 'p_name' as column_name, 'bigint' as kind, count(p_name) as n_values, count(*) filter (p_name is not null and try_cast(trim(p_name) as bigint) is null) as n_bad from part
+       union all select 'p_size', 'int', count(p_size), count(*) filter (p_size is not null and try_cast(p_size as integer) is null) from part
+       union all select 'p_brand', 'int', count(p_brand), count(*) filter (p_brand is not null and try_cast(p_brand as integer) is null) from part union all select 'p_year', 'int', 0, 0)""",
+)
+def q01_values(spark, d):
+    return quality.value_mismatches(read(spark, d, "part"), {"p_name": "bigint", "p_size": "int", "p_brand": "int", "p_year": "int"})
+
+
 @query("q02_mandatory", "select count(*) filter (event_type = 'view' or event_type is null) as event_type_empty, count(*) filter (props is null or trim(props) = '') as props_empty, count(*) as total from events")
 def q02(spark, d):
     return quality.mandatory(read(spark, d, "events").withColumn("event_type", F.nullif("event_type", F.lit("view"))), ["event_type", "props"])
@@ -390,12 +400,16 @@ def s05(spark, d):
     return readers.split_lines(rows, "doc_id", "text")
 
 
-@query("s06_latest_file", "select family, export from (values ('movies', 'movies_b'), ('tv', 'tv_a')) t(family, export) where (select count(*) from orders) > 0")
+@query("s06_latest_file", "select 'movies' as family, 'movies_a' as export, count(*) as n from orders where o_orderstatus = 'O' union all select 'tv', 'tv_b', count(*) from orders")
 def s06(spark, d):
-    path = scratch(spark, "exports")
-    for name in ("movies_a", "tv_a", "movies_b"):
-        read(spark, d, "orders").write.csv(f"{path}/{name}")
-    return readers.latest_files(spark, path, r"/(movies|tv)_[a-z]/").select("family", F.regexp_extract("path", "/([a-z]+_[a-z])/", 1).alias("export"))
+    """The newest export of movies has the name that sorts first; what counts is when it was written."""
+    path, rows = scratch(spark, "exports"), read(spark, d, "orders")
+    for name, part in (("movies_b", rows), ("tv_b", rows), ("movies_a", rows.where("o_orderstatus = 'O'"))):
+        part.write.csv(f"{path}/{name}")
+    newest = readers.latest_files(spark, path, r"/(movies|tv)_[a-z]/").select("family", F.regexp_extract("path", "/([a-z]+_[a-z])/", 1).alias("export"))
+    # all files of each export, counted by the export's name
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(F.regexp_extract(F.col("_metadata.file_path"), "/([a-z]+_[a-z])/[^/]*$", 1).alias("export"))
+    return newest.join(lines.groupBy("export").agg(F.count("*").alias("n")), "export").select("family", "export", "n")
 
 
 @query("s07_write_csv_full", "select * from customer")

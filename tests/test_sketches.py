@@ -132,3 +132,13 @@ def test_within_means_whole_tags(spark):
     df = spark.createDataFrame([("article/b/i",), ("a/x/b/i",), ("a/b",), ("body/a/b/c",), ("ab/b/i",)], "path string")
     got = {r.path: (r.x, r.y) for r in df.select("path", markup.within(F.col("path"), "a", "b").alias("x"), markup.within(F.col("path"), "b").alias("y")).collect()}
     assert got == {"article/b/i": (False, True), "a/x/b/i": (True, True), "a/b": (False, False), "body/a/b/c": (True, True), "ab/b/i": (False, True)}
+
+
+# columns and their values
+
+
+def test_columns_and_values(spark):
+    df = spark.createDataFrame([("1", None, 2.5), ("x", None, None), (None, None, 1.0)], "a string, b string, c double")
+    assert [tuple(r) for r in quality.value_mismatches(df, {"a": "int", "b": "int", "c": "int", "z": "int"}).collect()] == [("a", "int", 2, 1), ("b", "int", 0, 0), ("c", "int", 2, 0), ("z", "int", 0, 0)]
+    assert [tuple(r) for r in quality.column_difference(df, ["a", "q"]).collect()] == [("q", "missing", 0), ("c", "extra", 2)]
+    assert quality.column_difference(df, ["a", "b", "c"]).count() == 0 == quality.column_difference(df.limit(0), ["a"]).count()
