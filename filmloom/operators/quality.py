@@ -22,7 +22,7 @@ def schema_differences(df: DataFrame, expected: dict[str, str]) -> DataFrame:
 
 
 def value_mismatches(df: DataFrame, expected: dict[str, str]) -> DataFrame:
-    """column_name, kind, n_values and n_bad of each expected column: its values, and those that the kind can't hold. One pass over the rows."""
+    """column_name, kind, n_values and n_bad of each expected column: its values, and those whose text isn't one of the kind. One pass over the rows."""
     have, made = set(df.columns), []
     for c, kind in expected.items():
         value = F.col(c) if c in have else F.lit(None)
