@@ -6,12 +6,16 @@
    Pages of equal html are one page of their host, so copies are no evidence of a template.
 2. Tokens with equal vectors form an equivalence class. A class is valid when it has CLASS_TOKENS tokens on CLASS_PAGES
    pages and on the share SHARE of the host's; valid classes nest in the one that stands on all pages, and together
-   they are the host's template. The text blocks in it are boilerplate, and between its tags lie the slots.
-3. Of each page all slots are kept, or those of its article where that holds at least half of the slot text or has the
-   role that holds most of the host's. An article whose text is template for half or more is a copy, and kept whole.
+   they are the host's template. The text blocks in it are boilerplate, and between its tags lie the slots. Tags of the
+   template that stand once on a page nest by their paths: the innermost that holds HELD of the slot text, and
+   the template's main heading, is the container.
+3. Of each page the slots in the container are kept if they are half of the page's or more, else all. Of these, those of
+   its article are kept alone where it holds at least half of them or has the role that holds most of the host's. An
+   article whose text is template for half or more is a copy, and kept whole.
 4. Elements that are menus, headers, footers, sidebars, notices, adverts, scripts or comments by name, role or class don't
    count, nor do forms. A form or a class doesn't count as such where it is around the page's article or around most of
-   the slot text (of classes, those of comments never are, and those of adverts only around an article).
+   the slot text (of classes, those of comments never are, and those of adverts only around an article). Runs of words
+   within an article's blocks or a paragraph stay, whatever their class, unless they are hidden.
 
 Templates are joined to the pages; they are broadcast only below BROADCAST bytes, else joined by host.
 Defined cases: a null or empty page has no text; a null url is a host of its own; a host with few pages has no
@@ -36,6 +40,8 @@ from filmloom.llm.common import sized_slices, stored, table
 
 #: A class has so many tokens on so many pages; template text stands on this share of a host's pages.
 CLASS_TOKENS, CLASS_PAGES, SHARE = 3, 5, 0.5
+#: The share of a host's slot text that the template's container holds at least.
+HELD = 0.75
 BROADCAST = 32 << 20
 #: Elements that end a run of text, that hold no page text, and that aren't part of an article.
 BLOCKS = frozenset(
@@ -120,7 +126,7 @@ def _named(word: str, names: frozenset[str]) -> str | None:
     return found[0] if HEADS.issuperset(parts[:at]) and (names | TAILS).issuperset(parts[at:end] + parts[end:]) else None
 
 
-def _apart(tag: str, given: dict[str, str], article: bool) -> str:
+def _apart(tag: str, given: dict[str, str], article: bool, sentence: bool = False) -> str:
     """How an element is no part of an article: "aside" by its name, role or state, or as a mark (form, class, firm or talk)."""
     if tag in ASIDE and tag not in ("form", "fieldset") and not (article and tag == "header"):
         return "aside"
@@ -129,6 +135,8 @@ def _apart(tag: str, given: dict[str, str], article: bool) -> str:
         return "aside"
     if "display:none" in given.get("style", "").replace(" ", "").lower():
         return "aside"
+    if sentence and tag not in BLOCKS:
+        return ""  # a run of words within a text of its own
     words = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
     kind = "form" if tag in ("form", "fieldset") or role == "form" else ""
     if not article and any(x in HEADERS for x in words):
@@ -196,7 +204,7 @@ def read_page(page: str) -> tuple[list[Block], Counter[str], list[Mark], list[tu
             while (stack[-1].tag == "p") or (tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1].tag == tag):
                 stack.pop()
             top = stack[-1]
-        apart = "aside" if top.aside else _apart(tag, given, top.article > 0)
+        apart = "aside" if top.aside else _apart(tag, given, top.article > 0, top.article > 0 or top.tag == "p")
         aside = apart == "aside"
         if tag in VOID:
             continue
@@ -263,7 +271,8 @@ def text_key(block: Block) -> int:
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
-    """host, boilerplate (keys of template text) and main (the role with most slot text), for hosts with a template."""
+    """host, boilerplate (keys of template text), main (the role with most slot text) and container (the role of the innermost
+    tag of the template that holds most slot text), for hosts with a template."""
     kinds = "host string, token long, page long, n long, role string, chars long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +283,8 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
                 mark = xxhash.xxh64_intdigest(page.encode()) >> 1
                 counts = Counter((text_key(b), b.role.rpartition("/")[0], 0 if b.marks else len(b.text)) for b in blocks)
                 rows += [(host, k, mark, n, role, chars * n) for (k, role, chars), n in counts.items()]
-                rows += [(host, _key("tag", role), mark, n, None, 0) for role, n in roles.items()]
+                # tags have no text: chars tells them apart
+                rows += [(host, _key("tag", role), mark, n, role, -1) for role, n in roles.items()]
             yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), types, strict=True)], names=names) if rows else _none(names, types)
 
     names = [x.split()[0] for x in kinds.split(", ")]
@@ -287,22 +297,34 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     host_pages = tokens.groupBy("host").agg(F.max("pages").alias("all_pages"))
     valid = classes.where((F.col("size") >= CLASS_TOKENS) & (F.col("pages") >= CLASS_PAGES)).select("host", "vector", "pages")
     valid = valid.join(host_pages, "host").where(F.col("pages") >= SHARE * F.col("all_pages")).select("host", "vector").distinct()
-    marked = tokens.where(F.col("role").isNotNull()).join(valid.withColumn("fixed", F.lit(True)), ["host", "vector"], "left")
+    marked = tokens.where("chars >= 0").join(valid.withColumn("fixed", F.lit(True)), ["host", "vector"], "left")
     text = marked.where("fixed").groupBy("host").agg(F.collect_list("token").alias("boilerplate"))
     slots = marked.where("fixed is null").groupBy("host", "role").agg(F.sum("chars").alias("chars"))
     main = slots.groupBy("host").agg(F.max_by("role", F.struct("chars", "role")).alias("main"))
+    # tags of the template that stand once on a page nest by their paths; the innermost that holds most slot text is the container
+    parts = F.split("role", "/")
+    around = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    held = slots.where("role != ''").select("host", "chars", F.explode(around).alias("tag")).groupBy("host", "tag").agg(F.sum("chars").alias("held"))
+    total = slots.groupBy("host").agg(F.sum("chars").alias("total"))
+    once = tokens.where((F.col("chars") < 0) & (F.col("n") == F.col("pages"))).join(valid, ["host", "vector"], "left_semi").select("host", F.col("role").alias("tag"))
+    # the page's heading, where the template has one, lies in the container
+    heads = once.where(F.col("tag").rlike(r"/h1(\.[^/]*)?$")).groupBy("host").agg(F.collect_list("tag").alias("heads"))
+    nested = once.join(held, ["host", "tag"]).join(total, "host").join(heads, "host", "left").where(F.col("held") >= HELD * F.col("total"))
+    nested = nested.where(F.coalesce(F.forall("heads", lambda x: F.startswith(x, F.concat("tag", F.lit("/")))), F.lit(True)))
+    container = nested.groupBy("host").agg(F.max_by("tag", F.struct(F.size(F.split("tag", "/")), "held", "tag")).alias("container"))
     known = valid.select("host").distinct()
     empty = F.array().cast("array<long>")
-    out = known.join(text, "host", "left").join(main, "host", "left")
-    return out.select("host", F.coalesce("boilerplate", empty).alias("boilerplate"), "main")
+    out = known.join(text, "host", "left").join(main, "host", "left").join(container, "host", "left")
+    return out.select("host", F.coalesce("boilerplate", empty).alias("boilerplate"), "main", "container")
 
 
 def _none(names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([], k) for k in types], names=names)
 
 
-def main_text(page: str, boilerplate: frozenset[int], main: str | None) -> str:
-    """The page's slots: those of its article where this holds most of them or has the host's main role, else all."""
+def main_text(page: str, boilerplate: frozenset[int], main: str | None, container: str | None = None) -> str:
+    """The page's slots: of those in the template's container, if it holds most of them, those of the page's article where
+    this holds most of them or has the host's main role, else all."""
     blocks, _, marks, articles = read_page(page)
     if boilerplate:
         blocks = [b._replace(fixed=text_key(b) in boilerplate) for b in blocks]
@@ -314,6 +336,9 @@ def main_text(page: str, boilerplate: frozenset[int], main: str | None) -> str:
     if 2 * _mass(inner) <= _mass(article):
         # most of the article stands on other pages too: a copy rather than a template
         slots, inner = [b for b in blocks if b.article or not b.fixed], article
+    held = [b for b in slots if container and f"{b.role}/".startswith(f"{container}/")]
+    if held and 2 * _mass(held) >= _mass(slots):
+        slots, inner = held, [b for b in inner if b in held]
     if inner and (2 * _mass(inner) >= _mass(slots) or any(b.role.rpartition("/")[0] == main for b in inner)):
         slots = inner
     return "\n\n".join(b.text for b in slots)
@@ -323,7 +348,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     templates = stored(deduce_templates(rows), "templates")
-    size = templates.agg(F.sum(8 * F.size("boilerplate") + F.length("host") + F.length("main") + 64)).first()[0] or 0
+    size = templates.agg(F.sum(8 * F.size("boilerplate") + F.length("host") + F.length("main") + F.coalesce(F.length("container"), F.lit(0)) + 64)).first()[0] or 0
     host = F.lower(F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", ""), r"[/?#][\s\S]*", ""))
     templates = templates.withColumnRenamed("host", "of")
     joined = rows.withColumn("host", host).join(F.broadcast(templates) if size < BROADCAST else templates, F.col("host") == F.col("of"), "left")
@@ -332,14 +357,14 @@ def extract_text(pages: DataFrame) -> DataFrame:
         sets: dict[str, frozenset[int]] = {}
         for batch in sized_slices(batches, "html"):
             out = []
-            for page, name, fixed, main in zip(*(batch.column(x).to_pylist() for x in ("html", "host", "boilerplate", "main")), strict=True):
+            for page, name, fixed, main, container in zip(*(batch.column(x).to_pylist() for x in ("html", "host", "boilerplate", "main", "container")), strict=True):
                 if name not in sets:
                     sets[name] = frozenset(fixed or ())
-                out.append(main_text(page, sets[name], main))
+                out.append(main_text(page, sets[name], main, container))
             sizes = pa.array([len(x) for x in out], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), sizes], names=["page_id", "url", "text", "n_chars"])
 
-    columns = ["page_id", "url", "html", "host", "boilerplate", "main"]
+    columns = ["page_id", "url", "html", "host", "boilerplate", "main", "container"]
     return joined.select(*columns).mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 

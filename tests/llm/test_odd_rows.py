@@ -161,3 +161,24 @@ def test_stages_take_repeated_ids(spark, documents, name):
     assert got <= {None, 1, 3, 7, 8, 9} and {3, 7, 8} <= got
     if name != "packing":
         assert sorted(out.columns) == sorted(corpus_pipeline.COLUMNS)
+
+
+def test_container_of_the_template(spark):
+    """No name tells what is the article, and the rest differs on every page: the template's tags decide."""
+    page = "<body><div class='qa'>Today {0} and {1}</div><div class='qb'><h1>Head {0}</h1><p>{2}</p><p>End <span class='share'>shares {0} fell</span> today</p></div><div class='qc'><p>See {1} next</p></div></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, i * 7 + 3, f"word {i} " * (20 + i))) for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    templates = html_text.deduce_templates(df).collect()
+    assert [(r.host, r.container) for r in templates] == [("h.example", "/body/div.qb")]
+    got = {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+    for i, _, x in rows:
+        text = f"Head {i}\n\n" + (f"word {i} " * (20 + i)).strip() + f"\n\nEnd shares {i} fell today"
+        assert html_text.main_text(x, frozenset(), None) != text
+        assert got[i] == text
+
+
+def test_long_page(spark):
+    page = "<article><h1>Long</h1>" + "".join(f"<p>part {i} of it</p>" for i in range(30000)) + "</article>"
+    df = spark.createDataFrame([(1, "http://h.example/1", page)], "page_id long, url string, html string")
+    got = html_text.extract_text(df).first()
+    assert got.text.count("\n\n") == 30000 and got.n_chars == len(got.text) and got.text.endswith("part 29999 of it")
