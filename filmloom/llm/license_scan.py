@@ -256,22 +256,31 @@ def _kept(detections: Column) -> Column:
 
 
 def _by_stretches(words: Column, n_words: Column, known: list[Rule]) -> Column:
-    """The detections that stand, of a text of any length; begin and end are numbers of words."""
+    """The detections that stand, of a text of any length; begin and end are numbers of words.
+
+    Long texts are matched by stretches, each with what lies around it; which of the detections stand is then decided
+    over the whole text, since one that goes may let another one stand, however long such a chain is.
+    """
 
     def stretch(parts: Column, i: Column) -> Column:
         core = i * STRETCH
         low = F.greatest(core - MARGIN, F.lit(0))
         text = F.concat(F.lit(" "), F.array_join(F.slice(parts, low + 1, core + STRETCH + MARGIN - low), " "), F.lit(" "))
-        found = _let(text, lambda x: _kept(_detections(x, known)))
+        found = _let(text, lambda x: _detections(x, known))
+        # as the sort of _detections: by falling priority, the longest and then the first ones first
         placed = F.transform(
             found,
-            lambda x: F.struct((x["begin"] + low).alias("begin"), (x["end"] + low).alias("end"), x["priority"].alias("priority"), x["label"].alias("label"), x["confidence"].alias("confidence")),
+            lambda x: F.struct((-x["priority"]).alias("rank"), (x["begin"] - x["end"]).alias("back"), (x["begin"] + low).alias("begin"), x["label"].alias("label"), x["confidence"].alias("confidence")),
         )
         return F.filter(placed, lambda x: (x["begin"] >= core) & (x["begin"] < core + STRETCH))
 
     count = F.ceil(n_words / STRETCH).cast("int")
-    long = _let(F.split(F.trim(words), " "), lambda parts: F.flatten(F.transform(F.sequence(F.lit(0), count - 1), lambda i: stretch(parts, i))))
-    return F.when(n_words <= STRETCH, _kept(_detections(words, known))).otherwise(long)
+    found = _let(F.split(F.trim(words), " "), lambda parts: F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), count - 1), lambda i: stretch(parts, i)))))
+    long = F.transform(
+        found,
+        lambda x: F.struct(x["begin"].alias("begin"), (x["begin"] - x["back"]).alias("end"), (-x["rank"]).alias("priority"), x["label"].alias("label"), x["confidence"].alias("confidence")),
+    )
+    return F.when(n_words <= STRETCH, _kept(_detections(words, known))).otherwise(_kept(long))
 
 
 def scan(docs: DataFrame, known: list[Rule] | None = None) -> DataFrame:

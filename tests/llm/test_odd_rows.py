@@ -182,3 +182,13 @@ def test_long_page(spark):
     df = spark.createDataFrame([(1, "http://h.example/1", page)], "page_id long, url string, html string")
     got = html_text.extract_text(df).first()
     assert got.text.count("\n\n") == 30000 and got.n_chars == len(got.text) and got.text.endswith("part 29999 of it")
+
+
+@pytest.mark.parametrize("before", [0, license_scan.STRETCH - 150, license_scan.STRETCH - 1])
+def test_chain_of_overlaps_over_a_border(documents, before):
+    """150 rules of three words, each meeting the next one in a word: every second one stands, wherever the chain lies."""
+    rule = lambda i: license_scan.Rule(f"r{i:03}", f"c{2 * i} ", f"(?<= )(?:c{2 * i} c{2 * i + 1} c{2 * i + 2})(?= )", 1000 - i, 0.5)
+    text = "word " * before + " ".join(f"c{i}" for i in range(301)) + " word" * (license_scan.STRETCH if before else 5)
+    got = license_scan.scan(documents([text]), [rule(i) for i in range(150)]).first()
+    assert [x.label for x in got.detections] == [f"r{i:03}" for i in range(0, 150, 2)]
+    assert [x.begin for x in got.detections] == [before + 2 * i for i in range(0, 150, 2)]
