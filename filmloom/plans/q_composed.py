@@ -242,6 +242,20 @@ def x05_lists(spark, d):
     return markup.nested_lists(read(spark, d, "pages"), "page_id", "ul").drop("n_all")
 
 
+@query(
+    "x01_extraction_rules",
+    """select page_id, nullif(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '') as title, coalesce(try_cast(nullif(regexp_extract(html, 'track\\(([0-9]+)\\)', 1), '') as integer), -1) as tracked,
+       nullif(regexp_extract(html, '<html lang="([a-z]+)"', 1), '') as lang from pages""",
+)
+def x01(spark, d):
+    """A site's fields as data: patterns in order, a type, a default."""
+    rules = [
+        extract.Rule("title", ("<h1>([^<]*)</h1>",)), extract.Rule("tracked", ('data-track="([0-9]+)"', r"track\(([0-9]+)\)"), "int", -1),
+        extract.Rule("lang", ('<html lang="([a-z]+)"',)),
+    ]
+    return extract.extract_fields(read(spark, d, "pages"), rules).select("page_id", "title", "tracked", "lang")
+
+
 @query("x03_value_predicate", "select p_partkey from part where p_type in ('PROMO', 'ECONOMY')")
 def x03(spark, d):
     return read(spark, d, "part").where(values.is_one_of(F.col("p_type"), ["PROMO", "ECONOMY"])).select("p_partkey")
