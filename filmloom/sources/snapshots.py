@@ -86,6 +86,9 @@ class Snapshots:
         writer = uuid.uuid4().hex
         folder, table = f"{self._path}/data/{writer}", f"snapshot_{writer}"
         seen = Observation()
+        if self._buckets and not parent:
+            # a first load comes in any order: dealt as buckets are, each task writes one file. Merges come dealt already
+            rows = rows.repartition(self._buckets, *self._keys)
         out = rows.observe(seen, F.count(F.lit(1)).alias("n")).write
         if self._buckets:
             out.bucketBy(self._buckets, *self._keys).sortBy(*self._keys).option("path", folder).format("parquet").saveAsTable(table)

@@ -1,5 +1,6 @@
 """Versions of a table, merges on buckets, and what merges do with null keys, ties and several details."""
 
+import os
 import re
 from collections import Counter
 
@@ -124,6 +125,17 @@ def test_buckets_are_known_to_another_session(spark, rows, tmp_path):
         Snapshots(spark, "x", ("k",))
 
 
+def test_a_file_for_each_bucket(spark, rows, tmp_path):
+    """A first load of many tasks, and a merge, write as many files as buckets; nothing is dealt twice."""
+    kept = Snapshots(spark, f"file://{tmp_path}/t", ("k",), 4)
+    kept.commit(rows([(i, "x", i) for i in range(200)]).repartition(16), 0)
+    kept.merge(lambda now: table.upsert(now, rows([(i, "y", i) for i in range(190, 210)]), ["k"], ["b"]))
+    for v in (1, 2):
+        folder = kept.described(v)["folder"].removeprefix("file://")
+        assert len([x for x in os.listdir(folder) if x.endswith(".parquet")]) == 4
+    assert kept.read().count() == 210
+
+
 def test_empty_version(spark, rows, tmp_path):
     for name, how in (("a", ((), 0)), ("b", (("k",), 2))):
         kept = Snapshots(spark, f"file://{tmp_path}/{name}", *how)
