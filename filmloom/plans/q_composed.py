@@ -109,7 +109,8 @@ def c01_grid(spark, d):
     landed = pages.select("page_id", "html", urls.host(F.col("url")).alias("site"), F.format_string(template, category, year, number).alias("task"))
     last = pages.agg(F.max("page_id")).first()[0] or 0
     grid = extract.task_grid(spark.range(5).withColumnRenamed("id", "category_id"), GRID_YEARS, last // 15 + 1, template)
-    found = grid.select(F.col("category_id").alias("category"), F.col("url").alias("task")).join(landed, "task").drop("task")
+    # the grid is exploded, so Spark takes it for smaller than it is and would send it to every task
+    found = grid.select(F.col("category_id").alias("category"), F.col("url").alias("task")).hint("merge").join(landed, "task").drop("task")
 
     rules = [extract.Rule("href", ('href="([^"]*)"',))]
     items = extract.extract_items(found, r"<li>[\s\S]*?</li>", rules).where("href <> ''").select("category", "site", "href", "page_id", "pos")
