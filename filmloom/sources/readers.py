@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The columns of a crawl log's line, in order.
@@ -48,9 +48,37 @@ def split_lines(df: DataFrame, file: str, text: str) -> DataFrame:
     return rows.select(file, (F.col("_p") + 1).alias("line_no"), "text")
 
 
+#: The stretches of at most so many files go to every task; those of more files are joined by a shuffle.
+FEW_FILES = 10_000
+
+
 def read_srt(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return split_lines(whole, "file", "value")
+    """file, line_no and text of every line, as split_lines has them of a whole file; no task holds more than a line.
+
+    A task reads a stretch of a file. A line's number is its place in there, after the lines of the stretches before it.
+    Whether a file ends with a line break, after which one more line is empty, is told by its size; of a compressed file
+    it can't be told, and that line is left out.
+    """
+    raw = spark.read.text(path, lineSep="\n")
+    # the ids stand between the scan and any filter, so that both uses of the rows read the same stretches
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_i"), "value")
+    per = rows.groupBy("file", "_start").agg(F.min("_i").alias("_first"), F.count("*").alias("_n"), F.sum(F.octet_length("value") + F.lit(1).cast("long")).alias("_bytes"), F.first("_size").alias("_size"))
+    whole, so_far = Window.partitionBy("file"), Window.partitionBy("file").orderBy("_start")
+    # a byte-order mark, of three bytes, is none of the first line's
+    over = F.sum("_bytes").over(whole) - F.col("_size")
+    per = per.select(
+        F.col("file").alias("_f"), F.col("_start").alias("_s"), (F.sum("_n").over(so_far) - F.col("_n") - F.col("_first") + 1).alias("_shift"),
+        F.sum("_n").over(whole).alias("_last"), over.isin(0, -3).alias("_closed"), over.isin(1, -2).alias("_open"),
+    )
+    per = F.broadcast(per) if len(raw.inputFiles()) <= FEW_FILES else per
+    rows = rows.join(per, (F.col("file") == F.col("_f")) & (F.col("_start") == F.col("_s"))).withColumn("_line", F.col("_i") + F.col("_shift"))
+    ends = F.col("_line") == F.col("_last")
+    text = F.when(ends & F.col("_open"), F.col("value")).otherwise(F.regexp_replace("value", r"\r\z", ""))
+    texts = F.when(ends & F.col("_closed"), F.array(text, F.lit(""))).otherwise(F.array(text))
+    rows = rows.select("file", "_line", F.posexplode(texts).alias("_p", "text")).select("file", (F.col("_line") + F.col("_p")).alias("line_no"), "text")
+    # an empty file is one empty line
+    empty = spark.read.format("binaryFile").load(path).where("length = 0").select(F.col("_metadata.file_path"), F.lit(1).cast("long"), F.lit(""))
+    return rows.union(empty)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
