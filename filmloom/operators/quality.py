@@ -148,6 +148,19 @@ def maybe_seen(rows: DataFrame, key: str, words: DataFrame, bits: int, hashes: i
     return asked.select(*rows.columns, (F.coalesce("_m", F.lit(0)).bitwiseAND(F.col("_mask")) == F.col("_mask")).alias("maybe_seen"))
 
 
+def seen(rows: DataFrame, key: str, keys: DataFrame, bits: int, hashes: int = 7) -> DataFrame:
+    """Rows with seen: whether the key is among the column `key` of keys, exactly; null for a null key.
+
+    Rows that the filter rules out move no further; the rest meet the keys themselves. A filter too small for its keys
+    lets more rows through, but changes no result.
+    """
+    asked = maybe_seen(rows, key, bloom_words(keys, key, bits, hashes), bits, hashes)
+    known = keys.select(F.col(key).alias("_k")).where("_k is not null").distinct()
+    through = asked.where("maybe_seen").join(known, F.col(key) == F.col("_k"), "left")
+    through = through.select(*rows.columns, F.when(F.col(key).isNotNull(), F.col("_k").isNotNull()).alias("seen"))
+    return through.union(asked.where("not maybe_seen").select(*rows.columns, F.when(F.col(key).isNotNull(), F.lit(False)).alias("seen")))
+
+
 def page_verdict(html: Column, invalid: list[str], valid: list[str]) -> Column:
     """verdict and reason: the first invalid word of the list that occurs, else the first valid one, else unknown."""
     pair = lambda v, w: F.struct(F.lit(v).alias("verdict"), w.alias("reason"))

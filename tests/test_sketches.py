@@ -67,6 +67,25 @@ def test_filter_on_either_side_of_the_broadcast_limit(spark, monkeypatch, limit)
         quality.bloom_words(rows, "key", 64, 11)
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+def test_membership_is_exact(spark, bits):
+    """Also where every bit of the filter is set; repeated and null keys."""
+    rows = spark.range(3000).selectExpr("id as key", "id % 7 as other").union(spark.createDataFrame([(None, 1), (4, 2)], "key long, other long"))
+    keys = rows.where("key % 2 = 0 or key is null")
+    got = quality.seen(rows, "key", keys, bits)
+    assert got.columns == ["key", "other", "seen"] and got.count() == 3002
+    assert got.where("seen is distinct from (key % 2 = 0)").count() == 0
+
+
+def test_membership_over_more_keys_than_bits(spark, tmp_path):
+    """The query on a table whose keys are too many for a million bits."""
+    from filmloom import catalog_queries
+
+    spark.range(400000).selectExpr("id * 3 as c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    got = catalog_queries.queries()["q09_bloom_membership"](spark, str(tmp_path))
+    assert got.count() == 400000 and got.where("maybe_seen is distinct from (c_custkey % 2 = 0)").count() == 0
+
+
 # keyword lists
 
 
