@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from filmloom.operators import aggregate, join, window
@@ -102,6 +103,19 @@ def test_trailing_partitions_are_bounded(spark):
     assert "_c#" in line.rsplit("], [", 2)[-2]
 
 
+def test_trailing_work_is_a_few_rows_a_second(spark):
+    """No frame that slides, whose rows Spark adds up anew for each row; times before 1970, no time, and an outlier that passes."""
+    df = spark.range(5000).selectExpr("id", "id % 2 as g", "if(id % 100 = 7, null, timestamp_seconds(id * 3 - 7000)) as ts", "if(id = 1000, 1e18, id % 10 + 0.1) as v")
+    asked = {"n": ("count", None), "total": ("sum", "v"), "least": ("min", "v")}
+    got = window.trailing_metrics(df, "g", "ts", 100, asked)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "RangeFrame" not in plan and plan.count("RowFrame, unboundedpreceding") >= 3
+    w = Window.partitionBy("g").orderBy(F.unix_timestamp("ts")).rangeBetween(-100, 0)
+    want = df.select("*", F.count("*").over(w).alias("n"), F.sum("v").over(w).alias("total"), F.min("v").over(w).alias("least"))
+    a, b = ([tuple(r) for r in x.orderBy("id").select("id", "n", F.expr("round(if(total > 1e17, 1e18, total), 6)"), "least").collect()] for x in (got, want))
+    assert a == b
+
+
 def blocks_by_hand(lines):
     out, block, inside = [], 0, []
     for x in [*lines, ""]:
