@@ -53,26 +53,41 @@ def series_title(slug: Column) -> Column:
     return F.initcap(F.trim(F.replace(cut, F.lit("-"), F.lit(" "))))
 
 
+_CLOCK = r"^(\d+):(\d+)$"
+
+
+def _clock_minutes(text: Column) -> Column:
+    return F.regexp_extract(text, _CLOCK, 1).try_cast("int") * 60 + F.regexp_extract(text, _CLOCK, 2).try_cast("int")
+
+
 def duration_minutes(text: Column) -> Column:
     """Minutes of `1:40`, `1h 22m`, `95 min` or `95`."""
-    clock = F.regexp_extract(text, r"^(\d+):(\d+)$", 1).try_cast("int") * 60 + F.regexp_extract(text, r"^(\d+):(\d+)$", 2).try_cast("int")
-    hours = F.regexp_extract(text, r"(\d+)\s*h", 1).try_cast("int")
-    minutes = F.regexp_extract(text, r"(\d+)\s*m", 1).try_cast("int")
-    spoken = F.when(hours.isNotNull() | minutes.isNotNull(), F.coalesce(hours, F.lit(0)) * 60 + F.coalesce(minutes, F.lit(0)))
-    return F.coalesce(clock, spoken, F.regexp_extract(text, r"^(\d+)$", 1).try_cast("int"))
+    # nothing found is null before the cast: try_cast raises and catches for each text that isn't a number
+    hours, minutes = (first_match(text, rf"(\d+)\s*{x}").try_cast("int") for x in "hm")
+    clock = F.when(text.rlike(_CLOCK), _clock_minutes(text))
+    return F.coalesce(clock, hours * 60 + F.coalesce(minutes, F.lit(0)), minutes, first_match(text, r"^(\d+)$").try_cast("int"))
+
+
+def _with(value: Column, made: Callable[[Column], Column]) -> Column:
+    """made of a value that is worked out once, however often made names it; else each name is a copy of its expression."""
+    return F.try_element_at(F.transform(F.array(value), made), F.lit(1))
+
+
+def _hours_and_minutes(n: Column) -> Column:
+    return F.concat(F.floor(n / 60).cast("string"), F.lit("h "), (n % 60).cast("string"), F.lit("m"))
 
 
 def normalise_duration(text: Column, compat: bool = True) -> Column:
     """`1:40` as `1h 40m`; NULL and `N/A` as ''. compat leaves what holds an h or m as it is, so `120 min` stays."""
-    plain = F.coalesce(F.trim(text), F.lit(""))
-    clock = plain.rlike(r"^\d+:\d+$") & (F.length(plain) <= 5)
-    n = duration_minutes(plain)
-    written = F.concat(F.floor(n / 60).cast("string"), F.lit("h "), (n % 60).cast("string"), F.lit("m"))
-    out = F.when((plain == "") | (F.lower(plain) == "n/a"), "")
-    if compat:
-        out = out.when(F.lower(plain).rlike("[hm]"), plain)
-        return out.when(clock, written).otherwise(plain)
-    return out.when(n.isNotNull(), written).otherwise(plain)
+
+    def written(plain: Column) -> Column:
+        out = F.when((plain == "") | (F.lower(plain) == "n/a"), "")
+        if compat:
+            clock = (F.length(plain) <= 5) & plain.rlike(_CLOCK)
+            return out.when(F.lower(plain).rlike("[hm]"), plain).when(clock, _with(_clock_minutes(plain), _hours_and_minutes)).otherwise(plain)
+        return out.otherwise(F.coalesce(_with(duration_minutes(plain), _hours_and_minutes), plain))
+
+    return _with(F.coalesce(F.trim(text), F.lit("")), written)
 
 
 def parse_rating(text: Column, default: float | None = 0.0) -> Column:

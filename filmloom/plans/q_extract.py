@@ -459,7 +459,7 @@ def f09(spark, d):
     # a clock's minutes may pass 59 here; compat writes hours and minutes anew
     rows = read(spark, d, "part").withColumn("t", text)
     hm = F.concat(F.floor(size / 10).cast("string"), F.lit("h "), (size + 10).cast("string"), F.lit("m"))
-    compat = F.when(size % 4 == 0, values.normalise_duration(hm)).otherwise(values.normalise_duration(F.col("t")))
+    compat = values.normalise_duration(F.when(size % 4 == 0, hm).otherwise(F.col("t")))
     return rows.select("p_partkey", compat.alias("compat"), values.normalise_duration(F.col("t"), False).alias("fixed"), values.duration_minutes(F.col("t")).alias("minutes"))
 
 

@@ -89,6 +89,16 @@ def test_insert_ignore_and_upsert(spark):
     assert {tuple(r) for r in table.upsert(old, new, keys, ["year"]).collect()} == {("u1", "r1", 1), ("u2", "r2", 2025)}
 
 
+def test_durations_are_worked_out_once(spark):
+    """A duration is read once however often its text is written: copies of the expression grew to a method that Java leaves uncompiled."""
+    cases = [("1:40\n", 100, "1h 40m"), ("99999999999:1", None, "99999999999:1"), ("h", None, "h"), ("1h", 60, "1h 0m"), ("9m 1h", 69, "1h 9m"), (" 95 ", None, "1h 35m"), ("1:4000", 4060, "67h 40m")]
+    df = spark.createDataFrame([(t,) for t, _, _ in cases], "t string")
+    made = df.select("t", values.duration_minutes(F.col("t")).alias("n"), values.normalise_duration(F.col("t"), False).alias("d"))
+    assert [tuple(r) for r in made.collect()] == cases
+    plan = df.select(values.normalise_duration(F.col("t"), False).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("regexp_extract(") <= 12
+
+
 def test_upsert_two_keys(spark):
     kind = "url string, series string, season int, episode int, views int"
     old = spark.createDataFrame([("s1e1", "S", 1, 1, 100)], kind)
