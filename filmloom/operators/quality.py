@@ -172,11 +172,14 @@ def page_verdict(html: Column, invalid: list[str], valid: list[str]) -> Column:
 
 
 def orphans(children: DataFrame, child_key: str, parents: DataFrame, parent_key: str) -> DataFrame:
-    """key and side: children without a parent and parents without a child."""
-    c = children.select(F.col(child_key).alias("key")).distinct()
-    p = parents.select(F.col(parent_key).alias("key")).distinct()
-    lost = c.join(p, "key", "left_anti").withColumn("side", F.lit("child"))
-    return lost.union(p.join(c, "key", "left_anti").withColumn("side", F.lit("parent")))
+    """key and side: children without a parent and parents without a child; a null key is neither.
+
+    Both tables go through one aggregate that holds a key once, with the sides where it occurs.
+    """
+    c = children.select(F.col(child_key).alias("key"), F.lit(1).alias("_s"))
+    p = parents.select(F.col(parent_key).alias("key"), F.lit(2).alias("_s"))
+    sides = c.union(p).where("key is not null").groupBy("key").agg(F.bit_or("_s").alias("_s"))
+    return sides.where("_s < 3").select("key", F.when(F.col("_s") == 1, "child").otherwise("parent").alias("side"))
 
 
 def misplaced(df: DataFrame, **signs: Column) -> DataFrame:

@@ -99,6 +99,16 @@ def test_durations_are_worked_out_once(spark):
     assert 0 < plan.count("regexp_extract(") <= 12
 
 
+def test_orphans_are_one_aggregate(spark):
+    """Repeated keys once, null keys never, and no join with its sorts, which held both tables' keys in a task a second time."""
+    c = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,), (5,)], "k long")
+    p = spark.createDataFrame([(2,), (3,), (3,), (None,), (4,)], "id long")
+    got = quality.orphans(c, "k", p, "id")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "child"), (3, "parent"), (4, "parent"), (5, "child")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
 def test_upsert_two_keys(spark):
     kind = "url string, series string, season int, episode int, views int"
     old = spark.createDataFrame([("s1e1", "S", 1, 1, 100)], kind)
