@@ -126,38 +126,48 @@ _SETTLED = -1
 
 
 class _Failures(StatefulProcessor):
-    """Of one key: the failures in a row up to the watermark, as a number, and every outcome behind it, by stretches of time."""
+    """Of one key: its failures since the last success, those up to the watermark as a number, those behind it by stretches of time.
+
+    A failure before a success that is known can't count any more, so what is kept is the last success, as long as
+    something may still come before it, and the failures after it.
+    """
 
     def __init__(self, key: str, k: int):
         self._key, self._k = key, k
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        # the entry _SETTLED has the number, the others have outcomes by place: a batch writes the stretches that it touches
+        # the entry _SETTLED has the number and the last success, the others have failures: a batch writes the stretches that it touches
         self._state = handle.getMapState("outcomes", "stretch long", "failures long, places array<struct<at: long, tie: long, bad: boolean>>")
 
     def _fold(self, watermark: int, new: list[tuple[int, int, bool]]) -> int:
         """Outcomes up to the watermark, which nothing can come before, become the number. The failures in a row so far."""
-        held = {k[0]: v for k, v in self._state.iterator()}
-        before = held.pop(_SETTLED, (0, []))[0]
-        stretches = {k: sorted(tuple(x) for x in v[1]) for k, v in held.items()}
-        touched = set()
+        held = {k[0]: (v[0], [tuple(x) for x in v[1]]) for k, v in self._state.iterator()}
+        before = held.pop(_SETTLED, (0, []))
+        settled, latest = before[0], before[1][0][:2] if before[1] else None
+        success = max((x[:2] for x in new if not x[2]), default=None)
+        if success is not None and (latest is None or success > latest):
+            settled, latest = 0, success
+        stretches, self._open = {k: v[1] for k, v in held.items()}, None
         for x in new:
-            stretches.setdefault(x[0] // STRETCH, []).append(x)
-            touched.add(x[0] // STRETCH)
-        settled = count = before
-        for k in sorted(stretches):
-            places = sorted(stretches[k])
-            for at, _, bad in places:
-                count = count + 1 if bad else 0
-                settled = count if at <= watermark else settled
+            if x[2] and (latest is None or x[:2] > latest):
+                stretches[x[0] // STRETCH] = [*stretches.get(x[0] // STRETCH, []), x]
+        count = settled
+        for k, places in stretches.items():
+            places = [x for x in places if latest is None or x[:2] > latest]
+            count += len(places)
             left = [x for x in places if x[0] > watermark]
+            settled += len(places) - len(left)
+            self._open = max([x[0] for x in left] + ([] if self._open is None else [self._open]), default=None)
             if not left and k in held:
                 self._state.removeKey((k,))
-            elif left and (k in touched or len(left) < len(places)):
+            elif left and left != held.get(k, (0, []))[1]:
                 self._state.updateValue((k,), (0, left))
-        if settled != before:
-            self._state.updateValue((_SETTLED,), (settled, []))
+        after = (settled, [(*latest, False)] if latest is not None and latest[0] > watermark else [])
+        if after == (0, []) != before:
+            self._state.removeKey((_SETTLED,))
+        elif after != before:
+            self._state.updateValue((_SETTLED,), after)
         return count
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
@@ -165,8 +175,9 @@ class _Failures(StatefulProcessor):
         for frame in rows:
             new += zip(frame["at_us"].tolist(), frame["tie_no"].tolist(), frame["bad"].tolist(), strict=True)
         count = self._fold(timerValues.getCurrentWatermarkInMs() * 1000, new)
-        # a key that falls silent is settled when the watermark has passed it
-        self._handle.registerTimer(max(new)[0] // 1000 + 1)
+        # the failures of a key that falls silent are settled when the watermark has passed them; one success may stay
+        if self._open is not None:
+            self._handle.registerTimer(self._open // 1000 + 1)
         yield pd.DataFrame({self._key: [key[0]], "failures": [count], "stop": [count >= self._k]})
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -181,7 +192,8 @@ def consecutive_failures(events: DataFrame, key: str, time: str, tie: str, faile
     """key, failures and stop: the failures in a row at the end of each key's events so far, in order of time and a number
     that breaks ties, whatever the order in which they arrive within the lateness.
 
-    The state of a key is a number and the outcomes since the watermark; timers settle what it has passed. Start the
+    The state of a key is a number, its last success and the failures after that and the watermark; timers settle what
+    it has passed. A failure at the very place of a success, tie included, doesn't count. Start the
     stream within rocksdb_state, so that state is on disk. Rows that come later than the lateness are dropped.
     """
     kind = dict(events.dtypes)[key]

@@ -164,3 +164,32 @@ def test_timers_are_asked_for():
     assert Handle.timers == [9001] and list(p.handleExpiredTimer(("x",), Times, None)) == []
 
 
+def test_state_calls_are_few():
+    """A key whose outcomes are mostly successes costs a few calls of its state in a batch, however many stretches they fall in."""
+
+    class Map(dict):
+        calls = 0
+        iterator = dict.items
+
+        def removeKey(self, k):
+            self.calls += 1
+            del self[k]
+
+        def updateValue(self, k, v):
+            self.calls += 1
+            self[k] = v
+
+    rng, hour = random.Random(1), 3600 * 10**6
+    p = monitor._Failures("g", 2)
+    p._state = Map()
+    seen, watermark = [], -1
+    for batch in range(4):
+        new = [(batch * 500 * hour + rng.randrange(500) * hour, i, rng.random() < 0.3) for i in range(300)]
+        seen += new
+        count = p._fold(watermark, new)
+        watermark = max(new)[0] - hour
+        last = max((x[:2] for x in seen if not x[2]))
+        assert count == sum(x[2] and x[:2] > last for x in seen)
+    assert p._state.calls <= 40
+    # a success at a failure's own place ends it, as one after it does
+    assert p._fold(watermark, [(3000 * hour, 1, True), (3000 * hour, 1, False), (3000 * hour, 2, True)]) == 1
