@@ -99,6 +99,15 @@ def test_durations_are_worked_out_once(spark):
     assert 0 < plan.count("regexp_extract(") <= 12
 
 
+def test_upsert_two_keys_holds_keys_once(spark):
+    """The anti-joins take the source's keys as they are: only the reductions of the source aggregate, three in each of its three uses."""
+    target = spark.createDataFrame([("a", 1, 0), ("b", 2, 0), ("c", 3, 0), (None, None, 0)], "url string, n int, views int")
+    source = spark.createDataFrame([("a", 9, 1), ("a", 9, 2), ("x", 3, 1), (None, 2, 1), ("y", None, 1)], "url string, n int, views int")
+    got = table.upsert_two_keys(target, source, "url", ["n"], "views")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == [("a", 9, 2), ("x", 3, 1), ("y", None, 1), (None, 2, 1), (None, None, 0)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") <= 9
+
+
 def test_orphans_are_one_aggregate(spark):
     """Repeated keys once, null keys never, and no join with its sorts, which held both tables' keys in a task a second time."""
     c = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,), (5,)], "k long")
